@@ -301,3 +301,29 @@ from (select d.order_detail_id, o.order_id, o.order_number, o.order_date, o.ship
       left join x_a4 a on o.customer_id = a.customer_id and o.order_date >= a.valid_from and (a.valid_to is null or o.order_date <= a.valid_to)) t
 where rn = 1
 """)
+
+cte("x_calendar", """
+select cast(d as date) as date, year(cast(d as date)) as year, quarter(cast(d as date)) as quarter,
+       month(cast(d as date)) as month, cast(date_trunc('month', cast(d as date)) as date) as month_start
+from (select unnest(generate_series(cast(date_trunc('year', min(order_date)) as timestamp),
+                                    cast(date_trunc('year', max(order_date)) as timestamp) + interval 1 year - interval 1 day,
+                                    interval 1 day)) as d
+      from x_fact) t
+""")
+
+cte("x_daily", """
+select order_date as date, sum(sales) as day_sales from x_fact group by order_date
+""")
+
+cte("x_monthly", """
+select cast(date_trunc('month', order_date) as date) as month_start, sum(sales) as total_sales from x_fact group by 1
+""")
+
+cte("x_yearly", """
+select year(order_date) as year, sum(sales) as total_sales from x_fact group by 1
+""")
+
+cte("x_customer_totals", """
+select customer_id, sum(sales) as total_sales, sum(profit) as total_profit, count(distinct order_id) as order_count
+from x_fact group by customer_id
+""")
