@@ -296,14 +296,21 @@ def secondary_orders(orders: DataFrame, customers: DataFrame, delta: DataFrame)
     return keyed.crossJoin(next_batch_id(orders)).select(*ORDERS)
 
 
+def new_detail_rows(details: DataFrame, orders: DataFrame, products: DataFrame,
+                    delta: DataFrame) -> DataFrame:
+    """Batch lines whose (order, product) pair is not in the old detail table
+    (NOT EXISTS as a left anti join)."""
+    rows = _detail_rows(delta, orders, products, quantity=repair_quantity("quantity"))
+    return rows.join(details.select("order_id", "product_id"), ["order_id", "product_id"],
+                     "left_anti")
+
+
 def secondary_order_details(details: DataFrame, orders: DataFrame, products: DataFrame,
                             delta: DataFrame) -> DataFrame:
     """Batch lines (quantity 0 → 1) for (order, product) pairs not loaded before.
     Pairs repeated inside the batch are all inserted (the check sees the old
     table only)."""
-    rows = _detail_rows(delta, orders, products, quantity=repair_quantity("quantity"))
-    fresh = rows.join(details.select("order_id", "product_id"), ["order_id", "product_id"],
-                      "left_anti")
+    fresh = new_detail_rows(details, orders, products, delta)
     return assign_dense_keys(fresh, "order_detail_id", asc_last(*DETAIL_ORDER),
                              start=_max_of(details, "order_detail_id")).select(*ORDER_DETAILS)
 

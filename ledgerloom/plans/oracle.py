@@ -327,3 +327,23 @@ cte("x_customer_totals", """
 select customer_id, sum(sales) as total_sales, sum(profit) as total_profit, count(distinct order_id) as order_count
 from x_fact group by customer_id
 """)
+
+# ------------------------------------------------------------------ audit
+cte("x_audit_initial", """
+select cast(1 as bigint) as load_id, 'INITIAL' as load_type, 'stage.raw_orders' as source_table,
+       cast(count(*) as bigint) as rows_processed, 'COMPLETED' as status,
+       cast(0 as bigint) as rows_inserted, cast(0 as bigint) as rows_updated, cast(0 as bigint) as rows_skipped
+from x_d1
+""")
+
+cte("x_audit_secondary", """
+select cast(2 as bigint) as load_id, 'SECONDARY' as load_type, 'stage.delta_orders' as source_table,
+       cast(i.n as bigint) as rows_processed, 'COMPLETED' as status, cast(i.n as bigint) as rows_inserted,
+       cast(u1.n + u2.n as bigint) as rows_updated, cast(s.n - i.n as bigint) as rows_skipped
+from (select count(*) as n from x_new_orders) i, (select count(*) as n from x_scd1) u1,
+     (select count(*) as n from x_close) u2, (select count(*) as n from delta_orders) s
+""")
+
+cte("x_audit_log", """
+select * from x_audit_initial union all select * from x_audit_secondary
+""")

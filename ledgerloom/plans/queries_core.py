@@ -64,11 +64,7 @@ def load_order_details(spark, sf):
     return wh.initial_order_details(w.raw_orders(), s.orders, s.products)
 
 
-@register("audit_initial", """
-select cast(1 as bigint) as load_id, 'INITIAL' as load_type, 'stage.raw_orders' as source_table,
-       cast(count(*) as bigint) as rows_processed, 'COMPLETED' as status,
-       cast(0 as bigint) as rows_inserted, cast(0 as bigint) as rows_updated, cast(0 as bigint) as rows_skipped
-from x_d1""")
+@register("audit_initial", "select * from x_audit_initial")
 def audit_initial(spark, sf):
     """Audit row of the initial load (processed = detail rows)."""
     return audit.audit_initial(W(spark, sf).initial().order_details)
@@ -168,12 +164,7 @@ def secondary_order_details(spark, sf):
                                       w.delta_orders())
 
 
-@register("audit_secondary", """
-select cast(2 as bigint) as load_id, 'SECONDARY' as load_type, 'stage.delta_orders' as source_table,
-       cast(i.n as bigint) as rows_processed, 'COMPLETED' as status, cast(i.n as bigint) as rows_inserted,
-       cast(u1.n + u2.n as bigint) as rows_updated, cast(s.n - i.n as bigint) as rows_skipped
-from (select count(*) as n from x_new_orders) i, (select count(*) as n from x_scd1) u1,
-     (select count(*) as n from x_close) u2, (select count(*) as n from delta_orders) s""")
+@register("audit_secondary", "select * from x_audit_secondary")
 def audit_secondary(spark, sf):
     """Audit row of the incremental load with real counters."""
     w = W(spark, sf)
