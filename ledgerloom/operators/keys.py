@@ -6,17 +6,19 @@ rows per partition (one small row per partition), turn the counts into
 prefix offsets, and add each row's position inside its partition.
 
 Counting and numbering must see the very same partition contents. Range
-bounds are sampled from the input, and a shuffled input has no fixed row
-order, so two evaluations of the range exchange can draw different bounds.
-The tagged frame is therefore written once with a reliable ``checkpoint()``
-(to the cluster's checkpoint folder) and both branches read that copy; this
-also cuts lineage, so a lost executor re-reads instead of re-sampling. The
-offsets frame has at most one row per partition, a proven bound for its
+bounds are sampled from the input (with a seed that depends on the RDD id),
+so two evaluations of the range exchange can draw different bounds. The
+tagged frame — partition id and in-partition position as plain columns — is
+therefore written once as Parquet to the cluster's checkpoint folder and both
+branches read that copy: the counts read one narrow column, the numbering
+reads the rows, and a lost executor re-reads files instead of re-sampling.
+The offsets frame has at most one row per partition, a proven bound for its
 broadcast.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -32,14 +34,15 @@ def assign_dense_keys(df: DataFrame, key: str, order: Sequence[Column],
 
     ``start`` is a number or a one-row, one-column frame (e.g. the current max id).
     """
-    n = partitions or shuffle_partitions(df.sparkSession)
-    ensure_checkpoint_dir(df.sparkSession)
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    spark = df.sparkSession
+    n = partitions or shuffle_partitions(spark)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ledgerloom-keys/{uuid.uuid4().hex}"
     pid = F.spark_partition_id()
-    tagged = (ranged.withColumn("_pid", pid)
-              .withColumn("_pos", F.monotonically_increasing_id()
-                          - F.shiftleft(pid.cast("long"), 33))
-              .checkpoint(eager=True))
+    (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+     .withColumn("_pid", pid)
+     .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33))
+     .write.mode("overwrite").parquet(path))
+    tagged = spark.read.parquet(path)
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))

@@ -38,6 +38,9 @@ class CoreState:
     orders: DataFrame
     order_details: DataFrame
     counters: dict[str, DataFrame] = field(default_factory=dict)
+    # New rows of append-only tables (products, orders, order_details): a
+    # snapshot writer stores only these and keeps the earlier parts as they are.
+    appended: dict[str, DataFrame] = field(default_factory=dict)
 
     def tables(self) -> dict[str, DataFrame]:
         return {"customers": self.customers, "addresses": self.addresses,
@@ -318,14 +321,17 @@ def secondary_order_details(details: DataFrame, orders: DataFrame, products: Dat
 def secondary_load(state: CoreState, delta: DataFrame) -> CoreState:
     customers, scd1 = scd1_customers(state.customers, delta)
     addresses, closing, _ = scd2_addresses(state.addresses, customers, delta)
-    products = state.products.unionByName(secondary_products(state.products, delta))
+    new_products = secondary_products(state.products, delta)
+    products = state.products.unionByName(new_products)
     new_orders = secondary_orders(state.orders, customers, delta)
     orders = state.orders.unionByName(new_orders)
     new_details = secondary_order_details(state.order_details, orders, products, delta)
     return CoreState(customers=customers, addresses=addresses, products=products, orders=orders,
                      order_details=state.order_details.unionByName(new_details),
                      counters={"scd1": scd1, "closed": closing, "orders": new_orders,
-                               "details": new_details})
+                               "details": new_details},
+                     appended={"products": new_products, "orders": new_orders,
+                               "order_details": new_details})
 
 
 # ---------------------------------------------------------------- correction

@@ -120,8 +120,11 @@ def _delta_row(df: DataFrame, *, row_key: Column | None = None, order_id: Column
     return df.select(*cols, *extra)
 
 
-def delta_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Incremental batch (stage.delta_orders shape) built from four scenario parts."""
+def delta_orders(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> DataFrame:
+    """Incremental batch (stage.delta_orders shape) built from four scenario parts.
+
+    ``raw`` is the initial batch with its helper columns (e.g. its snapshot);
+    it is derived from the tables when not given."""
     new_lines = fx_lines(spark, sf_dir, F.col("o_orderdate") >= F.lit(DELTA_START))
     part_new = _delta_row(
         new_lines,
@@ -129,7 +132,7 @@ def delta_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
                   .otherwise(F.col("quantity")),
         is_new_version=(F.col("k_cust") % NEW_CUSTOMER_MOD == 0))
 
-    raw = raw_orders(spark, sf_dir)
+    raw = raw if raw is not None else raw_orders(spark, sf_dir)
     part_dup = _delta_row(raw.filter(F.col("k_order") % DUPLICATE_ORDER_MOD == 0))
     part_scd1 = _delta_row(
         raw.filter((F.col("k_cust") % SCD1_CUSTOMER_MOD == 0) & (F.col("k_line") == 1)),

@@ -28,6 +28,9 @@ from ledgerloom.sources.tables import table_path
 CORRECTION = wh.Correction(start=dt.date(2000, 1, 1), end=dt.date(2000, 12, 31),
                            prefix="ORD-1", keep_percent=20)
 INPUT_TABLES = ["region", "nation", "customer", "part", "orders", "lineitem"]
+TABLES = ("customers", "addresses", "products", "orders", "order_details")
+STEP_METHODS = {"initial": "initial", "cleanup": "cleaned", "secondary": "secondary",
+                "correction": "corrected"}
 
 _RUNS: dict[tuple[int, str], "WarehouseRun"] = {}
 
@@ -47,6 +50,7 @@ class WarehouseRun:
         base = ensure_checkpoint_dir(spark).rstrip("/")
         self.root = f"{base}/ledgerloom-snapshots/{self._input_digest()}"
         self._memo: dict[str, object] = {}
+        self._parts: dict[str, dict[str, list[str]]] = {}
 
     # -- snapshot plumbing -------------------------------------------------
     def _fs(self, path: str):
@@ -80,7 +84,14 @@ class WarehouseRun:
             self._memo[key] = make()
         return self._memo[key]
 
-    def _state(self, step: str, make_state) -> wh.CoreState:
+    def read_parts(self, paths: list[str]) -> DataFrame:
+        return self.spark.read.parquet(*paths)
+
+    def _state(self, step: str, make_state, prev: str | None = None,
+               keep: tuple[str, ...] = ()) -> wh.CoreState:
+        """Materialise a step. Each table is a list of part folders: ``keep``
+        tables reuse the previous step's parts, tables the step appended to get
+        one new part with only the new rows, the rest are written whole."""
         def make():
             state = None
 
@@ -89,11 +100,29 @@ class WarehouseRun:
                 if state is None:
                     state = make_state()
                 return state
-            tables = {t: self.snapshot(f"{step}/{t}", lambda t=t: built().tables()[t])
-                      for t in ("customers", "addresses", "products", "orders", "order_details")}
-            return wh.CoreState(**tables)
+            if prev:
+                getattr(self, STEP_METHODS[prev])()   # materialise the previous step first
+            before = self._parts.get(prev, {}) if prev else {}
+            parts: dict[str, list[str]] = {}
+            for t in TABLES:
+                if t in keep:
+                    parts[t] = before[t]
+                    continue
+                path = f"{self.root}/{step}/{t}"
+                if t in before and t in built().appended:
+                    self._write_once(path, lambda t=t: built().appended[t])
+                    parts[t] = before[t] + [path]
+                else:
+                    self._write_once(path, lambda t=t: built().tables()[t])
+                    parts[t] = [path]
+            self._parts[step] = parts
+            return wh.CoreState(**{t: self.read_parts(parts[t]) for t in TABLES})
         return self._memoized(step, make)
 
+    def _write_once(self, path: str, build) -> None:
+        if not self._exists(path):
+            build().write.mode("overwrite").parquet(path)
+
     # -- steps ---------------------------------------------------------------
     def raw_orders(self) -> DataFrame:
         return self._memoized("raw", lambda: self.snapshot(
@@ -101,7 +130,8 @@ class WarehouseRun:
 
     def delta_orders(self) -> DataFrame:
         return self._memoized("delta", lambda: self.snapshot(
-            "stage/delta_orders", lambda: fixtures.delta_orders(self.spark, self.sf_dir)))
+            "stage/delta_orders",
+            lambda: fixtures.delta_orders(self.spark, self.sf_dir, self.raw_orders())))
 
     def initial(self) -> wh.CoreState:
         return self._state("initial", lambda: wh.initial_load(self.raw_orders()))
@@ -111,18 +141,48 @@ class WarehouseRun:
             s = self.initial()
             return wh.CoreState(s.customers, wh.cleanup_addresses(s.addresses), s.products,
                                 s.orders, s.order_details)
-        return self._state("cleanup", make)
+        return self._state("cleanup", make, prev="initial",
+                           keep=("customers", "products", "orders", "order_details"))
 
     def secondary(self) -> wh.CoreState:
         return self._state("secondary", lambda: wh.secondary_load(self.cleaned(),
-                                                                   self.delta_orders()))
+                                                                   self.delta_orders()),
+                           prev="cleanup")
 
     def corrected(self) -> wh.CoreState:
+        """Period correction. Only the part folders that hold deleted rows are
+        rewritten; all other parts are shared with the previous step."""
         def make():
             s = self.secondary()
-            orders, details, _, _ = wh.correct_period(s.orders, s.order_details, CORRECTION)
-            return wh.CoreState(s.customers, s.addresses, s.products, orders, details)
-        return self._state("correction", make)
+            before = self._parts["secondary"]
+            _, _, doomed, orphans = wh.correct_period(s.orders, s.order_details, CORRECTION)
+            parts = {t: before[t] for t in TABLES}
+            for t, key, gone in (("order_details", "order_detail_id", doomed),
+                                 ("orders", "order_id", orphans)):
+                hit = self._touched_parts(before[t], key, gone)
+                new_parts = []
+                for i, path in enumerate(before[t]):
+                    if i in hit:
+                        out = f"{self.root}/correction/{t}/part{i}"
+                        self._write_once(out, lambda p=path, k=key, g=gone: self.read_parts([p])
+                                         .join(g.select(k), k, "left_anti"))
+                        new_parts.append(out)
+                    else:
+                        new_parts.append(path)
+                parts[t] = new_parts
+            self._parts["correction"] = parts
+            return wh.CoreState(**{t: self.read_parts(parts[t]) for t in TABLES})
+        return self._memoized("correction", make)
+
+    def _touched_parts(self, paths: list[str], key: str, gone: DataFrame) -> set[int]:
+        """Indices of the part folders containing any key of ``gone`` (at most
+        one row per part comes back to the driver)."""
+        tagged = None
+        for i, p in enumerate(paths):
+            part = self.read_parts([p]).select(key, F.lit(i).alias("_part"))
+            tagged = part if tagged is None else tagged.unionByName(part)
+        hits = tagged.join(gone.select(key), key, "left_semi").select("_part").distinct()
+        return {r["_part"] for r in hits.collect()}
 
     def final(self) -> wh.CoreState:
         return self.corrected()
