@@ -53,4 +53,4 @@ def register(name: str, sql: str | None = None):
 def load_all() -> None:
     # Importing the modules registers their queries.
     from ledgerloom.plans import (  # noqa: F401
-        queries_core, queries_quality, queries_reports, queries_stage)
+        queries_core, queries_quality, queries_reports, queries_stage, queries_streaming)

@@ -84,6 +84,11 @@ class WarehouseRun:
             self._memo[key] = make()
         return self._memo[key]
 
+    def parts(self, step: str) -> dict[str, list[str]]:
+        """Part folders of every table after ``step`` (materialising it)."""
+        getattr(self, STEP_METHODS[step])()
+        return {t: list(p) for t, p in self._parts[step].items()}
+
     def read_parts(self, paths: list[str]) -> DataFrame:
         return self.spark.read.parquet(*paths)
 
