@@ -45,7 +45,7 @@ def initial_addresses(spark, sf):
 
 @register("initial_products", f"select {PROD} from x_p1")
 def initial_products(spark, sf):
-    """M3."""
+    """M3: distinct stage products, first-wins per product number, dense ids."""
     return wh.initial_products(W(spark, sf).raw_orders())
 
 

@@ -57,7 +57,7 @@ def total_sales(spark, sf):
 
 @register("total_profit", "select cast(sum(profit) as double) as total_profit from x_fact")
 def total_profit(spark, sf):
-    """B3."""
+    """SUM(profit)."""
     return _fact(spark, sf).agg(m.total_profit())
 
 
