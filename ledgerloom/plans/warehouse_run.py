@@ -14,6 +14,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import pathlib
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,7 +94,7 @@ class WarehouseRun:
         return self.spark.read.parquet(*paths)
 
     def _state(self, step: str, make_state, prev: str | None = None,
-               keep: tuple[str, ...] = ()) -> wh.CoreState:
+               keep: tuple[str, ...] = (), appended: tuple[str, ...] = ()) -> wh.CoreState:
         """Materialise a step. Each table is a list of part folders: ``keep``
         tables reuse the previous step's parts, tables the step appended to get
         one new part with only the new rows, the rest are written whole."""
@@ -109,21 +110,36 @@ class WarehouseRun:
                 getattr(self, STEP_METHODS[prev])()   # materialise the previous step first
             before = self._parts.get(prev, {}) if prev else {}
             parts: dict[str, list[str]] = {}
+            todo = []
             for t in TABLES:
                 if t in keep:
                     parts[t] = before[t]
                     continue
                 path = f"{self.root}/{step}/{t}"
-                if t in before and t in built().appended:
-                    self._write_once(path, lambda t=t: built().appended[t])
+                if t in before and t in appended:
+                    todo.append((path, lambda t=t: built().appended[t]))
                     parts[t] = before[t] + [path]
                 else:
-                    self._write_once(path, lambda t=t: built().tables()[t])
+                    todo.append((path, lambda t=t: built().tables()[t]))
                     parts[t] = [path]
+            self._write_all(todo)
             self._parts[step] = parts
             return wh.CoreState(**{t: self.read_parts(parts[t]) for t in TABLES})
         return self._memoized(step, make)
 
+    def _write_all(self, todo) -> None:
+        """Write independent snapshot folders concurrently (one Spark job per
+        thread); folders that already exist are skipped."""
+        missing = [(p, b) for p, b in todo if not self._exists(p)]
+        if not missing:
+            return
+        frames = [(p, b()) for p, b in missing]     # plans are built on this thread
+        if len(frames) == 1:
+            frames[0][1].write.mode("overwrite").parquet(frames[0][0])
+            return
+        with ThreadPoolExecutor(max_workers=len(frames)) as pool:
+            list(pool.map(lambda pf: pf[1].write.mode("overwrite").parquet(pf[0]), frames))
+
     def _write_once(self, path: str, build) -> None:
         if not self._exists(path):
             build().write.mode("overwrite").parquet(path)
@@ -139,7 +155,22 @@ class WarehouseRun:
             lambda: fixtures.delta_orders(self.spark, self.sf_dir, self.raw_orders())))
 
     def initial(self) -> wh.CoreState:
-        return self._state("initial", lambda: wh.initial_load(self.raw_orders()))
+        return self._state("initial", lambda: self._initial_load(self.raw_orders()))
+
+    @staticmethod
+    def _initial_load(raw: DataFrame) -> wh.CoreState:
+        """``wh.initial_load`` with independent tables built concurrently:
+        customers ∥ products, then addresses ∥ orders, then order details."""
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            fc = pool.submit(wh.initial_customers, raw)
+            fp = pool.submit(wh.initial_products, raw)
+            customers, products = fc.result(), fp.result()
+            fa = pool.submit(wh.initial_addresses, raw, customers)
+            fo = pool.submit(wh.initial_orders, raw, customers)
+            addresses, orders = fa.result(), fo.result()
+        return wh.CoreState(customers=customers, addresses=addresses, products=products,
+                            orders=orders,
+                            order_details=wh.initial_order_details(raw, orders, products))
 
     def cleaned(self) -> wh.CoreState:
         def make():
@@ -150,9 +181,32 @@ class WarehouseRun:
                            keep=("customers", "products", "orders", "order_details"))
 
     def secondary(self) -> wh.CoreState:
-        return self._state("secondary", lambda: wh.secondary_load(self.cleaned(),
-                                                                   self.delta_orders()),
-                           prev="cleanup")
+        return self._state("secondary", lambda: self._secondary_load(self.cleaned(),
+                                                                      self.delta_orders()),
+                           prev="cleanup", appended=("products", "orders", "order_details"))
+
+    @staticmethod
+    def _secondary_load(state: wh.CoreState, delta: DataFrame) -> wh.CoreState:
+        """``wh.secondary_load`` in statement order, with independent pieces
+        built concurrently: customers (SCD1) ∥ products, then SCD2 ∥ orders,
+        then order details."""
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            fc = pool.submit(wh.scd1_customers, state.customers, delta)
+            fp = pool.submit(wh.secondary_products, state.products, delta)
+            (customers, scd1), new_products = fc.result(), fp.result()
+            fa = pool.submit(wh.scd2_addresses, state.addresses, customers, delta)
+            fo = pool.submit(wh.secondary_orders, state.orders, customers, delta)
+            (addresses, closing, _), new_orders = fa.result(), fo.result()
+        products = state.products.unionByName(new_products)
+        orders = state.orders.unionByName(new_orders)
+        new_details = wh.secondary_order_details(state.order_details, orders, products, delta)
+        return wh.CoreState(customers=customers, addresses=addresses, products=products,
+                            orders=orders,
+                            order_details=state.order_details.unionByName(new_details),
+                            counters={"scd1": scd1, "closed": closing, "orders": new_orders,
+                                      "details": new_details},
+                            appended={"products": new_products, "orders": new_orders,
+                                      "order_details": new_details})
 
     def corrected(self) -> wh.CoreState:
         """Period correction. Only the part folders that hold deleted rows are
@@ -162,6 +216,7 @@ class WarehouseRun:
             before = self._parts["secondary"]
             _, _, doomed, orphans = wh.correct_period(s.orders, s.order_details, CORRECTION)
             parts = {t: before[t] for t in TABLES}
+            todo = []
             for t, key, gone in (("order_details", "order_detail_id", doomed),
                                  ("orders", "order_id", orphans)):
                 hit = self._touched_parts(before[t], key, gone)
@@ -169,12 +224,13 @@ class WarehouseRun:
                 for i, path in enumerate(before[t]):
                     if i in hit:
                         out = f"{self.root}/correction/{t}/part{i}"
-                        self._write_once(out, lambda p=path, k=key, g=gone: self.read_parts([p])
-                                         .join(g.select(k), k, "left_anti"))
+                        todo.append((out, lambda p=path, k=key, g=gone: self.read_parts([p])
+                                     .join(g.select(k), k, "left_anti")))
                         new_parts.append(out)
                     else:
                         new_parts.append(path)
                 parts[t] = new_parts
+            self._write_all(todo)
             self._parts["correction"] = parts
             return wh.CoreState(**{t: self.read_parts(parts[t]) for t in TABLES})
         return self._memoized("correction", make)
