@@ -36,20 +36,31 @@ def orders_with_geography(orders: DataFrame, addresses: DataFrame) -> DataFrame:
     """Each order header LEFT JOIN the address versions valid on its date
     (both ends inclusive, open end = NULL). Overlapping versions fan out.
 
-    Joined on headers, not lines: the range predicate is a residual on the
-    customer equi-join, and headers are far fewer than lines.
+    A range join: besides the customer, the equi-key carries the order year.
+    Each version is repeated once per year it covers (open versions up to the
+    latest order year), so an order only meets the versions overlapping its
+    year instead of all versions of its customer; every matching pair still
+    meets exactly once (an order has one year). Joined on headers, not lines,
+    which are far fewer.
     """
-    o = orders.select("order_id", "order_number", "order_date", "ship_date", "ship_mode",
-                      "customer_id").alias("o")
-    a = addresses.select(F.col("customer_id").alias("a_customer"), "address_id", "valid_from",
-                         "valid_to", F.col("country").alias("sales_country"),
-                         F.col("region").alias("sales_region"),
-                         F.col("state").alias("sales_state"),
-                         F.col("city").alias("sales_city")).alias("a")
+    o = (orders.select("order_id", "order_number", "order_date", "ship_date", "ship_mode",
+                       "customer_id")
+         .withColumn("_year", F.year("order_date")).alias("o"))
+    last_year = orders.agg(F.max(F.year("order_date")).alias("_last"))
+    first = F.year("valid_from")
+    last = F.coalesce(F.year("valid_to"), F.col("_last"))
+    a = (addresses.crossJoin(F.broadcast(last_year))
+         .select(F.col("customer_id").alias("a_customer"), "address_id", "valid_from",
+                 "valid_to", F.col("country").alias("sales_country"),
+                 F.col("region").alias("sales_region"), F.col("state").alias("sales_state"),
+                 F.col("city").alias("sales_city"),
+                 F.explode(F.sequence(first, F.greatest(first, last))).alias("a_year"))
+         .alias("a"))
     cond = ((F.col("o.customer_id") == F.col("a.a_customer"))
+            & (F.col("o._year") == F.col("a.a_year"))
             & (F.col("o.order_date") >= F.col("a.valid_from"))
             & (F.col("a.valid_to").isNull() | (F.col("o.order_date") <= F.col("a.valid_to"))))
-    return o.join(a, cond, "left").drop("a_customer")
+    return o.join(a, cond, "left").drop("a_customer", "a_year", "_year")
 
 
 def _fact(details: DataFrame, headers: DataFrame) -> DataFrame:
