@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import (
-    asc_last, distinct_from_any, effective_from, md5_bucket, parse_date, repair_quantity,
+    asc_last, effective_from, md5_bucket, not_distinct_all, parse_date, repair_quantity,
     repair_ship_date)
 from ledgerloom.operators.dedupe import first_wins, keep_newest_flags, latest_per_key
 from ledgerloom.operators.keys import assign_dense_keys
@@ -223,20 +223,34 @@ def _version_rows(delta: DataFrame, customers: DataFrame,
 def scd2_close_candidates(addresses: DataFrame, customers: DataFrame,
                           delta: DataFrame) -> DataFrame:
     """Per current address that some new-version row contradicts (any of 5
-    attributes IS DISTINCT FROM), the earliest such row's start date."""
+    attributes IS DISTINCT FROM), the earliest such row's start date.
+
+    No address × version pairs are formed. The batch's version rows are first
+    reduced to one row per (customer, distinct address) with its earliest
+    start; of those only each customer's two earliest are kept (a top-2 that
+    Spark limits map-side). An address's earliest *differing* version is the
+    first of the two unless that one has the address's own attributes, in
+    which case it is the second; with no second there is nothing to close.
+    """
     rows, ids = _version_rows(delta, customers, True)
-    # One row per customer and distinct address before the join: a hot
-    # customer is reduced map-side to its few distinct addresses.
     rows = rows.groupBy("customer_number", *ADDRESS_ATTRS).agg(F.min("new_from").alias("new_from"))
-    rows = rows.join(ids, "customer_number")
-    cur = addresses.filter(F.col("is_current")).alias("a")
-    s = rows.alias("s")
-    pairs = [(F.col(f"a.{c}"), F.col(f"s.{c}")) for c in CLOSE_ATTRS]
-    return (cur.join(s, F.col("a.customer_id") == F.col("s.customer_id"))
-            .filter(distinct_from_any(pairs))
-            .groupBy(F.col("a.address_id").alias("address_id"),
-                     F.col("a.valid_from").alias("old_from"))
-            .agg(F.min("s.new_from").alias("new_from")))
+    w = Window.partitionBy("customer_number").orderBy(F.col("new_from").asc_nulls_last(),
+                                                      *asc_last(*ADDRESS_ATTRS))
+    top2 = (rows.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= 2)
+            .join(ids, "customer_number"))
+    first = top2.filter(F.col("_rn") == 1).select(
+        F.col("customer_id").alias("_c1"), F.col("new_from").alias("_d1"),
+        *[F.col(c).alias(f"_1{c}") for c in CLOSE_ATTRS])
+    second = top2.filter(F.col("_rn") == 2).select(
+        F.col("customer_id").alias("_c2"), F.col("new_from").alias("_d2"),
+        F.lit(True).alias("_has2"))
+    cur = addresses.filter(F.col("is_current"))
+    j = (cur.join(first, F.col("customer_id") == F.col("_c1"))
+         .join(second, F.col("customer_id") == F.col("_c2"), "left"))
+    same_as_first = not_distinct_all([(F.col(c), F.col(f"_1{c}")) for c in CLOSE_ATTRS])
+    return (j.filter(~same_as_first | F.col("_has2").isNotNull())
+            .select("address_id", F.col("valid_from").alias("old_from"),
+                    F.when(same_as_first, F.col("_d2")).otherwise(F.col("_d1")).alias("new_from")))
 
 
 def scd2_close_versions(addresses: DataFrame, customers: DataFrame,

@@ -140,3 +140,25 @@ def test_cleanup_keeps_newest_current_address(spark):
                    3: (True, None), 4: (False, D(1999, 1, 2))}
     assert (wh.cleanup_addresses(addresses).filter("is_current")
             .groupBy("customer_id").count().filter(F.col("count") > 1).count()) == 0
+
+
+def test_scd2_close_uses_earliest_differing_version(spark):
+    customers = _customers(spark, [dict(customer_id=1, customer_number="C1", customer_name="Ann",
+                                        segment="A"),
+                                   dict(customer_id=2, customer_number="C2", customer_name="Bo",
+                                        segment="A")])
+    addresses = core(spark, "addresses", [
+        address(1, 1, D(1999, 1, 1), city="A"),      # equal to the earliest version
+        address(2, 1, D(1999, 1, 1), city="Z"),      # differs from every version
+        address(3, 2, D(1999, 1, 1), city="Q"),      # only version is identical
+    ])
+    delta = stage(spark, [
+        dict(row_key="1", customer_id="C1", city="X", valid_from="2000-03-01", is_new_version=True),
+        dict(row_key="2", customer_id="C1", city="A", valid_from="2000-01-01", is_new_version=True),
+        dict(row_key="3", customer_id="C1", city="Y", valid_from="2000-02-01", is_new_version=True),
+        dict(row_key="4", customer_id="C1", city="Y", valid_from="2000-05-01", is_new_version=True),
+        dict(row_key="5", customer_id="C2", city="Q", valid_from="2000-01-01", is_new_version=True),
+    ])
+    got = {r["address_id"]: r["new_from"]
+           for r in wh.scd2_close_candidates(addresses, customers, delta).collect()}
+    assert got == {1: D(2000, 2, 1), 2: D(2000, 1, 1)}
