@@ -7,7 +7,7 @@ joins and aggregates — no per-customer Python loop.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import distinct_from_any
@@ -30,17 +30,33 @@ def delta_duplicates(loaded: DataFrame, incoming: DataFrame) -> DataFrame:
     return inc.join(old, cond, "left_semi")
 
 
+def _differs_from_some(c: str) -> Column:
+    """Incoming ``c`` IS DISTINCT FROM at least one loaded value of the key,
+    decided from the key's min, max and NULL presence (no line pairs)."""
+    v = F.col(c)
+    return (F.when(v.isNull(), F.col(f"_{c}_has_val"))
+            .otherwise(F.col(f"_{c}_has_null") | (F.col(f"_{c}_min") != v)
+                       | (F.col(f"_{c}_max") != v)))
+
+
 def delta_scd1_rows(loaded: DataFrame, incoming: DataFrame) -> DataFrame:
     """Incoming lines that re-send a loaded line (same order and product) with a
-    changed name, segment or amount; one row per incoming line with flags."""
-    old = loaded.select(*LINE_KEY, F.col("customer_name").alias("o_name"),
-                        F.col("segment").alias("o_segment"), F.col("sales").alias("o_sales"))
-    j = incoming.select("row_key", "customer_id", *LINE_KEY, "customer_name", "segment",
-                        "sales").join(old, LINE_KEY)
+    changed name, segment or amount; one row per incoming line with flags.
+
+    The loaded side is reduced to one row per (order, product) first, so a
+    line key repeated many times never multiplies the incoming rows."""
+    checked = ["customer_name", "segment", "sales"]
+    aggs = []
+    for c in checked:
+        aggs += [F.min(c).alias(f"_{c}_min"), F.max(c).alias(f"_{c}_max"),
+                 F.max(F.col(c).isNull()).alias(f"_{c}_has_null"),
+                 F.max(F.col(c).isNotNull()).alias(f"_{c}_has_val")]
+    per_key = loaded.groupBy(*LINE_KEY).agg(*aggs)
+    j = incoming.select("row_key", "customer_id", *LINE_KEY, *checked).join(per_key, LINE_KEY)
     flags = j.groupBy("row_key", "customer_id").agg(
-        F.max(~F.col("customer_name").eqNullSafe(F.col("o_name"))).alias("name_changed"),
-        F.max(~F.col("segment").eqNullSafe(F.col("o_segment"))).alias("segment_changed"),
-        F.max(~F.col("sales").eqNullSafe(F.col("o_sales"))).alias("sales_changed"))
+        F.max(_differs_from_some("customer_name")).alias("name_changed"),
+        F.max(_differs_from_some("segment")).alias("segment_changed"),
+        F.max(_differs_from_some("sales")).alias("sales_changed"))
     return flags.filter(F.col("name_changed") | F.col("segment_changed") | F.col("sales_changed"))
 
 

@@ -100,3 +100,22 @@ def test_correction_thins_prefix_lines_and_drops_orphans(spark):
     assert kept.filter("order_id = 4").count() == 2
     n_doomed = doomed.count()
     assert 0 < n_doomed < 40 and kept.count() == 42 - n_doomed
+
+
+def test_delta_scd1_flags_against_every_loaded_value(spark):
+    from ledgerloom.operators.delta import delta_scd1_rows
+    loaded = stage(spark, [
+        dict(row_key="l1", order_id="O1", product_id="P1", customer_name="Ann", segment=None),
+        dict(row_key="l2", order_id="O1", product_id="P1", customer_name="Ann", segment="S"),
+        dict(row_key="l3", order_id="O2", product_id="P1", customer_name="Bo", segment="S"),
+    ])
+    incoming = stage(spark, [
+        dict(row_key="i1", order_id="O1", product_id="P1", customer_name="Ann", segment="S"),
+        dict(row_key="i2", order_id="O2", product_id="P1", customer_name="Bo", segment="S"),
+        dict(row_key="i3", order_id="O2", product_id="P1", customer_name="Bob", segment=None),
+        dict(row_key="i4", order_id="O9", product_id="P1", customer_name="Zed"),
+    ])
+    got = {r["row_key"]: (r["name_changed"], r["segment_changed"], r["sales_changed"])
+           for r in delta_scd1_rows(loaded, incoming).collect()}
+    # i1 differs from the NULL segment of l1; i2 is identical; i4 has no loaded line
+    assert got == {"i1": (False, True, False), "i3": (True, True, False)}
