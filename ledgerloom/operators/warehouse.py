@@ -75,11 +75,14 @@ def initial_customers(raw: DataFrame) -> DataFrame:
 def initial_addresses(raw: DataFrame, customers: DataFrame) -> DataFrame:
     """Every distinct address of a customer, all current, all starting on the
     customer's first order date."""
+    # Distinct addresses and each customer's first order date, both as
+    # map-side-combined aggregates; a customer with very many addresses is a
+    # skewed join key that AQE can split (a window over it could not be).
     per_address = (raw.groupBy(F.col("customer_id").alias("customer_number"), *ADDRESS_ATTRS)
                    .agg(F.min(parse_date("order_date")).alias("_first")))
-    per_address = per_address.withColumn(
-        "valid_from", F.min("_first").over(Window.partitionBy("customer_number")))
-    rows = (per_address.join(_customer_ids(customers), "customer_number")
+    first_order = per_address.groupBy("customer_number").agg(F.min("_first").alias("valid_from"))
+    rows = (per_address.join(first_order, "customer_number")
+            .join(_customer_ids(customers), "customer_number")
             .select("customer_id", *ADDRESS_ATTRS, "valid_from"))
     keyed = assign_dense_keys(rows, "address_id", asc_last(*ADDRESS_ORDER))
     return (keyed.withColumn("valid_to", F.lit(None).cast("date"))
