@@ -83,7 +83,11 @@ def fx_lines(spark: SparkSession, sf_dir: str, order_filter: Column | None = Non
     geo = (read_table(spark, sf_dir, "nation")
            .join(F.broadcast(read_table(spark, sf_dir, "region")),
                  F.col("n_regionkey") == F.col("r_regionkey")))
-    flat = (lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    # lineitem ⋈ orders joins the two largest tables: a shuffle (sort-merge)
+    # join on the order key, as it would be at any real size. Stating it also
+    # keeps small inputs from running the whole line pipeline in as few tasks
+    # as the lineitem file has row groups.
+    flat = (lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
             .join(customer, F.col("o_custkey") == F.col("c_custkey"))
             .join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"))
             .join(part, F.col("l_partkey") == F.col("p_partkey")))

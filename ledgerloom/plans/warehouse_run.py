@@ -265,6 +265,17 @@ class WarehouseRun:
             "mart/dim_customers", lambda: mart.dim_customers(s.customers, s.addresses)))
 
 
+    def register_views(self, prefix: str = "") -> list[str]:
+        """The mart (and final core tables) as temp views, for ``spark.sql``:
+        ``dim_products``, ``dim_customers``, ``fact_sales`` and ``core_*``."""
+        views = {"dim_products": self.dim_products(), "dim_customers": self.dim_customers(),
+                 "fact_sales": self.fact_sales()}
+        views.update({f"core_{t}": df for t, df in self.final().tables().items()})
+        for name, df in views.items():
+            df.createOrReplaceTempView(prefix + name)
+        return [prefix + n for n in views]
+
+
 def warehouse(spark: SparkSession, sf_dir: str) -> WarehouseRun:
     key = (id(spark), sf_dir)
     run = _RUNS.get(key)
