@@ -26,6 +26,10 @@ from pyspark.sql import functions as F
 
 from ledgerloom.session import ensure_checkpoint_dir, shuffle_partitions
 
+# Staging folders written so far; a caller that has materialised the keyed
+# result (e.g. a snapshot writer) may delete the ones it created.
+STAGED: list[str] = []
+
 
 def assign_dense_keys(df: DataFrame, key: str, order: Sequence[Column],
                       start: DataFrame | int = 0, partitions: int | None = None) -> DataFrame:
@@ -42,6 +46,7 @@ def assign_dense_keys(df: DataFrame, key: str, order: Sequence[Column],
      .withColumn("_pid", pid)
      .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33))
      .write.mode("overwrite").parquet(path))
+    STAGED.append(path)
     tagged = spark.read.parquet(path)
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -19,7 +19,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import audit, mart
+from ledgerloom.operators import audit, keys, mart
 from ledgerloom.operators import warehouse as wh
 from ledgerloom.plans import fixtures
 from ledgerloom.session import ensure_checkpoint_dir
@@ -33,7 +33,11 @@ TABLES = ("customers", "addresses", "products", "orders", "order_details")
 STEP_METHODS = {"initial": "initial", "cleanup": "cleaned", "secondary": "secondary",
                 "correction": "corrected"}
 
-_RUNS: dict[tuple[int, str], "WarehouseRun"] = {}
+# Sub-folder of the checkpoint folder that holds the snapshots (a benchmark
+# points it at a fresh folder to measure a cold build).
+NAMESPACE = "ledgerloom-snapshots"
+
+_RUNS: dict[tuple[int, str, str], "WarehouseRun"] = {}
 
 
 def _code_version() -> str:
@@ -49,7 +53,7 @@ class WarehouseRun:
         self.spark = spark
         self.sf_dir = sf_dir
         base = ensure_checkpoint_dir(spark).rstrip("/")
-        self.root = f"{base}/ledgerloom-snapshots/{self._input_digest()}"
+        self.root = f"{base}/{NAMESPACE}/{self._input_digest()}"
         self._memo: dict[str, object] = {}
         self._parts: dict[str, dict[str, list[str]]] = {}
 
@@ -99,6 +103,7 @@ class WarehouseRun:
         tables reuse the previous step's parts, tables the step appended to get
         one new part with only the new rows, the rest are written whole."""
         def make():
+            staged_before = len(keys.STAGED)
             state = None
 
             def built() -> wh.CoreState:
@@ -123,6 +128,7 @@ class WarehouseRun:
                     todo.append((path, lambda t=t: built().tables()[t]))
                     parts[t] = [path]
             self._write_all(todo)
+            self._drop_staging(staged_before)
             self._parts[step] = parts
             return wh.CoreState(**{t: self.read_parts(parts[t]) for t in TABLES})
         return self._memoized(step, make)
@@ -140,6 +146,13 @@ class WarehouseRun:
         with ThreadPoolExecutor(max_workers=len(frames)) as pool:
             list(pool.map(lambda pf: pf[1].write.mode("overwrite").parquet(pf[0]), frames))
 
+    def _drop_staging(self, since: int) -> None:
+        """Delete key-staging folders created while building a step: the step's
+        snapshots are written, so nothing reads them any more."""
+        for path in keys.STAGED[since:]:
+            fs, p = self._fs(path)
+            fs.delete(p, True)
+
     def _write_once(self, path: str, build) -> None:
         if not self._exists(path):
             build().write.mode("overwrite").parquet(path)
@@ -277,7 +290,7 @@ class WarehouseRun:
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> WarehouseRun:
-    key = (id(spark), sf_dir)
+    key = (id(spark), sf_dir, NAMESPACE)
     run = _RUNS.get(key)
     if run is None:
         run = _RUNS[key] = WarehouseRun(spark, sf_dir)

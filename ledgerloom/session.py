@@ -51,7 +51,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if jdir.isDefined():
         path = jdir.get()
     else:
-        path = tempfile.mkdtemp(prefix="ledgerloom-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        # Local runs only (a cluster names its shared folder): one stable
+        # folder, so later sessions reuse the snapshots keyed by input + code.
+        path = os.path.join(tempfile.gettempdir(), "ledgerloom-checkpoints")
+        os.makedirs(path, exist_ok=True)
         spark.sparkContext.setCheckpointDir(path)
     spark.conf.set("spark.checkpoint.dir", path)
     return path

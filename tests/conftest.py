@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -13,9 +12,9 @@ sys.path.insert(0, ROOT)
 @pytest.fixture(scope="session")
 def spark():
     from ledgerloom.session import build_session
-    # Tests have no cluster checkpoint folder, so they name their own scratch one.
-    ckpt = tempfile.mkdtemp(prefix="ledgerloom-test-")
+    # The checkpoint folder is the session's; build_session names a local one
+    # only when none is configured.
     s = build_session(master="local[*]", shuffle_partitions=8,
-                      extra={"spark.checkpoint.dir": ckpt, "spark.driver.memory": "4g"})
+                      extra={"spark.driver.memory": "4g"})
     yield s
     s.stop()
