@@ -14,6 +14,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import pathlib
+import threading
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,6 +39,7 @@ STEP_METHODS = {"initial": "initial", "cleanup": "cleaned", "secondary": "second
 NAMESPACE = "ledgerloom-snapshots"
 
 _RUNS: dict[tuple[int, str, str], "WarehouseRun"] = {}
+_RUNS_LOCK = threading.Lock()
 
 
 def _code_version() -> str:
@@ -56,6 +58,7 @@ class WarehouseRun:
         self.root = f"{base}/{NAMESPACE}/{self._input_digest()}"
         self._memo: dict[str, object] = {}
         self._parts: dict[str, dict[str, list[str]]] = {}
+        self._lock = threading.RLock()
 
     # -- snapshot plumbing -------------------------------------------------
     def _fs(self, path: str):
@@ -85,9 +88,11 @@ class WarehouseRun:
         return self.spark.read.parquet(path)
 
     def _memoized(self, key: str, make):
-        if key not in self._memo:
-            self._memo[key] = make()
-        return self._memo[key]
+        # One builder per step even when queries run on several threads.
+        with self._lock:
+            if key not in self._memo:
+                self._memo[key] = make()
+            return self._memo[key]
 
     def parts(self, step: str) -> dict[str, list[str]]:
         """Part folders of every table after ``step`` (materialising it)."""
@@ -228,6 +233,10 @@ class WarehouseRun:
             s = self.secondary()
             before = self._parts["secondary"]
             _, _, doomed, orphans = wh.correct_period(s.orders, s.order_details, CORRECTION)
+            # The deleted ids, written once: a record of the correction, and
+            # read (not recomputed) by the part checks and rewrites below.
+            doomed = self.snapshot("correction/deleted_order_details", lambda: doomed)
+            orphans = self.snapshot("correction/deleted_orders", lambda: orphans)
             parts = {t: before[t] for t in TABLES}
             todo = []
             for t, key, gone in (("order_details", "order_detail_id", doomed),
@@ -291,7 +300,8 @@ class WarehouseRun:
 
 def warehouse(spark: SparkSession, sf_dir: str) -> WarehouseRun:
     key = (id(spark), sf_dir, NAMESPACE)
-    run = _RUNS.get(key)
-    if run is None:
-        run = _RUNS[key] = WarehouseRun(spark, sf_dir)
-    return run
+    with _RUNS_LOCK:
+        run = _RUNS.get(key)
+        if run is None:
+            run = _RUNS[key] = WarehouseRun(spark, sf_dir)
+        return run
