@@ -173,22 +173,39 @@ class WarehouseRun:
             lambda: fixtures.delta_orders(self.spark, self.sf_dir, self.raw_orders())))
 
     def initial(self) -> wh.CoreState:
-        return self._state("initial", lambda: self._initial_load(self.raw_orders()))
-
-    @staticmethod
-    def _initial_load(raw: DataFrame) -> wh.CoreState:
-        """``wh.initial_load`` with independent tables built concurrently:
-        customers ∥ products, then addresses ∥ orders, then order details."""
+        return self._memoized("initial", self._build_initial)
+
+    def _table(self, step: str, t: str, build) -> DataFrame:
+        """Write one table of a step as soon as it is built and hand dependents
+        the written copy, so no later statement re-runs its plan."""
+        path = f"{self.root}/{step}/{t}"
+        self._write_once(path, build)
+        return self.read_parts([path])
+
+    def _append(self, step: str, t: str, before: dict[str, list[str]], build) -> DataFrame:
+        """Write only the new rows of an append-only table as one more part."""
+        path = f"{self.root}/{step}/{t}"
+        self._write_once(path, build)
+        return self.read_parts(before[t] + [path])
+
+    def _build_initial(self) -> wh.CoreState:
+        """``wh.initial_load`` statement by statement, independent tables built
+        concurrently: customers ∥ products, then addresses ∥ orders, then lines."""
+        raw = self.raw_orders()
+        step, since = "initial", len(keys.STAGED)
         with ThreadPoolExecutor(max_workers=2) as pool:
-            fc = pool.submit(wh.initial_customers, raw)
-            fp = pool.submit(wh.initial_products, raw)
+            fc = pool.submit(self._table, step, "customers", lambda: wh.initial_customers(raw))
+            fp = pool.submit(self._table, step, "products", lambda: wh.initial_products(raw))
             customers, products = fc.result(), fp.result()
-            fa = pool.submit(wh.initial_addresses, raw, customers)
-            fo = pool.submit(wh.initial_orders, raw, customers)
+            fa = pool.submit(self._table, step, "addresses",
+                             lambda: wh.initial_addresses(raw, customers))
+            fo = pool.submit(self._table, step, "orders", lambda: wh.initial_orders(raw, customers))
             addresses, orders = fa.result(), fo.result()
-        return wh.CoreState(customers=customers, addresses=addresses, products=products,
-                            orders=orders,
-                            order_details=wh.initial_order_details(raw, orders, products))
+        details = self._table(step, "order_details",
+                              lambda: wh.initial_order_details(raw, orders, products))
+        self._drop_staging(since)
+        self._parts[step] = {t: [f"{self.root}/{step}/{t}"] for t in TABLES}
+        return wh.CoreState(customers, addresses, products, orders, details)
 
     def cleaned(self) -> wh.CoreState:
         def make():
@@ -199,32 +216,37 @@ class WarehouseRun:
                            keep=("customers", "products", "orders", "order_details"))
 
     def secondary(self) -> wh.CoreState:
-        return self._state("secondary", lambda: self._secondary_load(self.cleaned(),
-                                                                      self.delta_orders()),
-                           prev="cleanup", appended=("products", "orders", "order_details"))
-
-    @staticmethod
-    def _secondary_load(state: wh.CoreState, delta: DataFrame) -> wh.CoreState:
-        """``wh.secondary_load`` in statement order, with independent pieces
-        built concurrently: customers (SCD1) ∥ products, then SCD2 ∥ orders,
-        then order details."""
+        return self._memoized("secondary", self._build_secondary)
+
+    def _build_secondary(self) -> wh.CoreState:
+        """``wh.secondary_load`` statement by statement (each statement reads
+        the written result of the one before): customers (SCD1) ∥ products,
+        then SCD2 addresses ∥ orders, then order lines. Products, orders and
+        lines only add a part with the batch's new rows."""
+        c = self.cleaned()
+        delta = self.delta_orders()
+        before = self._parts["cleanup"]
+        step, since = "secondary", len(keys.STAGED)
         with ThreadPoolExecutor(max_workers=2) as pool:
-            fc = pool.submit(wh.scd1_customers, state.customers, delta)
-            fp = pool.submit(wh.secondary_products, state.products, delta)
-            (customers, scd1), new_products = fc.result(), fp.result()
-            fa = pool.submit(wh.scd2_addresses, state.addresses, customers, delta)
-            fo = pool.submit(wh.secondary_orders, state.orders, customers, delta)
-            (addresses, closing, _), new_orders = fa.result(), fo.result()
-        products = state.products.unionByName(new_products)
-        orders = state.orders.unionByName(new_orders)
-        new_details = wh.secondary_order_details(state.order_details, orders, products, delta)
-        return wh.CoreState(customers=customers, addresses=addresses, products=products,
-                            orders=orders,
-                            order_details=state.order_details.unionByName(new_details),
-                            counters={"scd1": scd1, "closed": closing, "orders": new_orders,
-                                      "details": new_details},
-                            appended={"products": new_products, "orders": new_orders,
-                                      "order_details": new_details})
+            fc = pool.submit(self._table, step, "customers",
+                             lambda: wh.scd1_customers(c.customers, delta)[0])
+            fp = pool.submit(self._append, step, "products", before,
+                             lambda: wh.secondary_products(c.products, delta))
+            customers, products = fc.result(), fp.result()
+            fa = pool.submit(self._table, step, "addresses",
+                             lambda: wh.scd2_addresses(c.addresses, customers, delta)[0])
+            fo = pool.submit(self._append, step, "orders", before,
+                             lambda: wh.secondary_orders(c.orders, customers, delta))
+            addresses, orders = fa.result(), fo.result()
+        details = self._append(step, "order_details", before,
+                               lambda: wh.secondary_order_details(c.order_details, orders,
+                                                                  products, delta))
+        self._drop_staging(since)
+        parts = {t: [f"{self.root}/{step}/{t}"] for t in ("customers", "addresses")}
+        for t in ("products", "orders", "order_details"):
+            parts[t] = before[t] + [f"{self.root}/{step}/{t}"]
+        self._parts[step] = parts
+        return wh.CoreState(customers, addresses, products, orders, details)
 
     def corrected(self) -> wh.CoreState:
         """Period correction. Only the part folders that hold deleted rows are
