@@ -18,7 +18,7 @@ from ledgerloom.schemas import DELTA_COLUMNS, RAW_COLUMNS
 from ledgerloom.sources.tables import read_table
 
 # Fixed values of the scenario rules.
-DELTA_START = dt.datetime(2000, 1, 1)      # orders from here on arrive in the delta
+DELTA_START = "2000-01-01 00:00:00"       # orders from here on arrive in the delta
 NEW_CUSTOMER_MOD = 13                      # customers seen only in the delta
 DUPLICATE_ORDER_MOD = 50                   # initial lines re-sent unchanged
 SCD1_CUSTOMER_MOD = 11                     # renamed customers (line 1 only)
@@ -28,6 +28,13 @@ ZERO_QTY_ORDER_MOD = 29                    # new lines arriving with quantity 0
 HELPER_COLUMNS = ["k_order", "k_cust", "k_line", "k_region"]
 
 
+def _ntz(text: str) -> Column:
+    """A TIMESTAMP_NTZ literal: compares with the tables' timestamp_ntz columns
+    without any time-zone conversion (a Python datetime literal would be
+    zone-dependent), and still reaches the Parquet filter."""
+    return F.expr(f"TIMESTAMP_NTZ'{text}'")
+
+
 def _line_columns() -> list[Column]:
     e = F.expr
     return [
@@ -97,7 +104,7 @@ def fx_lines(spark: SparkSession, sf_dir: str, order_filter: Column | None = Non
 def raw_orders(spark: SparkSession, sf_dir: str, with_helpers: bool = True) -> DataFrame:
     """Initial batch: orders before the delta start, minus delta-only customers."""
     df = (fx_lines(spark, sf_dir,
-                   (F.col("o_orderdate") < F.lit(DELTA_START))
+                   (F.col("o_orderdate") < _ntz(DELTA_START))
                    & (F.col("o_custkey") % NEW_CUSTOMER_MOD != 0)))
     return df if with_helpers else df.drop(*HELPER_COLUMNS)
 
@@ -129,7 +136,7 @@ def delta_orders(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None)
 
     ``raw`` is the initial batch with its helper columns (e.g. its snapshot);
     it is derived from the tables when not given."""
-    new_lines = fx_lines(spark, sf_dir, F.col("o_orderdate") >= F.lit(DELTA_START))
+    new_lines = fx_lines(spark, sf_dir, F.col("o_orderdate") >= _ntz(DELTA_START))
     part_new = _delta_row(
         new_lines,
         quantity=F.when(F.col("k_order") % ZERO_QTY_ORDER_MOD == 0, F.lit(0))
