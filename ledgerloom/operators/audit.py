@@ -63,3 +63,10 @@ def evolve_audit_columns(audit: DataFrame) -> DataFrame:
         else:
             audit = audit.withColumn(c, F.coalesce(F.col(c).cast("long"), F.lit(0).cast("long")))
     return audit
+
+
+def with_times(audit: DataFrame) -> DataFrame:
+    """Start/end timestamps for an audit row that is persisted as a log
+    (left out of compared results: they are not deterministic)."""
+    return (audit.withColumn("start_time", F.current_timestamp())
+            .withColumn("end_time", F.current_timestamp()))
