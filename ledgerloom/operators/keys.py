@@ -20,15 +20,34 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.session import ensure_checkpoint_dir, shuffle_partitions
 
-# Staging folders written so far; a caller that has materialised the keyed
-# result (e.g. a snapshot writer) may delete the ones it created.
-STAGED: list[str] = []
+# Staging folders written so far, with the scope that wrote them. A caller
+# that has materialised the keyed result (a snapshot writer) opens a scope and
+# deletes only its own folders afterwards; other callers' folders are kept.
+_OWNER: ContextVar[str | None] = ContextVar("ledgerloom_staging_owner", default=None)
+_STAGED: list[tuple[str | None, str]] = []
+
+
+@contextmanager
+def staging_scope():
+    """Tag staging folders created in this context (and in threads started
+    with a copy of it) with a fresh owner id, yielded to the caller."""
+    token = _OWNER.set(uuid.uuid4().hex)
+    try:
+        yield _OWNER.get()
+    finally:
+        _OWNER.reset(token)
+
+
+def staged_by(owner: str) -> list[str]:
+    return [p for o, p in _STAGED if o == owner]
 
 
 def assign_dense_keys(df: DataFrame, key: str, order: Sequence[Column],
@@ -46,7 +65,7 @@ def assign_dense_keys(df: DataFrame, key: str, order: Sequence[Column],
      .withColumn("_pid", pid)
      .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33))
      .write.mode("overwrite").parquet(path))
-    STAGED.append(path)
+    _STAGED.append((_OWNER.get(), path))
     tagged = spark.read.parquet(path)
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

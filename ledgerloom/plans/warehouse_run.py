@@ -12,6 +12,7 @@ and the code version, so a changed input or operator never reuses stale data.
 from __future__ import annotations
 
 import datetime as dt
+import contextvars
 import hashlib
 import pathlib
 import threading
@@ -108,7 +109,6 @@ class WarehouseRun:
         tables reuse the previous step's parts, tables the step appended to get
         one new part with only the new rows, the rest are written whole."""
         def make():
-            staged_before = len(keys.STAGED)
             state = None
 
             def built() -> wh.CoreState:
@@ -133,7 +133,6 @@ class WarehouseRun:
                     todo.append((path, lambda t=t: built().tables()[t]))
                     parts[t] = [path]
             self._write_all(todo)
-            self._drop_staging(staged_before)
             self._parts[step] = parts
             return wh.CoreState(**{t: self.read_parts(parts[t]) for t in TABLES})
         return self._memoized(step, make)
@@ -151,13 +150,18 @@ class WarehouseRun:
         with ThreadPoolExecutor(max_workers=len(frames)) as pool:
             list(pool.map(lambda pf: pf[1].write.mode("overwrite").parquet(pf[0]), frames))
 
-    def _drop_staging(self, since: int) -> None:
-        """Delete key-staging folders created while building a step: the step's
-        snapshots are written, so nothing reads them any more."""
-        for path in keys.STAGED[since:]:
+    def _drop_staging(self, owner: str) -> None:
+        """Delete the key-staging folders written while building a step: the
+        step's snapshots are written, so nothing reads them any more."""
+        for path in keys.staged_by(owner):
             fs, p = self._fs(path)
             fs.delete(p, True)
 
+    @staticmethod
+    def _submit(pool: ThreadPoolExecutor, fn, *args):
+        # Worker threads inherit the caller's context (the staging scope).
+        return pool.submit(contextvars.copy_context().run, fn, *args)
+
     def _write_once(self, path: str, build) -> None:
         if not self._exists(path):
             build().write.mode("overwrite").parquet(path)
@@ -192,18 +196,21 @@ class WarehouseRun:
         """``wh.initial_load`` statement by statement, independent tables built
         concurrently: customers ∥ products, then addresses ∥ orders, then lines."""
         raw = self.raw_orders()
-        step, since = "initial", len(keys.STAGED)
-        with ThreadPoolExecutor(max_workers=2) as pool:
-            fc = pool.submit(self._table, step, "customers", lambda: wh.initial_customers(raw))
-            fp = pool.submit(self._table, step, "products", lambda: wh.initial_products(raw))
+        step = "initial"
+        with keys.staging_scope() as owner, ThreadPoolExecutor(max_workers=2) as pool:
+            fc = self._submit(pool, self._table, step, "customers",
+                              lambda: wh.initial_customers(raw))
+            fp = self._submit(pool, self._table, step, "products",
+                              lambda: wh.initial_products(raw))
             customers, products = fc.result(), fp.result()
-            fa = pool.submit(self._table, step, "addresses",
-                             lambda: wh.initial_addresses(raw, customers))
-            fo = pool.submit(self._table, step, "orders", lambda: wh.initial_orders(raw, customers))
+            fa = self._submit(pool, self._table, step, "addresses",
+                              lambda: wh.initial_addresses(raw, customers))
+            fo = self._submit(pool, self._table, step, "orders",
+                              lambda: wh.initial_orders(raw, customers))
             addresses, orders = fa.result(), fo.result()
-        details = self._table(step, "order_details",
-                              lambda: wh.initial_order_details(raw, orders, products))
-        self._drop_staging(since)
+            details = self._table(step, "order_details",
+                                  lambda: wh.initial_order_details(raw, orders, products))
+            self._drop_staging(owner)
         self._parts[step] = {t: [f"{self.root}/{step}/{t}"] for t in TABLES}
         return wh.CoreState(customers, addresses, products, orders, details)
 
@@ -226,22 +233,22 @@ class WarehouseRun:
         c = self.cleaned()
         delta = self.delta_orders()
         before = self._parts["cleanup"]
-        step, since = "secondary", len(keys.STAGED)
-        with ThreadPoolExecutor(max_workers=2) as pool:
-            fc = pool.submit(self._table, step, "customers",
-                             lambda: wh.scd1_customers(c.customers, delta)[0])
-            fp = pool.submit(self._append, step, "products", before,
-                             lambda: wh.secondary_products(c.products, delta))
+        step = "secondary"
+        with keys.staging_scope() as owner, ThreadPoolExecutor(max_workers=2) as pool:
+            fc = self._submit(pool, self._table, step, "customers",
+                              lambda: wh.scd1_customers(c.customers, delta)[0])
+            fp = self._submit(pool, self._append, step, "products", before,
+                              lambda: wh.secondary_products(c.products, delta))
             customers, products = fc.result(), fp.result()
-            fa = pool.submit(self._table, step, "addresses",
-                             lambda: wh.scd2_addresses(c.addresses, customers, delta)[0])
-            fo = pool.submit(self._append, step, "orders", before,
-                             lambda: wh.secondary_orders(c.orders, customers, delta))
+            fa = self._submit(pool, self._table, step, "addresses",
+                              lambda: wh.scd2_addresses(c.addresses, customers, delta)[0])
+            fo = self._submit(pool, self._append, step, "orders", before,
+                              lambda: wh.secondary_orders(c.orders, customers, delta))
             addresses, orders = fa.result(), fo.result()
-        details = self._append(step, "order_details", before,
-                               lambda: wh.secondary_order_details(c.order_details, orders,
-                                                                  products, delta))
-        self._drop_staging(since)
+            details = self._append(step, "order_details", before,
+                                   lambda: wh.secondary_order_details(c.order_details, orders,
+                                                                      products, delta))
+            self._drop_staging(owner)
         parts = {t: [f"{self.root}/{step}/{t}"] for t in ("customers", "addresses")}
         for t in ("products", "orders", "order_details"):
             parts[t] = before[t] + [f"{self.root}/{step}/{t}"]
