@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ledgerloom.operators import audit, mart
 from ledgerloom.operators import warehouse as wh
 from ledgerloom.plans.registry import register

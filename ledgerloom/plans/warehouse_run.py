@@ -21,7 +21,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import audit, keys, mart
+from ledgerloom.operators import keys, mart
 from ledgerloom.operators import warehouse as wh
 from ledgerloom.plans import fixtures
 from ledgerloom.session import ensure_checkpoint_dir

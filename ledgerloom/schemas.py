@@ -27,7 +27,7 @@ DELTA_ORDERS = T.StructType([T.StructField(n, t, True)
 RAW_COLUMNS = [n for n, _ in RAW_ORDER_FIELDS]
 DELTA_COLUMNS = RAW_COLUMNS + [n for n, _ in DELTA_EXTRA_FIELDS]
 
-# Source CSV header → stage column (the notebook's rename map).
+# Source CSV header → stage column (the flat export's rename map).
 CSV_HEADER = {
     "Row ID": "row_id", "Order ID": "order_id", "Order Date": "order_date",
     "Ship Date": "ship_date", "Ship Mode": "ship_mode", "Customer ID": "customer_id",
