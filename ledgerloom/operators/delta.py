@@ -20,14 +20,16 @@ LINE_KEY = ["order_id", "product_id"]
 
 def delta_duplicates(loaded: DataFrame, incoming: DataFrame) -> DataFrame:
     """Incoming lines equal to a loaded line on every business column
-    (null-safe); row ids are ignored. Planned as a left-semi hash join whose
-    null-safe keys Spark rewrites into plain equi-keys."""
-    cond = None
-    inc, old = incoming.alias("i"), loaded.select(*BUSINESS_COLUMNS).alias("o")
-    for c in BUSINESS_COLUMNS:
-        t = F.col(f"i.{c}").eqNullSafe(F.col(f"o.{c}"))
-        cond = t if cond is None else cond & t
-    return inc.join(old, cond, "left_semi")
+    (null-safe); row ids are ignored. A left-semi join whose leading key is a
+    64-bit hash of the business columns (one cheap key to sort on), followed
+    by the null-safe equality of the whole row, so a hash collision can never
+    pass."""
+    def row(alias: str) -> Column:
+        return F.struct(*[F.col(f"{alias}.{c}") for c in BUSINESS_COLUMNS])
+    i = incoming.withColumn("_h", F.xxhash64(*BUSINESS_COLUMNS)).alias("i")
+    o = loaded.select(*BUSINESS_COLUMNS).withColumn("_h", F.xxhash64(*BUSINESS_COLUMNS)).alias("o")
+    cond = (F.col("i._h") == F.col("o._h")) & row("i").eqNullSafe(row("o"))
+    return i.join(o, cond, "left_semi").drop("_h")
 
 
 def _differs_from_some(c: str) -> Column:
