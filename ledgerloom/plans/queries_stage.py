@@ -294,12 +294,11 @@ def repair_quantity_strict(spark, sf):
 
 
 @register("tag_updated_names", """
-select row_key, concat(customer_name, ' (Updated)') as customer_name from raw_orders where k_cust % 11 = 0 and k_line = 1""")
+select row_key, concat(customer_name, ' (Updated)') as customer_name from raw_orders""")
 def tag_updated_names(spark, sf):
-    """name suffix of the SCD1 scenario."""
-    r = _raw(spark, sf).filter((F.col("k_cust") % fixtures.SCD1_CUSTOMER_MOD == 0)
-                               & (F.col("k_line") == 1))
-    return r.select("row_key", F.concat("customer_name", F.lit(" (Updated)")).alias("customer_name"))
+    """the rename suffix of the SCD1 scenario, over every line."""
+    return _raw(spark, sf).select(
+        "row_key", F.concat("customer_name", F.lit(" (Updated)")).alias("customer_name"))
 
 
 @register("rescale_sales", """
@@ -340,11 +339,10 @@ def batch_tagging(spark, sf):
 @register("schema_align", f"""
 select {RAW_SQL}, order_date as valid_from, '' as valid_to, '' as previous_region, false as is_new_version,
        '' as scd2_attribute_changed
-from raw_orders where k_order % 50 = 0""")
+from raw_orders""")
 def schema_align(spark, sf):
     """P5: add the versioning columns with defaults and order the 26 columns."""
-    r = _raw(spark, sf).filter(F.col("k_order") % fixtures.DUPLICATE_ORDER_MOD == 0)
-    r = r.select(*RAW_COLUMNS)
+    r = _raw(spark, sf).select(*RAW_COLUMNS)
     defaults = {"valid_from": F.col("order_date"), "valid_to": F.lit(""),
                 "previous_region": F.lit(""), "is_new_version": F.lit(False),
                 "scd2_attribute_changed": F.lit("")}
