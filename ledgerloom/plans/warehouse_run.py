@@ -194,20 +194,21 @@ class WarehouseRun:
 
     def _build_initial(self) -> wh.CoreState:
         """``wh.initial_load`` statement by statement, independent tables built
-        concurrently: customers ∥ products, then addresses ∥ orders, then lines."""
+        concurrently: products alongside customers → (addresses ∥ orders), then
+        the lines once orders and products exist."""
         raw = self.raw_orders()
         step = "initial"
-        with keys.staging_scope() as owner, ThreadPoolExecutor(max_workers=2) as pool:
+        with keys.staging_scope() as owner, ThreadPoolExecutor(max_workers=3) as pool:
             fc = self._submit(pool, self._table, step, "customers",
                               lambda: wh.initial_customers(raw))
             fp = self._submit(pool, self._table, step, "products",
                               lambda: wh.initial_products(raw))
-            customers, products = fc.result(), fp.result()
+            customers = fc.result()
             fa = self._submit(pool, self._table, step, "addresses",
                               lambda: wh.initial_addresses(raw, customers))
             fo = self._submit(pool, self._table, step, "orders",
                               lambda: wh.initial_orders(raw, customers))
-            addresses, orders = fa.result(), fo.result()
+            products, addresses, orders = fp.result(), fa.result(), fo.result()
             details = self._table(step, "order_details",
                                   lambda: wh.initial_order_details(raw, orders, products))
             self._drop_staging(owner)
@@ -227,24 +228,24 @@ class WarehouseRun:
 
     def _build_secondary(self) -> wh.CoreState:
         """``wh.secondary_load`` statement by statement (each statement reads
-        the written result of the one before): customers (SCD1) ∥ products,
-        then SCD2 addresses ∥ orders, then order lines. Products, orders and
+        the written result of the one before): products alongside customers
+        (SCD1) → (SCD2 addresses ∥ orders), then order lines. Products, orders and
         lines only add a part with the batch's new rows."""
         c = self.cleaned()
         delta = self.delta_orders()
         before = self._parts["cleanup"]
         step = "secondary"
-        with keys.staging_scope() as owner, ThreadPoolExecutor(max_workers=2) as pool:
+        with keys.staging_scope() as owner, ThreadPoolExecutor(max_workers=3) as pool:
             fc = self._submit(pool, self._table, step, "customers",
                               lambda: wh.scd1_customers(c.customers, delta)[0])
             fp = self._submit(pool, self._append, step, "products", before,
                               lambda: wh.secondary_products(c.products, delta))
-            customers, products = fc.result(), fp.result()
+            customers = fc.result()
             fa = self._submit(pool, self._table, step, "addresses",
                               lambda: wh.scd2_addresses(c.addresses, customers, delta)[0])
             fo = self._submit(pool, self._append, step, "orders", before,
                               lambda: wh.secondary_orders(c.orders, customers, delta))
-            addresses, orders = fa.result(), fo.result()
+            products, addresses, orders = fp.result(), fa.result(), fo.result()
             details = self._append(step, "order_details", before,
                                    lambda: wh.secondary_order_details(c.order_details, orders,
                                                                       products, delta))
