@@ -11,8 +11,8 @@ and the code version, so a changed input or operator never reuses stale data.
 
 from __future__ import annotations
 
-import datetime as dt
 import contextvars
+import datetime as dt
 import hashlib
 import pathlib
 import threading
@@ -59,7 +59,8 @@ class WarehouseRun:
         self.root = f"{base}/{NAMESPACE}/{self._input_digest()}"
         self._memo: dict[str, object] = {}
         self._parts: dict[str, dict[str, list[str]]] = {}
-        self._lock = threading.RLock()
+        self._locks: dict[str, threading.RLock] = {}
+        self._locks_guard = threading.Lock()
 
     # -- snapshot plumbing -------------------------------------------------
     def _fs(self, path: str):
@@ -89,8 +90,12 @@ class WarehouseRun:
         return self.spark.read.parquet(path)
 
     def _memoized(self, key: str, make):
-        # One builder per step even when queries run on several threads.
-        with self._lock:
+        # One builder per step even when queries run on several threads; a
+        # lock per step, so independent steps still build side by side (steps
+        # only wait on earlier steps, so locks are taken in one order).
+        with self._locks_guard:
+            lock = self._locks.setdefault(key, threading.RLock())
+        with lock:
             if key not in self._memo:
                 self._memo[key] = make()
             return self._memo[key]
