@@ -457,6 +457,30 @@ def customers_with_history(spark, sf):
             .select("customer_name", "region", "city", "valid_from", "valid_to", "is_current"))
 
 
+@register("stage_customers_with_history", """
+select customer_name, region, city from raw_orders
+where customer_id in (select customer_id from raw_orders group by customer_id having count(*) > 1)""")
+def stage_customers_with_history(spark, sf):
+    """P15 (stage form): lines of customers with more than one *line* in the
+    stage — the check counts order lines, not addresses."""
+    r = _raw(spark, sf)
+    multi = (r.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"))
+             .filter(F.col("n") > 1).select("customer_id"))
+    return r.join(multi, "customer_id", "left_semi").select("customer_name", "region", "city")
+
+
+@register("customers_distinct_addresses", """
+select customer_id, cast(count(*) as bigint) as distinct_addresses from (
+  select distinct customer_id, country, city, state, postal_code, region from raw_orders) t
+group by customer_id having count(*) > 1""")
+def customers_distinct_addresses(spark, sf):
+    """Q17: customers whose stage lines carry more than one distinct address
+    (the count the line-based check stands in for)."""
+    r = _raw(spark, sf).select("customer_id", "country", "city", "state", "postal_code", "region")
+    return (r.distinct().groupBy("customer_id").agg(F.count(F.lit(1)).alias("distinct_addresses"))
+            .filter(F.col("distinct_addresses") > 1))
+
+
 @register("address_history", """
 select c.customer_name, cast(c.customer_id as bigint) as customer_id, a.region, cast(a.valid_from as varchar) as valid_from,
        cast(a.valid_to as varchar) as valid_to, a.is_current

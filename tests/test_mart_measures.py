@@ -91,3 +91,17 @@ def test_lenient_date_parsing(spark):
                                "t string")
     got = [r[0] for r in df.select(parse_date_lenient("t")).collect()]
     assert got == [D(2000, 1, 5), D(2000, 1, 5), None, None, None]
+
+
+def test_named_customer_must_be_unique(spark):
+    import pytest
+    from ledgerloom.operators.reports import orders_of_named_customer
+    details, orders, addresses = _pit_frames(spark)
+    fact = mart.fact_sales(details, orders, addresses)
+    customers = core(spark, "customers", [
+        dict(customer_id=1, customer_number="C1", customer_name="Ann", segment="A"),
+        dict(customer_id=2, customer_number="C2", customer_name="Ann", segment="B")])
+    with pytest.raises(Exception, match="more than one customer"):
+        orders_of_named_customer(fact, customers, "Ann").collect()
+    unique = customers.filter("customer_id = 1")
+    assert orders_of_named_customer(fact, unique, "Ann").count() == 6
