@@ -26,7 +26,7 @@ from contextvars import ContextVar
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.session import ensure_checkpoint_dir, shuffle_partitions
+from ledgerloom.session import ensure_checkpoint_dir
 
 # Staging folders written so far, with the scope that wrote them. A caller
 # that has materialised the keyed result (a snapshot writer) opens a scope and
@@ -58,10 +58,13 @@ def assign_dense_keys(df: DataFrame, key: str, order: Sequence[Column],
     ``start`` is a number or a one-row, one-column frame (e.g. the current max id).
     """
     spark = df.sparkSession
-    n = partitions or shuffle_partitions(spark)
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ledgerloom-keys/{uuid.uuid4().hex}"
     pid = F.spark_partition_id()
-    (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # Without an explicit count the range exchange starts from the session's
+    # shuffle partitions and AQE may coalesce neighbouring ranges; coalesced
+    # partitions stay in range order, so partition ids still follow the order.
+    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    (ranged.sortWithinPartitions(*order)
      .withColumn("_pid", pid)
      .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33))
      .write.mode("overwrite").parquet(path))
