@@ -109,6 +109,21 @@ def raw_orders(spark: SparkSession, sf_dir: str, with_helpers: bool = True) -> D
     return df if with_helpers else df.drop(*HELPER_COLUMNS)
 
 
+def stage_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every flat line tagged with the stage batch it belongs to
+    (``stage_part`` = ``initial`` or ``delta``); lines of delta-only customers
+    dated before the delta start belong to neither and are left out.
+
+    One pass over lineitem serves both batches; a writer partitions by
+    ``stage_part`` so each batch is a folder of its own.
+    """
+    lines = fx_lines(spark, sf_dir)
+    in_delta = F.col("order_date") >= F.lit(DELTA_START[:10])
+    in_initial = ~in_delta & (F.col("k_cust") % NEW_CUSTOMER_MOD != 0)
+    part = (F.when(in_delta, F.lit("delta")).when(in_initial, F.lit("initial")))
+    return lines.withColumn("stage_part", part).filter(F.col("stage_part").isNotNull())
+
+
 def _delta_row(df: DataFrame, *, row_key: Column | None = None, order_id: Column | None = None,
                order_date: Column | None = None, ship_date: Column | None = None,
                customer_name: Column | None = None, region: Column | None = None,
@@ -131,12 +146,16 @@ def _delta_row(df: DataFrame, *, row_key: Column | None = None, order_id: Column
     return df.select(*cols, *extra)
 
 
-def delta_orders(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> DataFrame:
+def delta_orders(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None,
+                 new_lines: DataFrame | None = None) -> DataFrame:
     """Incremental batch (stage.delta_orders shape) built from four scenario parts.
 
-    ``raw`` is the initial batch with its helper columns (e.g. its snapshot);
-    it is derived from the tables when not given."""
-    new_lines = fx_lines(spark, sf_dir, F.col("o_orderdate") >= _ntz(DELTA_START))
+    ``raw`` is the initial batch with its helper columns and ``new_lines`` the
+    flat lines from the delta start on (e.g. the two folders of a
+    :func:`stage_lines` snapshot); both are derived from the tables when not
+    given."""
+    if new_lines is None:
+        new_lines = fx_lines(spark, sf_dir, F.col("o_orderdate") >= _ntz(DELTA_START))
     part_new = _delta_row(
         new_lines,
         quantity=F.when(F.col("k_order") % ZERO_QTY_ORDER_MOD == 0, F.lit(0))

@@ -172,14 +172,25 @@ class WarehouseRun:
             build().write.mode("overwrite").parquet(path)
 
     # -- steps ---------------------------------------------------------------
+    def stage_lines(self) -> str:
+        """All flat lines, derived once from the tables and written partitioned
+        by stage batch; returns the folder."""
+        def make():
+            self.snapshot("stage/lines", lambda: fixtures.stage_lines(self.spark, self.sf_dir),
+                          partition_by="stage_part")
+            return f"{self.root}/stage/lines"
+        return self._memoized("lines", make)
+
     def raw_orders(self) -> DataFrame:
-        return self._memoized("raw", lambda: self.snapshot(
-            "stage/raw_orders", lambda: fixtures.raw_orders(self.spark, self.sf_dir)))
+        """The initial batch: the ``initial`` folder of the line snapshot."""
+        return self._memoized("raw", lambda: self.spark.read.parquet(
+            f"{self.stage_lines()}/stage_part=initial"))
 
     def delta_orders(self) -> DataFrame:
-        return self._memoized("delta", lambda: self.snapshot(
-            "stage/delta_orders",
-            lambda: fixtures.delta_orders(self.spark, self.sf_dir, self.raw_orders())))
+        def build():
+            new_lines = self.spark.read.parquet(f"{self.stage_lines()}/stage_part=delta")
+            return fixtures.delta_orders(self.spark, self.sf_dir, self.raw_orders(), new_lines)
+        return self._memoized("delta", lambda: self.snapshot("stage/delta_orders", build))
 
     def initial(self) -> wh.CoreState:
         return self._memoized("initial", self._build_initial)
