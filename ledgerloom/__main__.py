@@ -2,6 +2,7 @@
 
     python -m ledgerloom load  --sf /root/testdata/sf0.01
     python -m ledgerloom query category_matrix --sf /root/testdata/sf0.01 [--rows 20]
+    python -m ledgerloom explain fact_sales --sf /root/testdata/sf0.01
     python -m ledgerloom list
 """
 
@@ -22,6 +23,9 @@ def main(argv: list[str] | None = None) -> int:
     q.add_argument("name")
     q.add_argument("--sf", required=True)
     q.add_argument("--rows", type=int, default=20)
+    ex = sub.add_parser("explain", help="formatted physical plan of one registered query")
+    ex.add_argument("name")
+    ex.add_argument("--sf", required=True)
     sub.add_parser("list", help="list the registered queries")
     a = ap.parse_args(argv)
 
@@ -45,6 +49,8 @@ def main(argv: list[str] | None = None) -> int:
                           "tables": {step: w.parts(step) for step in
                                      ("initial", "cleanup", "secondary", "correction")}},
                          indent=2))
+    elif a.cmd == "explain":
+        registry.QUERIES[a.name](spark, a.sf).explain("formatted")
     else:
         registry.QUERIES[a.name](spark, a.sf).show(a.rows, truncate=False)
     spark.stop()
