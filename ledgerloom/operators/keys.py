@@ -18,6 +18,7 @@ broadcast.
 
 from __future__ import annotations
 
+import itertools
 import uuid
 from collections.abc import Sequence
 from contextlib import contextmanager
@@ -35,17 +36,45 @@ _OWNER: ContextVar[str | None] = ContextVar("ledgerloom_staging_owner", default=
 _STAGED: list[tuple[str | None, str]] = []
 
 
+# Where staging folders go: a fixed base with numbered folders (a repeated run
+# of the same code reuses its folders instead of adding new ones), or, when
+# unset, a fresh folder under the checkpoint folder.
+_PLACE: ContextVar[tuple[str, itertools.count] | None] = ContextVar(
+    "ledgerloom_staging_place", default=None)
+
+
 @contextmanager
 def staging_scope():
     """Tag staging folders created in this context (and in threads started
-    with a copy of it) with a fresh owner id, yielded to the caller."""
+    with a copy of it) with a fresh owner id, yielded to the caller. They go
+    to fresh folders; the owner deletes them once its results are written."""
     token = _OWNER.set(uuid.uuid4().hex)
+    place = _PLACE.set(None)
     try:
         yield _OWNER.get()
     finally:
+        _PLACE.reset(place)
         _OWNER.reset(token)
 
 
+@contextmanager
+def staging_under(base: str):
+    """Staging folders created in this context go to ``base/0``, ``base/1``, …"""
+    token = _PLACE.set((base.rstrip("/"), itertools.count()))
+    try:
+        yield
+    finally:
+        _PLACE.reset(token)
+
+
+def _staging_path(spark) -> str:
+    place = _PLACE.get()
+    if place is None:
+        return f"{ensure_checkpoint_dir(spark).rstrip('/')}/ledgerloom-keys/{uuid.uuid4().hex}"
+    base, counter = place
+    return f"{base}/{next(counter)}"
+
+
 def staged_by(owner: str) -> list[str]:
     return [p for o, p in _STAGED if o == owner]
 
@@ -58,7 +87,7 @@ def assign_dense_keys(df: DataFrame, key: str, order: Sequence[Column],
     ``start`` is a number or a one-row, one-column frame (e.g. the current max id).
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ledgerloom-keys/{uuid.uuid4().hex}"
+    path = _staging_path(spark)
     pid = F.spark_partition_id()
     # Without an explicit count the range exchange starts from the session's
     # shuffle partitions and AQE may coalesce neighbouring ranges; coalesced

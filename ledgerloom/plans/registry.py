@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.operators import keys
 from ledgerloom.plans.oracle import compose
+from ledgerloom.session import ensure_checkpoint_dir
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -38,7 +40,11 @@ def surface(df: DataFrame) -> DataFrame:
 def register(name: str, sql: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return surface(fn(spark, sf_dir))
+            # Key staging of this query goes to folders named after it, so
+            # calling the query again reuses them instead of adding more.
+            base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ledgerloom-query-keys/{name}"
+            with keys.staging_under(base):
+                return surface(fn(spark, sf_dir))
         run.__name__ = name
         run.__doc__ = fn.__doc__
         if name in QUERIES:
