@@ -14,11 +14,13 @@ FACT_COLUMNS = ["order_detail_id", "order_id", "order_number", "order_date", "sh
 
 
 def dim_products(products: DataFrame) -> DataFrame:
+    """Product dimension (the product table's business columns)."""
     return products.select("product_id", "product_number", "product_name", "category",
                            "sub_category")
 
 
 def current_addresses(addresses: DataFrame) -> DataFrame:
+    """Address versions flagged current."""
     return addresses.filter(F.col("is_current"))
 
 
@@ -68,6 +70,7 @@ def _fact(details: DataFrame, headers: DataFrame) -> DataFrame:
 
 
 def fact_sales(details: DataFrame, orders: DataFrame, addresses: DataFrame) -> DataFrame:
+    """Point-in-time sales fact: one row per line and matching address version (fan-out kept)."""
     return _fact(details, orders_with_geography(orders, addresses))
 
 

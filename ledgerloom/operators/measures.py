@@ -16,10 +16,12 @@ from ledgerloom.functions.columns import safe_divide
 
 
 def total_sales() -> Column:
+    """SUM(sales) as ``total_sales``."""
     return F.sum("sales").alias("total_sales")
 
 
 def total_profit() -> Column:
+    """SUM(profit) as ``total_profit``."""
     return F.sum("profit").alias("total_profit")
 
 
@@ -30,10 +32,12 @@ def total_sales_iterative(expr: Column | None = None) -> Column:
 
 
 def profit_margin(profit: str = "total_profit", sales: str = "total_sales") -> Column:
+    """DIVIDE(profit, sales, 0) over two already-aggregated columns."""
     return safe_divide(profit, sales).alias("profit_margin")
 
 
 def sales_and_profit(fact: DataFrame, group_cols: Sequence[str]) -> DataFrame:
+    """Sales, profit and margin per group (any grouping columns)."""
     return (fact.groupBy(*group_cols).agg(total_sales(), total_profit())
             .withColumn("profit_margin", safe_divide("total_profit", "total_sales")))
 
@@ -64,6 +68,7 @@ def pct_of_total(fact: DataFrame, group_cols: Sequence[str],
 # shifted period, never a lag over rows (gaps would shift it).
 
 def daily_sales(fact: DataFrame) -> DataFrame:
+    """Sales per order date."""
     return fact.groupBy(F.col("order_date").alias("date")).agg(F.sum("sales").alias("day_sales"))
 
 
@@ -106,6 +111,7 @@ def yoy(cur: str = "total_sales", sply: str = "sales_sply") -> Column:
 
 
 def yearly_yoy(fact: DataFrame, cal: DataFrame) -> DataFrame:
+    """Per calendar year: sales, last year's sales (year − 1 joined, not lagged) and YoY."""
     y = fact.groupBy(F.year("order_date").alias("year")).agg(F.sum("sales").alias("total_sales"))
     prev = y.select((F.col("year") + 1).alias("year"), F.col("total_sales").alias("sales_sply"))
     return (cal.select("year").distinct().join(y, "year", "left").join(prev, "year", "left")

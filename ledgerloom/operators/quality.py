@@ -37,6 +37,7 @@ def _per_column(df: DataFrame, rule: str, table: str, checks: Mapping[str, Colum
 
 
 def dq_not_null(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """NULLs in NOT NULL columns, one aggregate pass per table."""
     return _union([_per_column(tables[t], "not_null", t, {c: F.col(c).isNull() for c in cols})
                    for t, cols in NOT_NULL.items()])
 
@@ -56,6 +57,7 @@ def dq_unique(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def dq_foreign_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """D3: child rows whose key has no parent row (left anti joins)."""
     out = []
     for child, col, parent, pcol in FOREIGN_KEYS:
         orphans = tables[child].select(col).join(
@@ -67,31 +69,37 @@ def dq_foreign_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def dq_check_dates(addresses: DataFrame) -> DataFrame:
+    """Closed versions that do not end after they start."""
     bad = F.col("valid_to").isNotNull() & (F.col("valid_to") <= F.col("valid_from"))
     return _one(addresses, "check_dates", "addresses", "valid_to", bad)
 
 
 def dq_ship_after_order(orders: DataFrame) -> DataFrame:
+    """Orders shipped before they were placed."""
     return _one(orders, "check_order_dates", "orders", "ship_date",
                 F.col("ship_date") < F.col("order_date"))
 
 
 def dq_quantity(details: DataFrame) -> DataFrame:
+    """Lines with a non-positive quantity."""
     return _one(details, "check_quantity", "order_details", "quantity", F.col("quantity") <= 0)
 
 
 def dq_discount(details: DataFrame) -> DataFrame:
+    """Discounts outside [0, 1]."""
     return _one(details, "check_discount", "order_details", "discount",
                 (F.col("discount") < 0) | (F.col("discount") > 1))
 
 
 def dq_lengths(stages: Mapping[str, DataFrame]) -> DataFrame:
+    """Stage texts longer than their VARCHAR limit, one pass per stage table."""
     return _union([_per_column(df, "varchar_length", t,
                                {c: F.length(c) > n for c, n in STAGE_LENGTHS.items()})
                    for t, df in stages.items()])
 
 
 def dq_one_current_address(addresses: DataFrame) -> DataFrame:
+    """Customers with more than one current address."""
     per = addresses.groupBy("customer_id").agg(F.count_if(F.col("is_current")).alias("_n"))
     return _one(per, "one_current_address", "addresses", "customer_id", F.col("_n") > 1)
 
@@ -105,6 +113,7 @@ def fact_match_counts(details: DataFrame, orders: DataFrame, addresses: DataFram
 
 
 def dq_fact_fanout(details: DataFrame, orders: DataFrame, addresses: DataFrame) -> DataFrame:
+    """Lines matching no address version, and lines matching several."""
     m = fact_match_counts(details, orders, addresses)
     return _per_column(m, "fact_fanout", "fact_sales",
                        {"no_version": F.col("matches") == 0,

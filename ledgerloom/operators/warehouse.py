@@ -32,6 +32,8 @@ ADDRESS_ORDER = ["customer_id", "country", "city", "state", "postal_code", "regi
 
 @dataclass
 class CoreState:
+    """The five core tables of one warehouse state, plus the counters and the
+    new rows of the append-only tables that a load step produced."""
     customers: DataFrame
     addresses: DataFrame
     products: DataFrame
@@ -68,6 +70,7 @@ def _customer_ids(customers: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- initial load
 
 def initial_customers(raw: DataFrame) -> DataFrame:
+    """M1: one row per customer number (first wins over name, segment), dense ids in number order."""
     picked = first_wins(_stage_customers(raw), ["customer_number"])
     return assign_dense_keys(picked, "customer_id", asc_last("customer_number")).select(*CUSTOMERS)
 
@@ -90,6 +93,7 @@ def initial_addresses(raw: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 def initial_products(raw: DataFrame) -> DataFrame:
+    """M3: one row per product number (first wins), dense ids in number order."""
     picked = first_wins(_stage_products(raw), ["product_number"])
     return assign_dense_keys(picked, "product_id", asc_last("product_number")).select(*PRODUCTS)
 
@@ -131,11 +135,13 @@ def _detail_rows(stage: DataFrame, orders: DataFrame, products: DataFrame,
 
 
 def initial_order_details(raw: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
+    """M5: every stage line joined to its order and product ids (no dedup, as in the first load)."""
     rows = _detail_rows(raw, orders, products)
     return assign_dense_keys(rows, "order_detail_id", asc_last(*DETAIL_ORDER)).select(*ORDER_DETAILS)
 
 
 def initial_load(raw: DataFrame) -> CoreState:
+    """M1–M5 in statement order on the first stage batch."""
     customers = initial_customers(raw)
     products = initial_products(raw)
     orders = initial_orders(raw, customers)
@@ -167,6 +173,7 @@ def cleanup_addresses(addresses: DataFrame) -> DataFrame:
 # ------------------------------------------------------------ incremental load
 
 def next_batch_id(orders: DataFrame) -> DataFrame:
+    """COALESCE(MAX(batch_id), 1) + 1 as a one-row frame."""
     return orders.agg((F.coalesce(F.max("batch_id"), F.lit(1)) + 1).alias("batch_id"))
 
 
@@ -190,6 +197,7 @@ def scd1_changes(customers: DataFrame, delta: DataFrame) -> DataFrame:
 
 
 def apply_scd1(customers: DataFrame, changes: DataFrame) -> DataFrame:
+    """Overwrite name and segment of the customers in ``changes``; everyone else is unchanged."""
     upd = changes.select("customer_id", "new_name", "new_segment", F.lit(True).alias("_hit"))
     hit = F.col("_hit").isNotNull()
     return (customers.join(upd, "customer_id", "left")
@@ -200,6 +208,7 @@ def apply_scd1(customers: DataFrame, changes: DataFrame) -> DataFrame:
 
 
 def new_customers(customers: DataFrame, delta: DataFrame) -> DataFrame:
+    """Customers of the batch not yet known (first wins per number), ids after the current maximum."""
     fresh = first_wins(_stage_customers(delta), ["customer_number"])
     fresh = fresh.join(customers.select("customer_number"), "customer_number", "left_anti")
     return assign_dense_keys(fresh, "customer_id", asc_last("customer_number"),
@@ -294,12 +303,15 @@ def scd2_new_versions(addresses: DataFrame, customers: DataFrame, delta: DataFra
 
 def scd2_addresses(addresses: DataFrame, customers: DataFrame,
                    delta: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """SCD type 2 step: close contradicted versions, then insert new current ones (reads the closed
+    state)."""
     closed, closing = scd2_close_versions(addresses, customers, delta)
     fresh = scd2_new_versions(closed, customers, delta)
     return closed.unionByName(fresh), closing, fresh
 
 
 def secondary_products(products: DataFrame, delta: DataFrame) -> DataFrame:
+    """Products of the batch not yet known (first wins), ids after the current maximum."""
     fresh = first_wins(_stage_products(delta), ["product_number"])
     fresh = fresh.join(products.select("product_number"), "product_number", "left_anti")
     return assign_dense_keys(fresh, "product_id", asc_last("product_number"),
@@ -336,6 +348,8 @@ def secondary_order_details(details: DataFrame, orders: DataFrame, products: Dat
 
 
 def secondary_load(state: CoreState, delta: DataFrame) -> CoreState:
+    """The incremental load (M6–M12) in statement order; each step reads the previous step's
+    frames."""
     customers, scd1 = scd1_customers(state.customers, delta)
     addresses, closing, _ = scd2_addresses(state.addresses, customers, delta)
     new_products = secondary_products(state.products, delta)
@@ -355,6 +369,8 @@ def secondary_load(state: CoreState, delta: DataFrame) -> CoreState:
 
 @dataclass(frozen=True)
 class Correction:
+    """Parameters of a period correction: inclusive date range, order-number
+    prefix, and the percentage of lines kept."""
     start: dt.date
     end: dt.date
     prefix: str
@@ -362,6 +378,7 @@ class Correction:
 
 
 def correction_targets(orders: DataFrame, fix: Correction) -> DataFrame:
+    """Order ids of the period whose number starts with the prefix."""
     in_period = F.col("order_date").between(F.lit(fix.start), F.lit(fix.end))
     return orders.filter(in_period & F.col("order_number").startswith(fix.prefix)).select("order_id")
 

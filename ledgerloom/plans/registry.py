@@ -24,6 +24,7 @@ ORACLE: dict[str, str] = {}
 
 
 def surface(df: DataFrame) -> DataFrame:
+    """Engine-neutral output types: dates → ISO text, decimals → double, small ints → bigint."""
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
@@ -38,6 +39,7 @@ def surface(df: DataFrame) -> DataFrame:
 
 
 def register(name: str, sql: str | None = None):
+    """Register a query under ``name`` with its oracle SQL (CTEs are added by name)."""
     def deco(fn: QueryFn) -> QueryFn:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             # Key staging of this query goes to folders named after it, so
@@ -58,5 +60,6 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     # Importing the modules registers their queries.
+    """Import every query module once (registration happens on import)."""
     from ledgerloom.plans import (  # noqa: F401
         queries_core, queries_quality, queries_reports, queries_stage, queries_streaming)

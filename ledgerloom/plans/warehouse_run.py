@@ -52,6 +52,7 @@ def _code_version() -> str:
 
 
 class WarehouseRun:
+    """The warehouse built from one folder of input tables, step by step, as snapshots."""
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
@@ -354,6 +355,7 @@ class WarehouseRun:
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> WarehouseRun:
+    """The (memoised) warehouse run of a session and input folder."""
     key = (id(spark), sf_dir, NAMESPACE)
     with _RUNS_LOCK:
         run = _RUNS.get(key)

@@ -27,6 +27,7 @@ JOB_CONF = {
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "ledgerloom", extra: dict | None = None) -> SparkSession:
+    """A session with the job settings above (used by tests, the benchmark and the CLI)."""
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(JOB_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

@@ -53,6 +53,7 @@ def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType,
              header: bool = True) -> DataFrame:
+    """CSV with an explicit schema, ``\\N`` as NULL (the sink's convention)."""
     return (spark.read.schema(schema).option("header", header).option("nullValue", NULL_MARK)
             .option("emptyValue", "").csv(path))
 
@@ -79,11 +80,13 @@ def write_stage_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[st
 
 
 def read_stage(spark: SparkSession, path: str, schema: T.StructType = RAW_ORDERS) -> DataFrame:
+    """Typed stage table."""
     return spark.read.schema(schema).parquet(path)
 
 
 def write_snapshot(df: DataFrame, path: str, partition_by: str | None = None,
                    options: Mapping[str, str] | None = None) -> None:
+    """Overwrite a Parquet snapshot, optionally partitioned."""
     w = df.write.mode("overwrite")
     for k, v in (options or {}).items():
         w = w.option(k, v)

@@ -19,11 +19,13 @@ TABLE_COLUMNS = {
 
 
 def table_path(sf_dir: str, name: str) -> str:
+    """Path of one given table."""
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str,
                columns: list[str] | None = None) -> DataFrame:
+    """Read a given table with only the columns the operators use."""
     df = spark.read.parquet(table_path(sf_dir, name))
     cols = columns if columns is not None else TABLE_COLUMNS.get(name)
     return df.select(*cols) if cols else df
