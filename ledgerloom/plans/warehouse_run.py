@@ -286,9 +286,11 @@ class WarehouseRun:
             orphans = self.snapshot("correction/deleted_orders", lambda: orphans)
             parts = {t: before[t] for t in TABLES}
             todo = []
-            for t, key, gone in (("order_details", "order_detail_id", doomed),
-                                 ("orders", "order_id", orphans)):
-                hit = self._touched_parts(before[t], key, gone)
+            checks = (("order_details", "order_detail_id", doomed), ("orders", "order_id", orphans))
+            with ThreadPoolExecutor(max_workers=2) as pool:       # independent checks
+                hits = list(pool.map(lambda c: self._touched_parts(before[c[0]], c[1], c[2]),
+                                     checks))
+            for (t, key, gone), hit in zip(checks, hits):
                 new_parts = []
                 for i, path in enumerate(before[t]):
                     if i in hit:
