@@ -60,3 +60,12 @@ def test_keys_are_dense_and_unique(run):
         df = getattr(s, table)
         r = _one(df.agg(F.count(key), F.countDistinct(key), F.min(key), F.max(key)))
         assert r[0] == r[1] == r[3] and r[2] == 1, table
+
+
+def test_dq_report_equals_the_individual_rules(spark):
+    q = entry.queries()
+    rules = ["dq_not_null", "dq_unique", "dq_foreign_keys", "dq_check_dates", "dq_ship_after_order",
+             "dq_quantity", "dq_discount", "dq_lengths", "dq_one_current_address", "dq_fact_fanout"]
+    separate = sorted(tuple(r) for n in rules for r in q[n](spark, SF).collect())
+    report = sorted(tuple(r) for r in q["dq_report"](spark, SF).collect())
+    assert report == separate
