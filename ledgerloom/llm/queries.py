@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerloom.llm import simhash
-from ledgerloom.llm.shared import table
+from ledgerloom.llm import fingerprint, line_dedup, mixing, simhash, sql, toxicity
+from ledgerloom.llm.shared import raw_bytes, table
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,7 +18,48 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "fingerprint", "component_id")
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    bitmaps = line_dedup.keep_bitmaps(docs, min_docs=10, min_chars=1)
+
+    def digest(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            counts, hashes = [], []
+            for text, keep in zip(raw_bytes(batch.column(1)), batch.column(2).to_pylist()):
+                text = text or b""
+                counts.append(text.count(b"\n") + 1)
+                hashes.append(hashlib.sha256(line_dedup.kept_text(text, keep)).hexdigest())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(counts, pa.int64()), batch.column(3), pa.array(hashes)],
+                ["doc_id", "n_lines", "n_dropped", "kept_sha256"])
+
+    marked = line_dedup.with_bitmaps(docs, bitmaps).select(
+        "doc_id", "text", "__llm_keep", F.coalesce("__llm_dropped", F.lit(0)).cast("long").alias("n_dropped"))
+    return marked.mapInArrow(digest, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")
+
+
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edit_comparison(table(spark, sf_dir, "documents"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    model = toxicity.train(docs, labels.where(~held_out))
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op5_mixing": op5_mixing,
+    "op6_line_dedup": op6_line_dedup,
+    "op8_fingerprints": op8_fingerprints,
+    "op10_toxicity": op10_toxicity,
+}
+ORACLE: dict[str, str] = {
+    "op6_line_dedup": sql.LINE_DEDUP,
 }
-ORACLE: dict[str, str] = {}
