@@ -50,7 +50,10 @@ def sketch(text: bytes, shingle_words: int = 5, bins: int = BINS, bits: int = BI
     low[where[first]] = h[first]
     full = np.zeros(bins, bool)
     full[where[first]] = True
-    kept = mixed(densified(low, full)).astype(np.uint8) & np.uint8((1 << bits) - 1)
+    # The bin enters too: else texts of very few shingles, whose bins hold one value, would
+    # share the low bits of all bins or of none.
+    salt = np.arange(bins, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    kept = mixed(densified(low, full) ^ salt).astype(np.uint8) & np.uint8((1 << bits) - 1)
     return np.packbits(np.unpackbits(kept[:, None], axis=1, bitorder="little")[:, :bits].ravel(),
                        bitorder="little").tobytes()
 

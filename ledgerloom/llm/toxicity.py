@@ -1,9 +1,11 @@
 """Toxicity: maximum-scoring segments of token log-odds.
 
 Tokens get the log-odds of the toxic against the clean class under an
-informative Dirichlet prior (the prior's shape is the corpus' own token
-frequencies). Tokens whose log-odds stand out from their standard error keep
-them; every other token costs ``gap_cost``. One linear scan finds all maximal
+informative Dirichlet prior (its shape is the sample's own token frequencies,
+plus a half for each token). Tokens are words and, as a word has many forms,
+word beginnings; a word takes the log-odds of its longest listed token. Tokens
+whose log-odds stand out from their standard error are listed; every other word
+costs ``gap_cost``. One linear scan finds all maximal
 scoring segments of a text, and extreme-value statistics (expected number of
 segments of that score in a clean text of that length) tell the significant
 ones. A document's score is calibrated on its evidence.
@@ -13,7 +15,6 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -25,9 +26,15 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.shared import lower_words, staged, word_shingles
 
 TOKEN = re.compile(r"\w+")
+BEGINNINGS = (6, 4)
 EVIDENCE = 50.0
 
 
+def word_tokens(word: str) -> list[str]:
+    """The word, then its beginnings, longest first."""
+    return [word, *(word[:n] + "*" for n in BEGINNINGS if len(word) > n)]
+
+
 class Model(NamedTuple):
     """``log_odds`` of the tokens that stand out, the cost of others, the
     extreme-value parameters and the two calibration weights."""
@@ -76,7 +83,12 @@ def maximal_segments(scores: list[tuple[int, float]], gap_cost: float) -> list[t
 def _hits(text: str, log_odds: dict[str, float]) -> tuple[int, list[tuple[int, float, re.Match]]]:
     count, found = 0, []
     for m in TOKEN.finditer(text):
-        gain = log_odds.get(m[0])
+        word = m[0]
+        gain = log_odds.get(word)
+        if gain is None and len(word) > BEGINNINGS[1]:
+            gain = log_odds.get(word[:BEGINNINGS[0]] + "*") if len(word) > BEGINNINGS[0] else None
+            if gain is None:
+                gain = log_odds.get(word[:BEGINNINGS[1]] + "*")
         if gain is not None:
             found.append((count, gain, m))
         count += 1
@@ -138,13 +150,13 @@ def _calibrated(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "toxic", max_labelled: int = 20_000, prior: float = 2_000.0, least_z: float = 4.0,
-          least_docs: int = 5, gap_cost: float = 0.5) -> Model:
+          label_col: str = "toxic", max_labelled: int = 20_000, prior: float = 2_000.0, least_z: float = 3.0,
+          least_gain: float = 3.0, least_docs: int = 5, gap_cost: float = 0.5) -> Model:
     """Fit the model on at most ``max_labelled`` labelled rows, chosen by a hash of the id.
 
     Documents that share their least 5-word shingle hash (copies, and most near
-    copies) count once, so a group of copies does not make its words toxic. A
-    token must occur in ``least_docs`` toxic documents of the sample, which
+    copies) count once, so a group of copies does not make its words toxic; a
+    token counts once a document. A token must occur in ``least_docs`` toxic documents of the sample, which
     bounds the model. Several labels of one id: the largest; labels that are
     null or other than 0 and 1, and ids that are null, are left out. Without
     usable labels every text scores the same.
@@ -157,37 +169,34 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     def tokens(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            least, words, counts = [], [], []
+            least, words = [], []
             for text in batch.column(1).cast(pa.binary()).to_pylist():
                 shingles = word_shingles(lower_words(text))
                 least.append(int(shingles.min().view(np.int64)) if len(shingles) else 0)
-                own = Counter(TOKEN.findall(_lowered(text.decode())))
-                words.append(list(own))
-                counts.append(list(own.values()))
+                own = set(TOKEN.findall(_lowered(text.decode())))
+                words.append(list({t for w in own for t in word_tokens(w)}))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(least, pa.int64()),
-                 pa.array(words, pa.list_(pa.string())), pa.array(counts, pa.list_(pa.int64()))],
-                ["id", "y", "least", "words", "counts"])
+                [batch.column(0), batch.column(2), pa.array(least, pa.int64()), pa.array(words, pa.list_(pa.string()))],
+                ["id", "y", "least", "words"])
 
     # The sample is bounded by max_labelled rows of two numbers, so it may be broadcast.
     chosen = staged(texts.join(F.broadcast(sample), "id").select("id", "text", "y"), "toxicity-texts")
-    counted = chosen.mapInArrow(tokens, "id long, y int, least long, words array<string>, counts array<long>")
-    single = staged(counted.groupBy("y", "least").agg(F.min_by(F.struct("words", "counts"), "id").alias("t"))
-                    .select("y", F.explode(F.arrays_zip("t.words", "t.counts")).alias("e"))
-                    .select("y", F.col("e.words").alias("w"), F.col("e.counts").alias("n"))
-                    .groupBy("w").agg(F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).alias("bad"),
-                                      F.sum(F.when(F.col("y") == 0, F.col("n")).otherwise(0)).alias("good"),
-                                      F.count(F.when(F.col("y") == 1, 1)).alias("bad_docs")), "toxicity-tokens")
+    counted = chosen.mapInArrow(tokens, "id long, y int, least long, words array<string>")
+    single = staged(counted.groupBy("y", "least").agg(F.min_by("words", "id").alias("words"))
+                    .select("y", F.explode("words").alias("w"))
+                    .groupBy("w").agg(F.count(F.when(F.col("y") == 1, 1)).alias("bad"),
+                                      F.count(F.when(F.col("y") == 0, 1)).alias("good")), "toxicity-tokens")
     bad, good = single.agg(F.sum("bad"), F.sum("good")).first()
     if not bad or not good:
         return Model({}, gap_cost, 1.0, 1.0, 0.0 if not (bad or good) else (-4.0 if good else 4.0), 0.0)
-    alpha = F.lit(prior) * (F.col("bad") + F.col("good")) / F.lit(float(bad + good))
+    alpha = F.lit(0.5) + F.lit(prior) * (F.col("bad") + F.col("good")) / F.lit(float(bad + good))
     up, down = F.col("bad") + alpha, F.col("good") + alpha
     odds = F.log(up / (F.lit(bad + prior) - up)) - F.log(down / (F.lit(good + prior) - down))
-    scored = single.select("w", "bad_docs", odds.alias("gain"), (F.lit(1.0) / up + F.lit(1.0) / down).alias("var"),
+    scored = single.select("w", "bad", odds.alias("gain"), (F.lit(1.0) / up + F.lit(1.0) / down).alias("var"),
                            (down / F.lit(good + prior)).alias("chance"))
-    listed = scored.where((F.col("bad_docs") >= least_docs) & (F.col("gain") / F.sqrt("var") >= least_z)
-                          & (F.col("gain") > 1.0)).select("w", "gain", "chance").collect()
+    # least_docs toxic documents of a bounded sample for each: the list is bounded too.
+    listed = scored.where((F.col("bad") >= least_docs) & (F.col("gain") / F.sqrt("var") >= least_z)
+                          & (F.col("gain") >= least_gain)).select("w", "gain", "chance").collect()
     log_odds = {r["w"]: float(r["gain"]) for r in listed}
     rate = _rate(np.array([r["gain"] for r in listed]), np.array([r["chance"] for r in listed]), gap_cost)
 
