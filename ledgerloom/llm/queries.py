@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import (chat_tree, decontaminate, fingerprint, line_dedup, mixing, quality, simhash,
-                            sql, toxicity, url_filter)
+                            sql, suffix_dedup, toxicity, url_filter)
 from ledgerloom.llm.shared import raw_bytes, table
 
 
@@ -19,6 +19,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "fingerprint", "component_id")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.without_repeats(table(spark, sf_dir, "documents"), length=400).select(
+        "doc_id", "n_bytes", "n_removed", F.coalesce(F.size("spans"), F.lit(0)).cast("long").alias("n_spans"), "kept_sha256")
+
+
 # (verdict, host, path): fixed values.
 URL_RULES = [
     ("allow", "com", "/"),
@@ -109,6 +114,7 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_url_filter": op3_url_filter,
     "op4_quality": op4_quality,
     "op5_mixing": op5_mixing,
