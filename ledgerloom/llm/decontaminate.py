@@ -155,13 +155,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     other columns are ignored. Items are read in blocks of about
     ``block_bytes``, so a benchmark of any size is searched whole.
     """
-    if radius >= 3 * BLOCKS:
-        raise ValueError(f"the blocks guarantee radii below {3 * BLOCKS}")
-    items = staged(benchmark.select(F.col(f"`{item_col}`").cast("long").alias("item_id"),
-                                    F.col(f"`{item_text_col}`").cast("string").alias("text"))
-                   .where("text is not null"), "benchmark")
-    total = items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
-    count = max(1, math.ceil(total / block_bytes))
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     shape = "doc_id long, item_id long, similarity double, start_word long, n_words long, distance int"
 
@@ -183,9 +176,40 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         return run
 
     result = None
-    for block in range(count):
-        own = items if count == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == block)
-        index = build_index([(r["item_id"], r["text"].encode()) for r in own.collect()], shingle_words, radius)
+    for index in _indexes(benchmark, item_col, item_text_col, shingle_words, radius, block_bytes):
         part = texts.mapInArrow(against(index), shape)
         result = part if result is None else result.union(part)
     return result
+
+
+def _indexes(benchmark: DataFrame, item_col: str, text_col: str, shingle_words: int, radius: int,
+             block_bytes: int) -> Iterator[Index]:
+    """An index for each block of items; one at least."""
+    if radius >= 3 * BLOCKS:
+        raise ValueError(f"the blocks guarantee radii below {3 * BLOCKS}")
+    items = staged(benchmark.select(F.col(f"`{item_col}`").cast("long").alias("item_id"),
+                                    F.col(f"`{text_col}`").cast("string").alias("text"))
+                   .where("text is not null"), "benchmark")
+    total = items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
+    count = max(1, math.ceil(total / block_bytes))
+    for block in range(count):
+        own = items if count == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == block)
+        yield build_index([(r["item_id"], r["text"].encode()) for r in own.collect()], shingle_words, radius)
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
+                  item_text_col: str = "text", shingle_words: int = 5, least: float = 0.8, radius: int = 23,
+                  block_bytes: int = 4 << 20) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that hold no window similar to an item."""
+    place = docs.columns.index(text_col)
+
+    def clean(index: Index):
+        def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in rows:
+                yield batch.filter(pa.array([not leaks(t, index, least, radius) for t in raw_bytes(batch.column(place))],
+                                            pa.bool_()))
+        return run
+
+    for index in _indexes(benchmark, item_col, item_text_col, shingle_words, radius, block_bytes):
+        docs = docs.mapInArrow(clean(index), docs.schema)
+    return docs

@@ -191,3 +191,23 @@ def with_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", te
     same = (left[f"`{id_col}`"].cast("long").eqNullSafe(right["__llm_id"])
             & (left["__llm_hash"] == right["__llm_key"]))
     return left.join(right.hint("shuffle_hash"), same, "left").drop("__llm_hash", "__llm_id", "__llm_key")
+
+
+def without_lines(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with all columns, its texts cut to the kept lines, and ``__llm_dropped``: the number of
+    lines dropped, null where the text is as it was."""
+    marked = with_bitmaps(docs, bitmaps, id_col, text_col)
+    text_at, keep_at = marked.columns.index(text_col), marked.columns.index("__llm_keep")
+    out = marked.drop("__llm_keep").schema
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            texts = [t if keep is None else kept_text(t or b"", keep)
+                     for t, keep in zip(raw_bytes(batch.column(text_at)), batch.column(keep_at).to_pylist())]
+            columns = list(batch.columns)
+            columns[text_at] = pa.array(texts, pa.binary()).cast(pa.string())
+            names = list(batch.schema.names)
+            del columns[keep_at], names[keep_at]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    return marked.mapInArrow(run, out)

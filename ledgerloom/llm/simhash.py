@@ -225,12 +225,13 @@ def hamming_links(codes: DataFrame, radius: int = 4, node_limit: int = 20_000) -
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle_words: int = 4, radius: int = 4, node_limit: int = 20_000) -> DataFrame:
-    """One row per input row: ``doc_id, text_key, fingerprint, component_id``.
+    """One row per input row: ``doc_id, text_key, fingerprint, component_id, root``.
 
     * fingerprint: 16 hex digits. Null, empty and blank texts: zero, linked like any other.
     * component_id: the smallest id reachable over links of at most ``radius``
       differing bits, itself included. A row with a null id gets the smallest
       id of its group, null if no row of the group has one.
+    * root: a name of the group, a fingerprint as a signed long.
     * Repeated rows, and rows that share an id, are all returned. An empty
       table gives an empty result; other columns are ignored.
     """
@@ -242,6 +243,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     linked = rooted.where("fp <> root").select("root").distinct()
     groups = (rooted.join(linked, "root", "left_semi").groupBy("root").agg(F.min("least").alias("group_least")))
     member = (rooted.join(groups, "root", "left")
-              .select("fp", F.coalesce("group_least", "least").alias("component_id")))
+              .select("fp", "root", F.coalesce("group_least", "least").alias("component_id")))
     return made.join(member, "fp").select(
-        "doc_id", "text_key", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        "doc_id", "text_key", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "root")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 4,
+                radius: int = 4) -> DataFrame:
+    """``docs`` with all columns, one row of each group of near duplicates.
+
+    The row with the smallest id stays (rows with a null id last; rows that
+    share an id by a hash of the text); of rows with equal id and text, one.
+    """
+    found = staged(near_duplicates(docs, id_col, text_col, shingle_words, radius)
+                   .groupBy("root", "doc_id", "text_key").agg(F.count("*").alias("n")), "simhash-rows")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key", "n"))
+    # A group of one row needs no choice; the others name their rows to drop.
+    groups = staged(found.groupBy("root").agg(first.alias("first"), F.sum("n").alias("rows")).where("rows > 1"), "simhash-groups")
+    key = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key", "n")
+    drop = (found.join(groups, "root").where(key != F.col("first"))
+            .select(F.col("doc_id").alias("__llm_id"), F.col("text_key").alias("__llm_key")))
+    hashed = docs.withColumn("__llm_hash", F.xxhash64(F.col(f"`{text_col}`")))
+    same = hashed[f"`{id_col}`"].cast("long").eqNullSafe(F.col("__llm_id")) & (F.col("__llm_hash") == F.col("__llm_key"))
+    kept = hashed.join(drop, same, "left_anti")
+    repeated = staged(groups.where("first.n > 1").select(F.col("first.doc_id").alias("__llm_id"), F.col("first.text_key").alias("__llm_key")),
+                      "simhash-repeated")
+    if repeated.isEmpty():
+        return kept.drop("__llm_hash")
+    once = kept.join(repeated, same, "left_semi").dropDuplicates([id_col, "__llm_hash"])
+    return kept.join(repeated, same, "left_anti").union(once).drop("__llm_hash")

@@ -249,3 +249,16 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     narrow = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                          F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
     return narrow.mapInArrow(run, "doc_id long, score double, predicted int, spans array<struct<start:long,end:long>>")
+
+
+def without_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text is not predicted toxic."""
+    place = docs.columns.index(text_col)
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            limit = [evidence(t or "", model.log_odds, model.gap_cost, model.rate, model.scale)
+                     for t in batch.column(place).to_pylist()]
+            yield batch.filter(pa.array([model.bias + model.slope * x < 0 for x in limit], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
