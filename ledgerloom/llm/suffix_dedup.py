@@ -132,6 +132,9 @@ def _scan(length: int, seed_bytes: int):
                             else:
                                 proven.append([a, b + size])
                     at, h, end, low = at[keep], h[keep], end[keep], low[keep]
+                whole = low + length <= len(text)  # else each of its windows lies in an earlier anchor's segment
+                at, h, end, low = at[whole], h[whole], end[whole], low[whole]
+                if len(close):
                     if proven:
                         at = np.concatenate([at, [x for x, _ in proven]])
                         end = np.concatenate([end, [y for _, y in proven]])
