@@ -31,8 +31,10 @@ def parse_date_us(c: str | Column) -> Column:
     return F.try_to_date(blank_to_null(c), US_DATE)
 
 
-def parse_date_lenient(c: str | Column, formats: Sequence[str] = (ISO_DATE, US_DATE)) -> Column:
-    """First format that parses wins; garbage becomes NULL (coerce semantics)."""
+def parse_date_lenient(c: str | Column, formats: Sequence[str] = (
+        ISO_DATE, US_DATE, "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss")) -> Column:
+    """First format that parses wins, a time of day is dropped; garbage becomes
+    NULL (coerce semantics)."""
     c = blank_to_null(c)
     return F.coalesce(*[F.try_to_date(c, f) for f in formats])
 

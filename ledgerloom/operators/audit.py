@@ -6,7 +6,7 @@ inserted, updated = SCD1 updates + SCD2 closes, skipped = stage rows − inserte
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.schemas import AUDIT
@@ -33,6 +33,23 @@ def audit_row(load_id: int, load_type: str, source: str, processed: DataFrame,
                       "rows_inserted", "rows_updated", "rows_skipped").select(*AUDIT)
 
 
+def audit_started(spark: SparkSession, load_id: int, load_type: str, source: str) -> DataFrame:
+    """The row that opens a load: no counts yet."""
+    zero = [F.lit(0).cast("long").alias(c) for c in ("rows_processed", "rows_inserted", "rows_updated",
+                                                     "rows_skipped")]
+    return (spark.range(1).select(F.lit(load_id).cast("long").alias("load_id"),
+                                  F.lit(load_type).alias("load_type"), F.lit(source).alias("source_table"),
+                                  F.lit("STARTED").alias("status"), *zero).select(*AUDIT))
+
+
+def audit_state(log: DataFrame) -> DataFrame:
+    """One row a load: the finishing row where there is one, else the opening row."""
+    rest = [c for c in AUDIT if c not in ("load_id", "status")]
+    row = F.struct(F.when(F.col("status") == "STARTED", 0).otherwise(1).alias("_done"), "status", *rest)
+    last = log.groupBy("load_id").agg(F.max(row).alias("_r"))
+    return last.select("load_id", "_r.status", *[f"_r.{c}" for c in rest]).select(*AUDIT)
+
+
 def audit_initial(order_details: DataFrame, load_id: int = 1) -> DataFrame:
     return audit_row(load_id, "INITIAL", "stage.raw_orders", _count(order_details, "n"))
 

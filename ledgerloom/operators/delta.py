@@ -27,6 +27,9 @@ def delta_duplicates(loaded: DataFrame, incoming: DataFrame) -> DataFrame:
     def row(alias: str) -> Column:
         return F.struct(*[F.col(f"{alias}.{c}") for c in BUSINESS_COLUMNS])
     i = incoming.withColumn("_h", F.xxhash64(*BUSINESS_COLUMNS)).alias("i")
+    # Only loaded lines of the batch's own orders can be equal (null-safe, as below).
+    asked = incoming.select(F.col("order_id").alias("_asked")).distinct()
+    loaded = loaded.join(asked, F.col("order_id").eqNullSafe(F.col("_asked")), "left_semi")
     o = loaded.select(*BUSINESS_COLUMNS).withColumn("_h", F.xxhash64(*BUSINESS_COLUMNS)).alias("o")
     cond = (F.col("i._h") == F.col("o._h")) & row("i").eqNullSafe(row("o"))
     return i.join(o, cond, "left_semi").drop("_h")

@@ -39,24 +39,24 @@ def orders_with_geography(orders: DataFrame, addresses: DataFrame) -> DataFrame:
     (both ends inclusive, open end = NULL). Overlapping versions fan out.
 
     A range join: besides the customer, the equi-key carries the order year.
-    Each version is repeated once per year it covers (open versions up to the
-    latest order year), so an order only meets the versions overlapping its
-    year instead of all versions of its customer; every matching pair still
-    meets exactly once (an order has one year). Joined on headers, not lines,
-    which are far fewer.
+    Each version is repeated for those years it covers in which its customer
+    has orders, so an order only meets the versions overlapping its year
+    instead of all versions of its customer, and a far date adds one year to
+    one customer only; every matching pair still meets exactly once (an order
+    has one year). Joined on headers, not lines, which are far fewer.
     """
     o = (orders.select("order_id", "order_number", "order_date", "ship_date", "ship_mode",
                        "customer_id")
          .withColumn("_year", F.year("order_date")).alias("o"))
-    last_year = orders.agg(F.max(F.year("order_date")).alias("_last"))
-    first = F.year("valid_from")
-    last = F.coalesce(F.year("valid_to"), F.col("_last"))
-    a = (addresses.crossJoin(F.broadcast(last_year))
+    years = (orders.select("customer_id", F.year("order_date").alias("a_year")).distinct()
+             .groupBy("customer_id").agg(F.collect_list("a_year").alias("_years")))
+    covered = F.filter("_years", lambda y: (y >= F.year("valid_from"))
+                       & (F.col("valid_to").isNull() | (y <= F.year("valid_to"))))
+    a = (addresses.join(years, "customer_id")
          .select(F.col("customer_id").alias("a_customer"), "address_id", "valid_from",
                  "valid_to", F.col("country").alias("sales_country"),
                  F.col("region").alias("sales_region"), F.col("state").alias("sales_state"),
-                 F.col("city").alias("sales_city"),
-                 F.explode(F.sequence(first, F.greatest(first, last))).alias("a_year"))
+                 F.col("city").alias("sales_city"), F.explode(covered).alias("a_year"))
          .alias("a"))
     cond = ((F.col("o.customer_id") == F.col("a.a_customer"))
             & (F.col("o._year") == F.col("a.a_year"))

@@ -42,6 +42,11 @@ def sales_and_profit(fact: DataFrame, group_cols: Sequence[str]) -> DataFrame:
             .withColumn("profit_margin", safe_divide("total_profit", "total_sales")))
 
 
+def totals_by(fact: DataFrame, *keys: str) -> DataFrame:
+    """Sales and profit per key: what reports join dimensions to, instead of the fact."""
+    return fact.groupBy(*keys).agg(F.sum("sales").alias("sales"), F.sum("profit").alias("profit"))
+
+
 def grand_total(fact: DataFrame) -> DataFrame:
     """One-row frame with the unfiltered total (ALL(fact)); safe to broadcast."""
     return fact.agg(F.sum("sales").alias("_all_sales"))
@@ -121,8 +126,9 @@ def yearly_yoy(fact: DataFrame, cal: DataFrame) -> DataFrame:
 def kpi_cards(fact: DataFrame, cal: DataFrame) -> DataFrame:
     """Grand-total context: SPLY of the whole calendar is the calendar shifted
     back a year and intersected with itself, i.e. every year but the last."""
+    daily = totals_by(fact, "order_date")      # one pass over the fact, one row a day
     last_year = cal.agg(F.max("year").alias("_last"))
-    t = (fact.crossJoin(F.broadcast(last_year))
+    t = (daily.crossJoin(last_year)
          .agg(F.sum("sales").alias("total_sales"), F.sum("profit").alias("total_profit"),
               F.sum(F.when(F.year("order_date") < F.col("_last"), F.col("sales")))
               .alias("sales_sply")))

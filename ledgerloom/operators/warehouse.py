@@ -333,8 +333,11 @@ def new_detail_rows(details: DataFrame, orders: DataFrame, products: DataFrame,
     """Batch lines whose (order, product) pair is not in the old detail table
     (NOT EXISTS as a left anti join)."""
     rows = _detail_rows(delta, orders, products, quantity=repair_quantity("quantity"))
-    return rows.join(details.select("order_id", "product_id"), ["order_id", "product_id"],
-                     "left_anti")
+    # Only history of the batch's own orders can match. The semi join is what a
+    # runtime filter can push into the history scan; an anti join is not.
+    seen = (details.select("order_id", "product_id")
+            .join(rows.select("order_id").distinct(), "order_id", "left_semi"))
+    return rows.join(seen, ["order_id", "product_id"], "left_anti")
 
 
 def secondary_order_details(details: DataFrame, orders: DataFrame, products: DataFrame,
@@ -387,11 +390,15 @@ def correct_period(orders: DataFrame, details: DataFrame,
                    fix: Correction) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Thin generated lines of a period to ``keep_percent`` (deterministic md5
     bucket of the line id), then drop every line-less order of the period."""
-    doomed = (details.join(correction_targets(orders, fix), "order_id", "left_semi")
-              .filter(md5_bucket("order_detail_id") >= fix.keep_percent)
-              .select("order_detail_id"))
-    kept = details.join(doomed, "order_detail_id", "left_anti")
     in_period = F.col("order_date").between(F.lit(fix.start), F.lit(fix.end))
-    orphans = (orders.filter(in_period).select("order_id")
-               .join(kept.select("order_id"), "order_id", "left_anti"))
+    period = orders.filter(in_period).select(
+        "order_id", F.col("order_number").startswith(fix.prefix).alias("_target"))
+    # One pass over the period's lines gives the lines to drop and the orders that keep one.
+    lines = (details.select("order_id", "order_detail_id").join(period, "order_id")
+             .withColumn("_doomed", F.col("_target")
+                         & (md5_bucket("order_detail_id") >= fix.keep_percent)))
+    doomed = lines.filter("_doomed").select("order_detail_id")
+    kept = details.join(doomed, "order_detail_id", "left_anti")
+    orphans = (period.select("order_id")
+               .join(lines.filter("not _doomed").select("order_id"), "order_id", "left_anti"))
     return orders.join(orphans, "order_id", "left_anti"), kept, doomed, orphans

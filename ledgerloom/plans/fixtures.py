@@ -86,9 +86,9 @@ def fx_lines(spark: SparkSession, sf_dir: str, order_filter: Column | None = Non
     lines = read_table(spark, sf_dir, "lineitem")
     customer = read_table(spark, sf_dir, "customer")
     part = read_table(spark, sf_dir, "part")
-    # nation (25 rows) and region (5 rows) have a fixed size: safe to broadcast.
+    # Whether a side is broadcast is left to Spark, which checks its size.
     geo = (read_table(spark, sf_dir, "nation")
-           .join(F.broadcast(read_table(spark, sf_dir, "region")),
+           .join(read_table(spark, sf_dir, "region"),
                  F.col("n_regionkey") == F.col("r_regionkey")))
     # lineitem ⋈ orders joins the two largest tables: a shuffle (sort-merge)
     # join on the order key, as it would be at any real size. Stating it also
@@ -96,7 +96,7 @@ def fx_lines(spark: SparkSession, sf_dir: str, order_filter: Column | None = Non
     # as the lineitem file has row groups.
     flat = (lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
             .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-            .join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"))
+            .join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
             .join(part, F.col("l_partkey") == F.col("p_partkey")))
     return flat.select(*_line_columns())
 
@@ -111,17 +111,17 @@ def raw_orders(spark: SparkSession, sf_dir: str, with_helpers: bool = True) -> D
 
 def stage_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every flat line tagged with the stage batch it belongs to
-    (``stage_part`` = ``initial`` or ``delta``); lines of delta-only customers
-    dated before the delta start belong to neither and are left out.
+    (``stage_part`` = ``initial`` or ``delta``). Lines of delta-only customers
+    arrive in the delta whatever their date: no line is left out.
 
     One pass over lineitem serves both batches; a writer partitions by
     ``stage_part`` so each batch is a folder of its own.
     """
     lines = fx_lines(spark, sf_dir)
-    in_delta = F.col("order_date") >= F.lit(DELTA_START[:10])
-    in_initial = ~in_delta & (F.col("k_cust") % NEW_CUSTOMER_MOD != 0)
-    part = (F.when(in_delta, F.lit("delta")).when(in_initial, F.lit("initial")))
-    return lines.withColumn("stage_part", part).filter(F.col("stage_part").isNotNull())
+    in_initial = ((F.col("order_date") < F.lit(DELTA_START[:10]))
+                  & (F.col("k_cust") % NEW_CUSTOMER_MOD != 0))
+    return lines.withColumn("stage_part", F.when(in_initial, F.lit("initial"))
+                            .otherwise(F.lit("delta")))
 
 
 def _delta_row(df: DataFrame, *, row_key: Column | None = None, order_id: Column | None = None,
@@ -151,11 +151,12 @@ def delta_orders(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None,
     """Incremental batch (stage.delta_orders shape) built from four scenario parts.
 
     ``raw`` is the initial batch with its helper columns and ``new_lines`` the
-    flat lines from the delta start on (e.g. the two folders of a
+    flat lines that are not in it (e.g. the two folders of a
     :func:`stage_lines` snapshot); both are derived from the tables when not
     given."""
     if new_lines is None:
-        new_lines = fx_lines(spark, sf_dir, F.col("o_orderdate") >= _ntz(DELTA_START))
+        new_lines = fx_lines(spark, sf_dir, (F.col("o_orderdate") >= _ntz(DELTA_START))
+                             | (F.col("o_custkey") % NEW_CUSTOMER_MOD == 0))
     part_new = _delta_row(
         new_lines,
         quantity=F.when(F.col("k_order") % ZERO_QTY_ORDER_MOD == 0, F.lit(0))
@@ -175,7 +176,7 @@ def delta_orders(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None,
         raw.filter(F.col("k_cust") % SCD2_CUSTOMER_MOD == 0), ["customer_id"],
         ["order_date", "row_key", "sales", "ship_date", "order_id", "product_id"])
     region = read_table(spark, sf_dir, "region")
-    moved = (movers.join(F.broadcast(region),
+    moved = (movers.join(region,
                          F.col("r_regionkey") == (F.col("k_region") + 1) % 5)
              .withColumn("nd", F.when(F.col("k_cust") % SCD2_CONFLICT_MOD == 0,
                                       F.lit(dt.date(1995, 1, 1)))

@@ -38,7 +38,11 @@ def compose(final_sql: str) -> str:
         visit(n)
     if not order:
         return final_sql.strip()
-    body = ",\n".join(f"{n} AS (\n{CTES[n]}\n)" for n in order)
+    # A statement that several others read is computed once.
+    texts = [CTES[n] for n in order] + [final_sql]
+    shared = {n for n in order if sum(len(re.findall(rf"\b{n}\b", t)) for t in texts) > 1}
+    body = ",\n".join(f"{n} AS {'MATERIALIZED ' if n in shared else ''}(\n{CTES[n]}\n)"
+                      for n in order)
     return f"WITH {body}\n{final_sql.strip()}"
 
 
@@ -64,7 +68,7 @@ from fx_lines where order_date < '2000-01-01' and k_cust % 13 <> 0
 """)
 
 cte("delta_orders", """
-select row_key,order_id,order_date,ship_date,ship_mode,customer_id,customer_name,segment,country,city,state,postal_code,region,product_id,category,sub_category,product_name,sales,case when k_order % 29 = 0 then 0 else quantity end as quantity,discount,profit, order_date as valid_from, '' as valid_to, '' as previous_region, k_cust % 13 = 0 as is_new_version, '' as scd2_attribute_changed from fx_lines where order_date >= '2000-01-01'
+select row_key,order_id,order_date,ship_date,ship_mode,customer_id,customer_name,segment,country,city,state,postal_code,region,product_id,category,sub_category,product_name,sales,case when k_order % 29 = 0 then 0 else quantity end as quantity,discount,profit, order_date as valid_from, '' as valid_to, '' as previous_region, k_cust % 13 = 0 as is_new_version, '' as scd2_attribute_changed from fx_lines where order_date >= '2000-01-01' or k_cust % 13 = 0
 union all select row_key,order_id,order_date,ship_date,ship_mode,customer_id,customer_name,segment,country,city,state,postal_code,region,product_id,category,sub_category,product_name,sales,quantity,discount,profit, order_date, '', '', false, '' from raw_orders where k_order % 50 = 0
 union all select concat('S1-',row_key),order_id,order_date,ship_date,ship_mode,customer_id,concat(customer_name,' (Updated)'),segment,country,city,state,postal_code,region,product_id,category,sub_category,product_name,cast(sales*1.1 as decimal(10,2)),quantity,discount,profit, order_date, '', '', false, '' from raw_orders where k_cust % 11 = 0 and k_line = 1
 union all select concat('S2-',row_key), concat('SCD2-',order_id,'-V2'), cast(nd as string), cast(nd + 3 as string), ship_mode,customer_id,customer_name,segment,country,city,state,postal_code, nr, product_id,category,sub_category,product_name,sales,quantity,discount,profit, cast(nd as string), '', region, true, 'region'
@@ -286,7 +290,7 @@ cte("x_fact", """
 select d.order_detail_id, o.order_id, o.order_number, o.order_date, o.ship_date, o.ship_mode, o.customer_id, d.product_id,
        a.country as sales_country, a.region as sales_region, a.state as sales_state, a.city as sales_city,
        d.sales, d.quantity, d.discount, d.profit
-from x_d3 d join x_o3 o on d.order_id = o.order_id
+from x_d2 d join x_o2 o on d.order_id = o.order_id
 left join x_a4 a on o.customer_id = a.customer_id and o.order_date >= a.valid_from and (a.valid_to is null or o.order_date <= a.valid_to)
 """)
 
@@ -297,7 +301,7 @@ from (select d.order_detail_id, o.order_id, o.order_number, o.order_date, o.ship
              a.country as sales_country, a.region as sales_region, a.state as sales_state, a.city as sales_city,
              d.sales, d.quantity, d.discount, d.profit,
              row_number() over (partition by d.order_detail_id order by a.valid_from desc nulls last, a.address_id desc nulls last) as rn
-      from x_d3 d join x_o3 o on d.order_id = o.order_id
+      from x_d2 d join x_o2 o on d.order_id = o.order_id
       left join x_a4 a on o.customer_id = a.customer_id and o.order_date >= a.valid_from and (a.valid_to is null or o.order_date <= a.valid_to)) t
 where rn = 1
 """)

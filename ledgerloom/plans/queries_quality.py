@@ -8,8 +8,8 @@ from ledgerloom.plans.warehouse_run import warehouse as W
 from ledgerloom.schemas import FOREIGN_KEYS, NOT_NULL, STAGE_LENGTHS, UNIQUE
 
 # Final core tables and stage tables as oracle CTEs.
-CORE = {"customers": "x_c2", "addresses": "x_a4", "products": "x_p2", "orders": "x_o3",
-        "order_details": "x_d3"}
+CORE = {"customers": "x_c2", "addresses": "x_a4", "products": "x_p2", "orders": "x_o2",
+        "order_details": "x_d2"}
 STAGES = {"raw_orders": "raw_orders", "delta_orders": "delta_orders"}
 
 
@@ -31,19 +31,19 @@ FK_SQL = " union all ".join(
 CHECK_DATES_SQL = _row("check_dates", "addresses", "valid_to",
                        "count(*) filter (where valid_to is not null and valid_to <= valid_from)", "x_a4")
 SHIP_SQL = _row("check_order_dates", "orders", "ship_date",
-                "count(*) filter (where ship_date < order_date)", "x_o3")
+                "count(*) filter (where ship_date < order_date)", "x_o2")
 QTY_SQL = _row("check_quantity", "order_details", "quantity",
-               "count(*) filter (where quantity <= 0)", "x_d3")
+               "count(*) filter (where quantity <= 0)", "x_d2")
 DISCOUNT_SQL = _row("check_discount", "order_details", "discount",
-                    "count(*) filter (where discount < 0 or discount > 1)", "x_d3")
+                    "count(*) filter (where discount < 0 or discount > 1)", "x_d2")
 LENGTHS_SQL = " union all ".join(
     _row("varchar_length", t, c, f"count(*) filter (where length({c}) > {n})", src)
     for t, src in STAGES.items() for c, n in STAGE_LENGTHS.items())
 ONE_CURRENT_SQL = _row("one_current_address", "addresses", "customer_id",
                        "count(*) filter (where n > 1)",
                        "(select customer_id, count(*) filter (where is_current) as n from x_a4 group by customer_id) t")
-FANOUT_SRC = """(select d.order_detail_id, m.matches from x_d3 d join (
-    select o.order_id, count(a.address_id) as matches from x_o3 o
+FANOUT_SRC = """(select d.order_detail_id, m.matches from x_d2 d join (
+    select o.order_id, count(a.address_id) as matches from x_o2 o
     left join x_a4 a on o.customer_id = a.customer_id and o.order_date >= a.valid_from
                      and (a.valid_to is null or o.order_date <= a.valid_to)
     group by o.order_id) m on d.order_id = m.order_id) t"""
@@ -144,7 +144,7 @@ def load_reconciliation(spark, sf):
 
 
 @register("apply_defaults", """
-select cast(order_detail_id as bigint) as order_detail_id, cast(coalesce(discount, 0) as double) as discount from x_d3""")
+select cast(order_detail_id as bigint) as order_detail_id, cast(coalesce(discount, 0) as double) as discount from x_d2""")
 def apply_defaults(spark, sf):
     """DDL defaults applied to NULLs (discount 0.00, is_current TRUE)."""
     t = _tables(spark, sf)

@@ -13,7 +13,8 @@ from ledgerloom.plans.warehouse_run import warehouse as W
 # Fixed report parameters.
 BIG_BUYER_SALES = 100000.0          # customer sales from which a loss is flagged
 RECEIPT_BIN_WIDTH = 250.0           # histogram bin ("0 to $250" is the first bin)
-TRAVELER = "Customer#000000847 (Updated)"   # a renamed customer that moved regions
+# The first customer that a load renamed: there is one at every size.
+RENAMED_SQL = "select min(customer_name) from x_c2 where customer_name like '% (Updated)'"
 
 
 def sdiv(num: str, den: str) -> str:
@@ -31,8 +32,13 @@ def _fact(spark, sf):
     return W(spark, sf).fact_sales()
 
 
+def _calendar(fact):
+    """The calendar from the fact's daily sums, the aggregate that the measures use too."""
+    return mart.calendar(m.daily_sales(fact), "date")
+
+
 def _cal(spark, sf):
-    return mart.calendar(_fact(spark, sf))
+    return _calendar(_fact(spark, sf))
 
 
 @register("category_matrix", f"""
@@ -78,8 +84,7 @@ from x_fact f join x_dim_products p on f.product_id = p.product_id group by p.ca
 def profit_margin(spark, sf):
     """DIVIDE(profit, sales, 0) per category."""
     w = W(spark, sf)
-    f = w.fact_sales().join(w.dim_products().select("product_id", "category"), "product_id")
-    return m.sales_and_profit(f, ["category"]).select("category", "profit_margin")
+    return reports.margin_by_category(w.fact_sales(), w.dim_products())
 
 
 @register("calendar", """
@@ -98,7 +103,7 @@ from x_calendar c left join x_daily d on d.date = c.date""")
 def sales_ytd(spark, sf):
     """TOTALYTD per calendar day."""
     f = _fact(spark, sf)
-    return m.sales_ytd(f, mart.calendar(f))
+    return m.sales_ytd(f, _calendar(f))
 
 
 @register("sales_sply", """
@@ -108,7 +113,7 @@ left join x_daily p on p.date = cast(c.date - interval 12 month as date)""")
 def sales_sply(spark, sf):
     """SAMEPERIODLASTYEAR at day grain (29 Feb → 28 Feb)."""
     f = _fact(spark, sf)
-    return m.sales_sply_daily(f, mart.calendar(f))
+    return m.sales_sply_daily(f, _calendar(f))
 
 
 @register("sales_yoy", f"""
@@ -119,7 +124,7 @@ left join x_yearly p on p.year + 1 = y.year""")
 def sales_yoy(spark, sf):
     """(current − last year) / last year per year, 0 when last year is blank."""
     f = _fact(spark, sf)
-    return m.yearly_yoy(f, mart.calendar(f))
+    return m.yearly_yoy(f, _calendar(f))
 
 
 @register("pct_of_total", f"""
@@ -141,7 +146,7 @@ from x_fact""")
 def kpi_cards(spark, sf):
     """V1: sales, profit, margin and YoY in the grand-total context."""
     f = _fact(spark, sf)
-    return m.kpi_cards(f, mart.calendar(f))
+    return m.kpi_cards(f, _calendar(f))
 
 
 @register("sales_trend_vs_last_year", """
@@ -153,7 +158,7 @@ left join x_monthly p on p.month_start = cast(c.month_start - interval 12 month
 def sales_trend_vs_last_year(spark, sf):
     """V2: monthly sales against the same month last year."""
     f = _fact(spark, sf)
-    return m.monthly_vs_last_year(f, mart.calendar(f))
+    return m.monthly_vs_last_year(f, _calendar(f))
 
 
 @register("seasonality_by_month", """
@@ -250,11 +255,14 @@ def customer_details(spark, sf):
 @register("orders_of_named_customer", f"""
 select cast(order_date as varchar) as order_date, sales_region, cast(sales as double) as sales, order_number,
        cast(order_detail_id as bigint) as order_detail_id
-from x_fact where customer_id = (select customer_id from x_c2 where customer_name = '{TRAVELER}')""")
+from x_fact where customer_id = (select customer_id from x_c2 where customer_name = ({RENAMED_SQL}))""")
 def orders_of_named_customer(spark, sf):
     """One customer's lines with the region valid at order time."""
     w = W(spark, sf)
-    return reports.orders_of_named_customer(w.fact_sales(), w.final().customers, TRAVELER)
+    customers = w.final().customers
+    renamed = customers.filter(F.col("customer_name").endswith(" (Updated)"))
+    return reports.orders_of_named_customer(w.fact_sales(), customers,
+                                            renamed.agg(F.min("customer_name")).first()[0])
 
 
 @register("unprofitable_subcategories", f"""

@@ -16,6 +16,7 @@ from ledgerloom.plans import fixtures
 from ledgerloom.plans.registry import register
 from ledgerloom.plans.warehouse_run import warehouse as W
 from ledgerloom.schemas import DELTA_COLUMNS, DELTA_ORDERS, RAW_COLUMNS, RAW_ORDERS
+from ledgerloom.session import scratch_folder
 from ledgerloom.sources import files
 
 # Fixed query parameters.
@@ -41,14 +42,14 @@ def _delta(spark, sf):
 
 
 # ------------------------------------------------------------- aggregates
-@register("count_details", "select cast(count(*) as bigint) as n from x_d3")
+@register("count_details", "select cast(count(*) as bigint) as n from x_d2")
 def count_details(spark, sf):
     """A1: COUNT(*) of the loaded lines."""
     return W(spark, sf).final().order_details.agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("orders_per_batch", """
-select cast(batch_id as bigint) as batch_id, cast(count(*) as bigint) as count_orders from x_o3 group by batch_id""")
+select cast(batch_id as bigint) as batch_id, cast(count(*) as bigint) as count_orders from x_o2 group by batch_id""")
 def orders_per_batch(spark, sf):
     """A2: orders per load batch."""
     return W(spark, sf).final().orders.groupBy("batch_id").agg(
@@ -216,17 +217,19 @@ def parse_dates(spark, sf):
 @register("parse_dates_lenient", """
 select row_key, mixed, cast(coalesce(try_cast(nullif(trim(mixed), '') as date), cast(try_strptime(nullif(trim(mixed), ''), '%m/%d/%Y') as date)) as varchar) as parsed
 from (select row_key,
-             case (('0x' || substr(md5(row_key), 1, 4))::INT % 100) % 3
+             case (('0x' || substr(md5(row_key), 1, 4))::INT % 100) % 4
                   when 0 then order_date
                   when 1 then strftime(try_cast(order_date as date), '%-m/%-d/%Y')
+                  when 2 then order_date || ' 10:11:12'
                   else 'n/a' end as mixed
       from delta_orders) t""")
 def parse_dates_lenient(spark, sf):
     """mixed-format text, first parse that works, garbage → NULL."""
     d = _delta(spark, sf)
-    b = fc.md5_bucket("row_key") % 3
+    b = fc.md5_bucket("row_key") % 4
     mixed = (F.when(b == 0, F.col("order_date"))
              .when(b == 1, F.date_format(fc.parse_date("order_date"), "M/d/yyyy"))
+             .when(b == 2, F.concat("order_date", F.lit(" 10:11:12")))
              .otherwise(F.lit("n/a")))
     return (d.select("row_key", mixed.alias("mixed"))
             .withColumn("parsed", fc.parse_date_lenient("mixed")))
@@ -416,7 +419,7 @@ def semi_in_subquery(spark, sf):
 
 @register("filter_date_between", """
 select cast(order_id as bigint) as order_id, order_number, cast(order_date as varchar) as order_date
-from x_o3 where order_date between date '2000-01-01' and date '2000-12-31'""")
+from x_o2 where order_date between date '2000-01-01' and date '2000-12-31'""")
 def filter_date_between(spark, sf):
     """Inclusive date range (pushed to the Parquet scan)."""
     import datetime as dt
@@ -426,7 +429,7 @@ def filter_date_between(spark, sf):
 
 
 @register("filter_like_prefix", """
-select cast(order_id as bigint) as order_id, order_number from x_o3 where order_number like 'ORD-1%'""")
+select cast(order_id as bigint) as order_id, order_number from x_o2 where order_number like 'ORD-1%'""")
 def filter_like_prefix(spark, sf):
     """LIKE 'prefix%' (pushed as StringStartsWith)."""
     o = W(spark, sf).final().orders
@@ -558,7 +561,8 @@ def delta_scd2_rows(spark, sf):
 
 # ---------------------------------------------------- sources and sinks
 def _files(spark, sf, name):
-    return f"{W(spark, sf).root}/files/{name}"
+    """A folder of this call alone: an earlier result may still read its files."""
+    return f"{scratch_folder(spark, 'files')}/{name}"
 
 
 @register("src_csv_latin1", f"select {RAW_SQL} from raw_orders")
@@ -603,14 +607,7 @@ def stage_append(spark, sf):
 
 
 def _audit_log(spark, sf):
-    w = W(spark, sf)
-    s = w.secondary()
-    c = w.cleaned()
-    counters = audit.audit_secondary(
-        w.delta_orders(), wh.scd1_changes(c.customers, w.delta_orders()),
-        wh.scd2_close_candidates(c.addresses, s.customers, w.delta_orders()),
-        s.orders.filter(F.col("batch_id") == 2))
-    return audit.audit_initial(w.initial().order_details).unionByName(counters)
+    return W(spark, sf).audit_log()
 
 
 @register("audit_start", """
@@ -645,8 +642,5 @@ select cast(year(order_date) as bigint) as order_year, cast(count(*) as bigint)
        cast(sum(sales) as double) as total_sales from x_fact group by 1""")
 def mart_snapshot(spark, sf):
     """The mart materialised as Parquet partitioned by order year."""
-    w = W(spark, sf)
-    w.fact_sales()
-    snap = spark.read.parquet(f"{w.root}/mart/fact_sales")
-    return snap.groupBy("order_year").agg(F.count(F.lit(1)).alias("fact_rows"),
+    return W(spark, sf).fact_by_year().groupBy("order_year").agg(F.count(F.lit(1)).alias("fact_rows"),
                                           F.sum("sales").alias("total_sales"))

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from ledgerloom.operators import keys
 from ledgerloom.plans.oracle import compose
-from ledgerloom.session import ensure_checkpoint_dir
+from ledgerloom.session import scratch_folder
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -42,9 +42,10 @@ def register(name: str, sql: str | None = None):
     """Register a query under ``name`` with its oracle SQL (CTEs are added by name)."""
     def deco(fn: QueryFn) -> QueryFn:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            # Key staging of this query goes to folders named after it, so
-            # calling the query again reuses them instead of adding more.
-            base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ledgerloom-query-keys/{name}"
+            # Key staging of each call goes to a folder of its own: an earlier
+            # result of the query, or another job, may still read its files.
+            # ``session.remove_scratch`` deletes old ones.
+            base = f"{scratch_folder(spark, 'query-keys')}/{name}"
             with keys.staging_under(base):
                 return surface(fn(spark, sf_dir))
         run.__name__ = name

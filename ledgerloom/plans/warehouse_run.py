@@ -6,7 +6,9 @@ Every step's output is written once as a Parquet snapshot under the cluster's
 lost executor costs one step, not the whole chain), gives the surrogate keys a
 fixed value, and follows the snapshot-flip rule: a step never overwrites a
 path that its own plan reads. Snapshot folders are keyed by the input files
-and the code version, so a changed input or operator never reuses stale data.
+(listed recursively, on every call) and the code version, so a changed input
+or operator never reuses stale data. A table is written to a private folder
+and published by a rename, so concurrent builders cannot mix their files.
 """
 
 from __future__ import annotations
@@ -16,12 +18,13 @@ import datetime as dt
 import hashlib
 import pathlib
 import threading
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import keys, mart
+from ledgerloom.operators import audit, keys, mart
 from ledgerloom.operators import warehouse as wh
 from ledgerloom.plans import fixtures
 from ledgerloom.session import ensure_checkpoint_dir
@@ -39,7 +42,7 @@ STEP_METHODS = {"initial": "initial", "cleanup": "cleaned", "secondary": "second
 # points it at a fresh folder to measure a cold build).
 NAMESPACE = "ledgerloom-snapshots"
 
-_RUNS: dict[tuple[int, str, str], "WarehouseRun"] = {}
+_RUNS: dict[tuple[str, str, str, str], "WarehouseRun"] = {}
 _RUNS_LOCK = threading.Lock()
 
 
@@ -51,13 +54,27 @@ def _code_version() -> str:
     return h.hexdigest()[:12]
 
 
+def input_digest(spark: SparkSession, sf_dir: str) -> str:
+    """Names the input files (path, length, time; folders recursively) and the code."""
+    h = hashlib.sha1(_code_version().encode())
+    conf = spark._jsc.hadoopConfiguration()
+    for t in INPUT_TABLES:
+        p = spark._jvm.org.apache.hadoop.fs.Path(table_path(sf_dir, t))
+        found, files = [], p.getFileSystem(conf).listFiles(p, True)
+        while files.hasNext():
+            st = files.next()
+            found.append(f"{st.getPath().toString()}|{st.getLen()}|{st.getModificationTime()}")
+        h.update("\n".join(sorted(found)).encode())
+    return h.hexdigest()[:16]
+
+
 class WarehouseRun:
     """The warehouse built from one folder of input tables, step by step, as snapshots."""
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, digest: str | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
         base = ensure_checkpoint_dir(spark).rstrip("/")
-        self.root = f"{base}/{NAMESPACE}/{self._input_digest()}"
+        self.root = f"{base}/{NAMESPACE}/{digest or input_digest(spark, sf_dir)}"
         self._memo: dict[str, object] = {}
         self._parts: dict[str, dict[str, list[str]]] = {}
         self._locks: dict[str, threading.RLock] = {}
@@ -69,14 +86,6 @@ class WarehouseRun:
         p = jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
 
-    def _input_digest(self) -> str:
-        h = hashlib.sha1(_code_version().encode())
-        for t in INPUT_TABLES:
-            fs, p = self._fs(table_path(self.sf_dir, t))
-            st = fs.getFileStatus(p)
-            h.update(f"{p.toString()}|{st.getLen()}|{st.getModificationTime()}".encode())
-        return h.hexdigest()[:16]
-
     def _exists(self, path: str) -> bool:
         fs, p = self._fs(f"{path}/_SUCCESS")
         return fs.exists(p)
@@ -84,12 +93,30 @@ class WarehouseRun:
     def snapshot(self, name: str, build, partition_by: str | None = None) -> DataFrame:
         path = f"{self.root}/{name}"
         if not self._exists(path):
-            w = build().write.mode("overwrite")
-            if partition_by:
-                w = w.partitionBy(partition_by)
-            w.parquet(path)
+            self._publish(build(), path, partition_by)
         return self.spark.read.parquet(path)
 
+    def _publish(self, df: DataFrame, path: str, partition_by: str | None = None) -> None:
+        """Write to a private folder, then rename; of concurrent builders the
+        first to finish wins and the others drop their copy."""
+        own = f"{self.root}/_building/{uuid.uuid4().hex}"
+        w = df.write
+        if partition_by:
+            w = w.partitionBy(partition_by)
+        w.parquet(own)
+        fs, target = self._fs(path)
+        _, source = self._fs(own)
+        fs.mkdirs(target.getParent())
+        if not fs.exists(target) and fs.rename(source, target):
+            # A builder that renamed in between: ours then lies inside its folder.
+            _, inner = self._fs(f"{path}/{source.getName()}")
+            if fs.exists(inner):
+                fs.delete(inner, True)
+        else:
+            fs.delete(source, True)
+            if not self._exists(path):
+                raise OSError(f"{path} exists but is not complete; remove it")
+
     def _memoized(self, key: str, make):
         # One builder per step even when queries run on several threads; a
         # lock per step, so independent steps still build side by side (steps
@@ -150,11 +177,8 @@ class WarehouseRun:
         if not missing:
             return
         frames = [(p, b()) for p, b in missing]     # plans are built on this thread
-        if len(frames) == 1:
-            frames[0][1].write.mode("overwrite").parquet(frames[0][0])
-            return
         with ThreadPoolExecutor(max_workers=len(frames)) as pool:
-            list(pool.map(lambda pf: pf[1].write.mode("overwrite").parquet(pf[0]), frames))
+            list(pool.map(lambda pf: self._publish(pf[1], pf[0]), frames))
 
     def _drop_staging(self, owner: str) -> None:
         """Delete the key-staging folders written while building a step: the
@@ -170,7 +194,7 @@ class WarehouseRun:
 
     def _write_once(self, path: str, build) -> None:
         if not self._exists(path):
-            build().write.mode("overwrite").parquet(path)
+            self._publish(build(), path)
 
     # -- steps ---------------------------------------------------------------
     def stage_lines(self) -> str:
@@ -215,6 +239,8 @@ class WarehouseRun:
         the lines once orders and products exist."""
         raw = self.raw_orders()
         step = "initial"
+        self._write_once(f"{self.root}/audit/initial-started", lambda: audit.audit_started(
+            self.spark, 1, "INITIAL", "stage.raw_orders"))
         with keys.staging_scope() as owner, ThreadPoolExecutor(max_workers=3) as pool:
             fc = self._submit(pool, self._table, step, "customers",
                               lambda: wh.initial_customers(raw))
@@ -229,6 +255,7 @@ class WarehouseRun:
             details = self._table(step, "order_details",
                                   lambda: wh.initial_order_details(raw, orders, products))
             self._drop_staging(owner)
+        self._write_once(f"{self.root}/audit/initial-completed", lambda: audit.audit_initial(details))
         self._parts[step] = {t: [f"{self.root}/{step}/{t}"] for t in TABLES}
         return wh.CoreState(customers, addresses, products, orders, details)
 
@@ -252,6 +279,8 @@ class WarehouseRun:
         delta = self.delta_orders()
         before = self._parts["cleanup"]
         step = "secondary"
+        self._write_once(f"{self.root}/audit/secondary-started", lambda: audit.audit_started(
+            self.spark, 2, "SECONDARY", "stage.delta_orders"))
         with keys.staging_scope() as owner, ThreadPoolExecutor(max_workers=3) as pool:
             fc = self._submit(pool, self._table, step, "customers",
                               lambda: wh.scd1_customers(c.customers, delta)[0])
@@ -267,12 +296,23 @@ class WarehouseRun:
                                    lambda: wh.secondary_order_details(c.order_details, orders,
                                                                       products, delta))
             self._drop_staging(owner)
+        self._write_once(f"{self.root}/audit/secondary-completed", lambda: audit.audit_secondary(
+            delta, wh.scd1_changes(c.customers, delta),
+            wh.scd2_close_candidates(c.addresses, customers, delta),
+            self.read_parts([f"{self.root}/{step}/orders"])))
         parts = {t: [f"{self.root}/{step}/{t}"] for t in ("customers", "addresses")}
         for t in ("products", "orders", "order_details"):
             parts[t] = before[t] + [f"{self.root}/{step}/{t}"]
         self._parts[step] = parts
         return wh.CoreState(customers, addresses, products, orders, details)
 
+    def audit_log(self) -> DataFrame:
+        """The kept log of the loads: what each wrote when it began and when it ended."""
+        self.secondary()
+        return audit.audit_state(self.read_parts(
+            [f"{self.root}/audit/{load}-{state}" for load in ("initial", "secondary")
+             for state in ("started", "completed")]))
+
     def corrected(self) -> wh.CoreState:
         """Period correction. Only the part folders that hold deleted rows are
         rewritten; all other parts are shared with the previous step."""
@@ -317,15 +357,22 @@ class WarehouseRun:
         return {r["_part"] for r in hits.collect()}
 
     def final(self) -> wh.CoreState:
-        return self.corrected()
+        """The state that mart, rules and reports read: all loads applied. The
+        period correction is a script of its own and not part of the run order."""
+        return self.secondary()
 
-    def fact_sales(self) -> DataFrame:
+    def fact_by_year(self) -> DataFrame:
+        """The fact with its partition column: a filter on ``order_year`` prunes folders."""
         s = self.final()
         return self._memoized("fact_sales", lambda: self.snapshot(
             "mart/fact_sales",
+            # Rebalanced by year first: few files a year, and a large year in several.
             lambda: mart.fact_sales(s.order_details, s.orders, s.addresses)
-            .withColumn("order_year", F.year("order_date")),
-            partition_by="order_year").drop("order_year"))
+            .withColumn("order_year", F.year("order_date")).hint("rebalance", "order_year"),
+            partition_by="order_year"))
+
+    def fact_sales(self) -> DataFrame:
+        return self.fact_by_year().drop("order_year")
 
     def mart(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         """The three mart tables; the two materialised ones are built
@@ -357,10 +404,11 @@ class WarehouseRun:
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> WarehouseRun:
-    """The (memoised) warehouse run of a session and input folder."""
-    key = (id(spark), sf_dir, NAMESPACE)
+    """The (memoised) warehouse run of a session and the input files as they are now."""
+    digest = input_digest(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, NAMESPACE, digest)
     with _RUNS_LOCK:
         run = _RUNS.get(key)
         if run is None:
-            run = _RUNS[key] = WarehouseRun(spark, sf_dir)
+            run = _RUNS[key] = WarehouseRun(spark, sf_dir, digest)
         return run

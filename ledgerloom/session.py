@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import time
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -51,6 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
     if jdir.isDefined():
         path = jdir.get()
+    elif not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     else:
         # Local runs only (a cluster names its shared folder): one stable
         # folder, so later sessions reuse the snapshots keyed by input + code.
@@ -61,5 +65,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+SCRATCH = "ledgerloom-scratch"
+
+
+def scratch_folder(spark: SparkSession, kind: str) -> str:
+    """A fresh folder name under the checkpoint folder, for files of one call."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{SCRATCH}/{kind}-{uuid.uuid4().hex}"
+
+
+def remove_scratch(spark: SparkSession, older_than_hours: float = 48.0) -> int:
+    """Delete the calls' scratch folders that are older than a limit; returns how many."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/{SCRATCH}")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return 0
+    limit = (time.time() - older_than_hours * 3600) * 1000
+    old = [s.getPath() for s in fs.listStatus(path) if s.getModificationTime() < limit]
+    for p in old:
+        fs.delete(p, True)
+    return len(old)

@@ -35,9 +35,10 @@ def write_source_csv(df: DataFrame, path: str, encoding: str = LATIN1) -> None:
 
 def read_source_csv(spark: SparkSession, path: str, encoding: str = LATIN1) -> DataFrame:
     """Header CSV in the given encoding, typed by the source schema, renamed to
-    stage names."""
+    stage names. A field that does not parse fails the read instead of turning
+    into NULL unnoticed."""
     df = (spark.read.schema(SOURCE_CSV).option("header", True).option("encoding", encoding)
-          .option("mode", "PERMISSIVE").csv(path))
+          .option("mode", "FAILFAST").csv(path))
     return df.withColumnsRenamed(FROM_SOURCE_HEADER)
 
 
@@ -55,7 +56,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType,
              header: bool = True) -> DataFrame:
     """CSV with an explicit schema, ``\\N`` as NULL (the sink's convention)."""
     return (spark.read.schema(schema).option("header", header).option("nullValue", NULL_MARK)
-            .option("emptyValue", "").csv(path))
+            .option("emptyValue", "").option("mode", "FAILFAST").csv(path))
 
 
 def write_stage(df: DataFrame, path: str, schema: T.StructType = RAW_ORDERS,
