@@ -107,6 +107,8 @@ class WarehouseRun:
         fs, target = self._fs(path)
         _, source = self._fs(own)
         fs.mkdirs(target.getParent())
+        if fs.exists(target) and not self._exists(path):
+            fs.delete(target, True)     # left by something that died; a published folder is whole
         if not fs.exists(target) and fs.rename(source, target):
             # A builder that renamed in between: ours then lies inside its folder.
             _, inner = self._fs(f"{path}/{source.getName()}")
@@ -115,7 +117,7 @@ class WarehouseRun:
         else:
             fs.delete(source, True)
             if not self._exists(path):
-                raise OSError(f"{path} exists but is not complete; remove it")
+                raise OSError(f"{path} could not be published")
 
     def _memoized(self, key: str, make):
         # One builder per step even when queries run on several threads; a
