@@ -25,7 +25,10 @@ SCD1_CUSTOMER_MOD = 11                     # renamed customers (line 1 only)
 SCD2_CUSTOMER_MOD = 7                      # customers that move region
 SCD2_CONFLICT_MOD = 21                     # moves dated before their history
 ZERO_QTY_ORDER_MOD = 29                    # new lines arriving with quantity 0
-HELPER_COLUMNS = ["k_order", "k_cust", "k_line", "k_region"]
+NEW_PRODUCT_MOD = 97                       # products seen only in the delta
+LOSS_BRAND = "Brand#11"                    # sold below cost
+NO_DISCOUNT_ORDER_MOD = 41                 # orders that name no discount
+HELPER_COLUMNS = ["k_order", "k_cust", "k_line", "k_region", "k_part"]
 
 
 def _ntz(text: str) -> Column:
@@ -62,14 +65,17 @@ def _line_columns() -> list[Column]:
         e("cast(cast(l_extendedprice as decimal(10,2)) * (1 - cast(l_discount as decimal(5,2)))"
           " as decimal(10,2))").alias("sales"),
         F.col("l_quantity").cast("int").alias("quantity"),
-        F.col("l_discount").cast("decimal(5,2)").alias("discount"),
+        F.when(F.col("o_orderkey") % NO_DISCOUNT_ORDER_MOD == 0, F.lit(None))
+         .otherwise(F.col("l_discount")).cast("decimal(5,2)").alias("discount"),
         e("cast(cast(l_extendedprice as decimal(10,2)) * (cast(0.30 as decimal(5,2))"
-          " - cast(l_discount as decimal(5,2))) - cast(l_quantity as int) * p_size * 4"
+          " - cast(l_discount as decimal(5,2))) - cast(l_quantity as int) * p_size"
+          f" * case when p_brand = '{LOSS_BRAND}' then 40 else 4 end"
           " as decimal(10,2))").alias("profit"),
         F.col("o_orderkey").alias("k_order"),
         F.col("c_custkey").alias("k_cust"),
         F.col("l_linenumber").alias("k_line"),
         F.col("r_regionkey").alias("k_region"),
+        F.col("p_partkey").alias("k_part"),
     ]
 
 
@@ -102,24 +108,26 @@ def fx_lines(spark: SparkSession, sf_dir: str, order_filter: Column | None = Non
 
 
 def raw_orders(spark: SparkSession, sf_dir: str, with_helpers: bool = True) -> DataFrame:
-    """Initial batch: orders before the delta start, minus delta-only customers."""
+    """Initial batch: lines before the delta start, minus delta-only customers and products."""
     df = (fx_lines(spark, sf_dir,
                    (F.col("o_orderdate") < _ntz(DELTA_START))
-                   & (F.col("o_custkey") % NEW_CUSTOMER_MOD != 0)))
+                   & (F.col("o_custkey") % NEW_CUSTOMER_MOD != 0))
+          .filter(F.col("k_part") % NEW_PRODUCT_MOD != 0))
     return df if with_helpers else df.drop(*HELPER_COLUMNS)
 
 
 def stage_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every flat line tagged with the stage batch it belongs to
     (``stage_part`` = ``initial`` or ``delta``). Lines of delta-only customers
-    arrive in the delta whatever their date: no line is left out.
+    and products arrive in the delta whatever their date: no line is left out.
 
     One pass over lineitem serves both batches; a writer partitions by
     ``stage_part`` so each batch is a folder of its own.
     """
     lines = fx_lines(spark, sf_dir)
     in_initial = ((F.col("order_date") < F.lit(DELTA_START[:10]))
-                  & (F.col("k_cust") % NEW_CUSTOMER_MOD != 0))
+                  & (F.col("k_cust") % NEW_CUSTOMER_MOD != 0)
+                  & (F.col("k_part") % NEW_PRODUCT_MOD != 0))
     return lines.withColumn("stage_part", F.when(in_initial, F.lit("initial"))
                             .otherwise(F.lit("delta")))
 
@@ -155,8 +163,7 @@ def delta_orders(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None,
     :func:`stage_lines` snapshot); both are derived from the tables when not
     given."""
     if new_lines is None:
-        new_lines = fx_lines(spark, sf_dir, (F.col("o_orderdate") >= _ntz(DELTA_START))
-                             | (F.col("o_custkey") % NEW_CUSTOMER_MOD == 0))
+        new_lines = stage_lines(spark, sf_dir).filter("stage_part = 'delta'")
     part_new = _delta_row(
         new_lines,
         quantity=F.when(F.col("k_order") % ZERO_QTY_ORDER_MOD == 0, F.lit(0))

@@ -56,19 +56,19 @@ select concat_ws('-', cast(l_orderkey as string), cast(l_linenumber as string),
  case when c_custkey % 17 = 0 then null else cast(10000 + c_custkey % 900 as int) end as postal_code, r_name as region,
  concat('PROD-', cast(p_partkey as string)) as product_id, p_type as category, p_brand as sub_category, p_name as product_name,
  cast(cast(l_extendedprice as decimal(10,2)) * (1 - cast(l_discount as decimal(5,2))) as decimal(10,2)) as sales,
- cast(l_quantity as int) as quantity, cast(l_discount as decimal(5,2)) as discount,
- cast(cast(l_extendedprice as decimal(10,2)) * (cast(0.30 as decimal(5,2)) - cast(l_discount as decimal(5,2))) - cast(l_quantity as int) * p_size * 4 as decimal(10,2)) as profit,
- o_orderkey as k_order, c_custkey as k_cust, l_linenumber as k_line, r_regionkey as k_region
+ cast(l_quantity as int) as quantity, case when o_orderkey % 41 = 0 then null else cast(l_discount as decimal(5,2)) end as discount,
+ cast(cast(l_extendedprice as decimal(10,2)) * (cast(0.30 as decimal(5,2)) - cast(l_discount as decimal(5,2))) - cast(l_quantity as int) * p_size * case when p_brand = 'Brand#11' then 40 else 4 end as decimal(10,2)) as profit,
+ o_orderkey as k_order, c_custkey as k_cust, l_linenumber as k_line, r_regionkey as k_region, p_partkey as k_part
  from lineitem join orders on l_orderkey=o_orderkey join customer on o_custkey=c_custkey join nation on c_nationkey=n_nationkey join region on n_regionkey=r_regionkey join part on l_partkey=p_partkey
 """)
 
 cte("raw_orders", """
 select row_key,order_id,order_date,ship_date,ship_mode,customer_id,customer_name,segment,country,city,state,postal_code,region,product_id,category,sub_category,product_name,sales,quantity,discount,profit, k_order,k_cust,k_line,k_region
-from fx_lines where order_date < '2000-01-01' and k_cust % 13 <> 0
+from fx_lines where order_date < '2000-01-01' and k_cust % 13 <> 0 and k_part % 97 <> 0
 """)
 
 cte("delta_orders", """
-select row_key,order_id,order_date,ship_date,ship_mode,customer_id,customer_name,segment,country,city,state,postal_code,region,product_id,category,sub_category,product_name,sales,case when k_order % 29 = 0 then 0 else quantity end as quantity,discount,profit, order_date as valid_from, '' as valid_to, '' as previous_region, k_cust % 13 = 0 as is_new_version, '' as scd2_attribute_changed from fx_lines where order_date >= '2000-01-01' or k_cust % 13 = 0
+select row_key,order_id,order_date,ship_date,ship_mode,customer_id,customer_name,segment,country,city,state,postal_code,region,product_id,category,sub_category,product_name,sales,case when k_order % 29 = 0 then 0 else quantity end as quantity,discount,profit, order_date as valid_from, '' as valid_to, '' as previous_region, k_cust % 13 = 0 as is_new_version, '' as scd2_attribute_changed from fx_lines where order_date >= '2000-01-01' or k_cust % 13 = 0 or k_part % 97 = 0
 union all select row_key,order_id,order_date,ship_date,ship_mode,customer_id,customer_name,segment,country,city,state,postal_code,region,product_id,category,sub_category,product_name,sales,quantity,discount,profit, order_date, '', '', false, '' from raw_orders where k_order % 50 = 0
 union all select concat('S1-',row_key),order_id,order_date,ship_date,ship_mode,customer_id,concat(customer_name,' (Updated)'),segment,country,city,state,postal_code,region,product_id,category,sub_category,product_name,cast(sales*1.1 as decimal(10,2)),quantity,discount,profit, order_date, '', '', false, '' from raw_orders where k_cust % 11 = 0 and k_line = 1
 union all select concat('S2-',row_key), concat('SCD2-',order_id,'-V2'), cast(nd as string), cast(nd + 3 as string), ship_mode,customer_id,customer_name,segment,country,city,state,postal_code, nr, product_id,category,sub_category,product_name,sales,quantity,discount,profit, cast(nd as string), '', region, true, 'region'
