@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.schemas import FOREIGN_KEYS, NOT_NULL, STAGE_LENGTHS, UNIQUE
+from ledgerloom.schemas import FOREIGN_KEYS, LENGTHS, NOT_NULL, UNIQUE
 
 RESULT = ["rule", "table_name", "column_name", "violations"]
 
@@ -43,16 +43,17 @@ def dq_not_null(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def dq_unique(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows beyond the first for each key value."""
+    """Rows beyond the first for each key value (a NULL key counts as one such
+    row). One narrow grouping per key, combined before the shuffle; several
+    distinct counts in one aggregate would expand every row."""
     out = []
     for t, keys in UNIQUE.items():
-        agg = tables[t].agg(F.count(F.lit(1)).alias("_rows"),
-                            *[F.countDistinct(k).alias(k) for k in keys])
-        out.append(agg.select(F.explode(F.array(*[
-            F.struct(F.lit("unique").alias("rule"), F.lit(t).alias("table_name"),
-                     F.lit(k).alias("column_name"),
-                     (F.col("_rows") - F.col(k)).cast("long").alias("violations"))
-            for k in keys])).alias("x")).select("x.*"))
+        for k in keys:
+            per = tables[t].groupBy(F.col(k).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+            beyond = F.sum(F.when(F.col("_k").isNull(), F.col("_n")).otherwise(F.col("_n") - 1))
+            out.append(per.agg(F.coalesce(beyond, F.lit(0)).cast("long").alias("violations")).select(
+                F.lit("unique").alias("rule"), F.lit(t).alias("table_name"),
+                F.lit(k).alias("column_name"), "violations"))
     return _union(out)
 
 
@@ -91,11 +92,11 @@ def dq_discount(details: DataFrame) -> DataFrame:
                 (F.col("discount") < 0) | (F.col("discount") > 1))
 
 
-def dq_lengths(stages: Mapping[str, DataFrame]) -> DataFrame:
-    """Stage texts longer than their VARCHAR limit, one pass per stage table."""
-    return _union([_per_column(df, "varchar_length", t,
-                               {c: F.length(c) > n for c, n in STAGE_LENGTHS.items()})
-                   for t, df in stages.items()])
+def dq_lengths(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Texts longer than their VARCHAR limit, one pass per table."""
+    return _union([_per_column(tables[t], "varchar_length", t,
+                               {c: F.length(c) > n for c, n in limits.items()})
+                   for t, limits in LENGTHS.items()])
 
 
 def dq_one_current_address(addresses: DataFrame) -> DataFrame:
@@ -121,8 +122,8 @@ def dq_fact_fanout(details: DataFrame, orders: DataFrame, addresses: DataFrame)
 
 
 def _table_rules(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Every single-row rule of a table (NOT NULL, UNIQUE, CHECKs) evaluated in
-    ONE aggregate pass per table, then unpivoted."""
+    """Every single-row rule of a table (NOT NULL, CHECKs) evaluated in ONE
+    aggregate pass per table, then unpivoted."""
     checks = {
         "addresses": [("check_dates", "valid_to",
                        F.col("valid_to").isNotNull() & (F.col("valid_to") <= F.col("valid_from")))],
@@ -136,8 +137,6 @@ def _table_rules(tables: Mapping[str, DataFrame]) -> DataFrame:
         named = []                       # (rule, column, aggregate expression)
         for c in NOT_NULL.get(t, []):
             named.append(("not_null", c, F.count_if(F.col(c).isNull())))
-        for k in UNIQUE.get(t, []):
-            named.append(("unique", k, F.count(F.lit(1)) - F.countDistinct(k)))
         for rule, c, bad in checks.get(t, []):
             named.append((rule, c, F.count_if(bad)))
         if not named:
@@ -150,11 +149,12 @@ def _table_rules(tables: Mapping[str, DataFrame]) -> DataFrame:
     return _union(out)
 
 
-def dq_report(tables: Mapping[str, DataFrame], stages: Mapping[str, DataFrame]) -> DataFrame:
-    """All rules in one report: one pass per core table for its own rules, one
-    per stage table for the lengths, plus the cross-table rules."""
+def dq_report(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """All rules in one report over the stage, core and audit tables: one pass
+    per table for its own rules, one for the lengths, plus keys and the
+    cross-table rules."""
     return _union([
-        _table_rules(tables), dq_foreign_keys(tables), dq_lengths(stages),
+        _table_rules(tables), dq_unique(tables), dq_foreign_keys(tables), dq_lengths(tables),
         dq_one_current_address(tables["addresses"]),
         dq_fact_fanout(tables["order_details"], tables["orders"], tables["addresses"]),
     ])

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ledgerloom.operators import quality as q
 from ledgerloom.plans.registry import register
 from ledgerloom.plans.warehouse_run import warehouse as W
-from ledgerloom.schemas import FOREIGN_KEYS, NOT_NULL, STAGE_LENGTHS, UNIQUE
+from ledgerloom.schemas import FOREIGN_KEYS, LENGTHS, NOT_NULL, UNIQUE
 
-# Final core tables and stage tables as oracle CTEs.
+# Stage, final core and audit tables as oracle CTEs.
 CORE = {"customers": "x_c2", "addresses": "x_a4", "products": "x_p2", "orders": "x_o2",
-        "order_details": "x_d2"}
-STAGES = {"raw_orders": "raw_orders", "delta_orders": "delta_orders"}
+        "order_details": "x_d2", "load_audit": "x_audit_log", "raw_orders": "raw_orders",
+        "delta_orders": "delta_orders"}
 
 
 def _row(rule, table, column, expr, src):
@@ -37,8 +39,8 @@ QTY_SQL = _row("check_quantity", "order_details", "quantity",
 DISCOUNT_SQL = _row("check_discount", "order_details", "discount",
                     "count(*) filter (where discount < 0 or discount > 1)", "x_d2")
 LENGTHS_SQL = " union all ".join(
-    _row("varchar_length", t, c, f"count(*) filter (where length({c}) > {n})", src)
-    for t, src in STAGES.items() for c, n in STAGE_LENGTHS.items())
+    _row("varchar_length", t, c, f"count(*) filter (where length({c}) > {n})", CORE[t])
+    for t, limits in LENGTHS.items() for c, n in limits.items())
 ONE_CURRENT_SQL = _row("one_current_address", "addresses", "customer_id",
                        "count(*) filter (where n > 1)",
                        "(select customer_id, count(*) filter (where is_current) as n from x_a4 group by customer_id) t")
@@ -53,12 +55,9 @@ FANOUT_SQL = (_row("fact_fanout", "fact_sales", "no_version", "count(*) filter (
 
 
 def _tables(spark, sf):
-    return W(spark, sf).final().tables()
-
-
-def _stages(spark, sf):
     w = W(spark, sf)
-    return {"raw_orders": w.raw_orders(), "delta_orders": w.delta_orders()}
+    return {**w.final().tables(), "load_audit": w.audit_log(), "raw_orders": w.raw_orders(),
+            "delta_orders": w.delta_orders()}
 
 
 @register("dq_not_null", NOT_NULL_SQL)
@@ -105,8 +104,8 @@ def dq_discount(spark, sf):
 
 @register("dq_lengths", LENGTHS_SQL)
 def dq_lengths(spark, sf):
-    """VARCHAR(n) limits of the stage tables."""
-    return q.dq_lengths(_stages(spark, sf))
+    """VARCHAR(n) limits of the stage, core and audit tables."""
+    return q.dq_lengths(_tables(spark, sf))
 
 
 @register("dq_one_current_address", ONE_CURRENT_SQL)
@@ -127,7 +126,7 @@ def dq_fact_fanout(spark, sf):
     ONE_CURRENT_SQL, FANOUT_SQL]))
 def dq_report(spark, sf):
     """All rules in one report."""
-    return q.dq_report(_tables(spark, sf), _stages(spark, sf))
+    return q.dq_report(_tables(spark, sf))
 
 
 @register("load_reconciliation", """
@@ -144,9 +143,14 @@ def load_reconciliation(spark, sf):
 
 
 @register("apply_defaults", """
-select cast(order_detail_id as bigint) as order_detail_id, cast(coalesce(discount, 0) as double) as discount from x_d2""")
+select 'order_details' as table_name, cast(order_detail_id as bigint) as id, cast(coalesce(discount, 0) as double) as discount,
+       cast(null as boolean) as is_current from x_d2
+union all select 'addresses', cast(address_id as bigint), null, coalesce(is_current, true) from x_a4""")
 def apply_defaults(spark, sf):
     """DDL defaults applied to NULLs (discount 0.00, is_current TRUE)."""
     t = _tables(spark, sf)
-    details, _ = q.apply_defaults(t["order_details"], t["addresses"])
-    return details.select("order_detail_id", "discount")
+    details, addresses = q.apply_defaults(t["order_details"], t["addresses"])
+    return (details.select(F.lit("order_details").alias("table_name"), F.col("order_detail_id").alias("id"),
+                           "discount", F.lit(None).cast("boolean").alias("is_current"))
+            .unionByName(addresses.select(F.lit("addresses").alias("table_name"), F.col("address_id").alias("id"),
+                                          F.lit(None).cast("decimal(5,2)").alias("discount"), "is_current")))

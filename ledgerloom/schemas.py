@@ -50,7 +50,8 @@ ORDER_DETAILS = ["order_detail_id", "order_id", "product_id", "sales", "quantity
 AUDIT = ["load_id", "load_type", "source_table", "rows_processed", "status", "rows_inserted",
          "rows_updated", "rows_skipped"]
 
-# Declared constraints, re-aimed as data-quality rules.
+# Declared constraints, re-aimed as data-quality rules. these
+# lists and the lengths below state the DDL's constraints.
 NOT_NULL = {
     "customers": ["customer_id", "customer_number", "customer_name"],
     "addresses": ["address_id", "customer_id", "valid_from", "is_current"],
@@ -58,6 +59,7 @@ NOT_NULL = {
     "orders": ["order_id", "customer_id", "order_number", "order_date", "ship_date", "batch_id"],
     "order_details": ["order_detail_id", "order_id", "product_id", "sales", "quantity",
                       "discount", "profit"],
+    "load_audit": ["load_id", "load_type", "source_table", "rows_processed"],
 }
 UNIQUE = {
     "customers": ["customer_id", "customer_number"],
@@ -65,6 +67,9 @@ UNIQUE = {
     "products": ["product_id", "product_number"],
     "orders": ["order_id", "order_number"],
     "order_details": ["order_detail_id"],
+    "load_audit": ["load_id"],
+    "raw_orders": ["row_key"],
+    "delta_orders": ["row_key"],
 }
 FOREIGN_KEYS = [
     ("addresses", "customer_id", "customers", "customer_id"),
@@ -72,9 +77,18 @@ FOREIGN_KEYS = [
     ("order_details", "order_id", "orders", "order_id"),
     ("order_details", "product_id", "products", "product_id"),
 ]
-# VARCHAR lengths of the stage DDL.
 STAGE_LENGTHS = {
     "order_id": 50, "order_date": 20, "ship_date": 20, "ship_mode": 50, "customer_id": 20,
     "customer_name": 100, "segment": 50, "country": 50, "city": 50, "state": 50, "region": 50,
     "product_id": 20, "category": 50, "sub_category": 50, "product_name": 200,
 }
+DELTA_LENGTHS = {"valid_from": 20, "valid_to": 20, "previous_region": 50, "scd2_attribute_changed": 50}
+LENGTHS = {
+    "raw_orders": STAGE_LENGTHS,
+    "delta_orders": {**STAGE_LENGTHS, **DELTA_LENGTHS},
+    "customers": {"customer_number": 50, "customer_name": 255, "segment": 100},
+    "addresses": {"country": 100, "city": 100, "state": 100, "region": 100},
+    "products": {"product_number": 50, "category": 100, "sub_category": 100},
+    "orders": {"order_number": 50, "ship_mode": 100},
+    "load_audit": {"load_type": 20, "source_table": 50, "status": 20},
+}
