@@ -98,10 +98,6 @@ def md5_bucket(c: str | Column, buckets: int = 100) -> Column:
     return F.conv(F.substring(F.md5(col(c).cast("string")), 1, 4), 16, 10).cast("int") % buckets
 
 
-def money(c: str | Column) -> Column:
-    return col(c).cast("decimal(10,2)")
-
-
 def line_amount(price: str | Column, qty: str | Column, discount: str | Column) -> Column:
     """price * quantity * (1 - discount), rounded to cents."""
     return F.round(col(price) * col(qty) * (F.lit(1) - col(discount)), 2).cast("decimal(10,2)")

@@ -10,8 +10,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.columns import md5_bucket
-
 
 def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     """Source header names → stage names (columns not in the map are kept)."""
@@ -74,12 +72,9 @@ def unique_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return a.unpivot([], list(keys), "column_name", "unique_values")
 
 
-def deterministic_sample(df: DataFrame, key: str, n: int) -> DataFrame:
+def deterministic_sample(df: DataFrame, key: str, n: int, ties: Sequence[str] = ()) -> DataFrame:
     """Exactly ``n`` rows chosen by the md5 of a key (a seeded sample that every
-    engine reproduces). A top-n, so each task forwards at most n rows."""
+    engine reproduces; ``ties`` order rows that share a key). A top-n, so each
+    task forwards at most n rows."""
     return (df.withColumn("_h", F.md5(F.col(key).cast("string")))
-            .orderBy("_h", key).limit(n).drop("_h"))
-
-
-def hash_bucket(df: DataFrame, key: str, buckets: int = 100) -> DataFrame:
-    return df.withColumn("bucket", md5_bucket(key, buckets))
+            .orderBy("_h", key, *ties).limit(n).drop("_h"))

@@ -32,8 +32,8 @@ ADDRESS_ORDER = ["customer_id", "country", "city", "state", "postal_code", "regi
 
 @dataclass
 class CoreState:
-    """The five core tables of one warehouse state, plus the counters and the
-    new rows of the append-only tables that a load step produced."""
+    """The five core tables of one warehouse state, plus the counters of the
+    load step that produced it."""
     customers: DataFrame
     addresses: DataFrame
     products: DataFrame
@@ -42,7 +42,6 @@ class CoreState:
     counters: dict[str, DataFrame] = field(default_factory=dict)
     # New rows of append-only tables (products, orders, order_details): a
     # snapshot writer stores only these and keeps the earlier parts as they are.
-    appended: dict[str, DataFrame] = field(default_factory=dict)
 
     def tables(self) -> dict[str, DataFrame]:
         return {"customers": self.customers, "addresses": self.addresses,
@@ -363,9 +362,7 @@ def secondary_load(state: CoreState, delta: DataFrame) -> CoreState:
     return CoreState(customers=customers, addresses=addresses, products=products, orders=orders,
                      order_details=state.order_details.unionByName(new_details),
                      counters={"scd1": scd1, "closed": closing, "orders": new_orders,
-                               "details": new_details},
-                     appended={"products": new_products, "orders": new_orders,
-                               "order_details": new_details})
+                               "details": new_details})
 
 
 # ---------------------------------------------------------------- correction

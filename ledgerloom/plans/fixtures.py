@@ -13,6 +13,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.cleaning import union_aligned
 from ledgerloom.operators.dedupe import latest_per_key
 from ledgerloom.schemas import DELTA_COLUMNS, RAW_COLUMNS
 from ledgerloom.sources.tables import read_table
@@ -156,7 +157,13 @@ def _delta_row(df: DataFrame, *, row_key: Column | None = None, order_id: Column
 
 def delta_orders(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None,
                  new_lines: DataFrame | None = None) -> DataFrame:
-    """Incremental batch (stage.delta_orders shape) built from four scenario parts.
+    """Incremental batch (stage.delta_orders shape) built from four scenario parts."""
+    return union_aligned(delta_parts(spark, sf_dir, raw, new_lines), DELTA_COLUMNS, {})
+
+
+def delta_parts(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None,
+                new_lines: DataFrame | None = None) -> list[DataFrame]:
+    """New lines, exact duplicates, renames and moves.
 
     ``raw`` is the initial batch with its helper columns and ``new_lines`` the
     flat lines that are not in it (e.g. the two folders of a
@@ -200,5 +207,4 @@ def delta_orders(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None,
         previous_region=F.col("region"),
         is_new_version=F.lit(True),
         changed=F.lit("region"))
-    return (part_new.unionByName(part_dup).unionByName(part_scd1).unionByName(part_scd2)
-            .select(*DELTA_COLUMNS))
+    return [part_new, part_dup, part_scd1, part_scd2]

@@ -176,8 +176,8 @@ def head_rows(spark, sf):
 @register("sample_n_rows", f"select {RAW_SQL} from raw_orders order by md5(row_key), row_key, sales, ship_date limit {SAMPLE_ROWS}")
 def sample_n_rows(spark, sf):
     """T5: seeded sample of exactly n rows (md5 order)."""
-    return (_raw(spark, sf).select(*RAW_COLUMNS).withColumn("_h", F.md5("row_key"))
-            .orderBy("_h", "row_key", "sales", "ship_date").limit(SAMPLE_ROWS).drop("_h"))
+    return cleaning.deterministic_sample(_raw(spark, sf).select(*RAW_COLUMNS), "row_key", SAMPLE_ROWS,
+                                         ["sales", "ship_date"])
 
 
 @register("last_line_per_customer", """
@@ -355,7 +355,9 @@ def schema_align(spark, sf):
 @register("union_delta_parts", f"select {DELTA_SQL} from delta_orders")
 def union_delta_parts(spark, sf):
     """The four scenario parts concatenated by name (bag union)."""
-    return fixtures.delta_orders(spark, sf)
+    raw = W(spark, sf).raw_orders()
+    new_lines = spark.read.parquet(f"{W(spark, sf).stage_lines()}/stage_part=delta")
+    return cleaning.union_aligned(fixtures.delta_parts(spark, sf, raw, new_lines), DELTA_COLUMNS, {})
 
 
 @register("fill_postal_code", """

@@ -139,10 +139,9 @@ class WarehouseRun:
         return self.spark.read.parquet(*paths)
 
     def _state(self, step: str, make_state, prev: str | None = None,
-               keep: tuple[str, ...] = (), appended: tuple[str, ...] = ()) -> wh.CoreState:
+               keep: tuple[str, ...] = ()) -> wh.CoreState:
         """Materialise a step. Each table is a list of part folders: ``keep``
-        tables reuse the previous step's parts, tables the step appended to get
-        one new part with only the new rows, the rest are written whole."""
+        tables reuse the previous step's parts, the rest are written whole."""
         def make():
             state = None
 
@@ -161,12 +160,8 @@ class WarehouseRun:
                     parts[t] = before[t]
                     continue
                 path = f"{self.root}/{step}/{t}"
-                if t in before and t in appended:
-                    todo.append((path, lambda t=t: built().appended[t]))
-                    parts[t] = before[t] + [path]
-                else:
-                    todo.append((path, lambda t=t: built().tables()[t]))
-                    parts[t] = [path]
+                todo.append((path, lambda t=t: built().tables()[t]))
+                parts[t] = [path]
             self._write_all(todo)
             self._parts[step] = parts
             return wh.CoreState(**{t: self.read_parts(parts[t]) for t in TABLES})

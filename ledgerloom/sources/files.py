@@ -11,7 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ledgerloom.schemas import CSV_HEADER, DELTA_ORDERS, RAW_ORDERS
+from ledgerloom.schemas import CSV_HEADER, RAW_ORDERS
 
 LATIN1 = "ISO-8859-1"
 
@@ -83,17 +83,3 @@ def write_stage_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[st
 def read_stage(spark: SparkSession, path: str, schema: T.StructType = RAW_ORDERS) -> DataFrame:
     """Typed stage table."""
     return spark.read.schema(schema).parquet(path)
-
-
-def write_snapshot(df: DataFrame, path: str, partition_by: str | None = None,
-                   options: Mapping[str, str] | None = None) -> None:
-    """Overwrite a Parquet snapshot, optionally partitioned."""
-    w = df.write.mode("overwrite")
-    for k, v in (options or {}).items():
-        w = w.option(k, v)
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    w.parquet(path)
-
-
-DELTA_SCHEMA = DELTA_ORDERS
