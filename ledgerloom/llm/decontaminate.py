@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.shared import lower_words, mixed, raw_bytes, staged, word_shingles
+from ledgerloom.llm.shared import WordHashes, lower_words, mixed, raw_bytes, staged, word_shingles
 
 BLOCKS = 8
 
@@ -90,14 +90,15 @@ def _similarity(window: np.ndarray, item: Counter) -> float:
     return shared / (len(window) + sum(item.values()) - shared)
 
 
-def leaks(text: bytes | None, index: Index, least: float, radius: int) -> list[tuple[int, float, int, int, int]]:
+def leaks(text: bytes | None, index: Index, least: float, radius: int,
+          hashes: WordHashes | None = None) -> list[tuple[int, float, int, int, int]]:
     """``(item_id, similarity, first word, words, differing bits)`` of the best window for each item found."""
     words = lower_words(text)
     best: dict[int, tuple] = {}
     for width, (known, keys, member) in index.by_width.items():
         if len(words) < width:
             continue
-        h = word_shingles(words, width)
+        h = word_shingles(words, width, hashes)
         maybe = np.flatnonzero(known[(h >> np.uint64(44)).astype(np.int64)])
         where = np.searchsorted(keys, h[maybe])
         hit = keys[np.minimum(where, len(keys) - 1)] == h[maybe]
@@ -160,10 +161,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     def against(index: Index):
         def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            hashes = WordHashes()
             for batch in rows:
                 owner, found = [], []
                 for i, text in enumerate(raw_bytes(batch.column(1))):
-                    own = leaks(text, index, least, radius)
+                    own = leaks(text, index, least, radius, hashes)
                     owner += [i] * len(own)
                     found += own
                 if found:
@@ -205,8 +207,9 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
 
     def clean(index: Index):
         def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            hashes = WordHashes()
             for batch in rows:
-                yield batch.filter(pa.array([not leaks(t, index, least, radius) for t in raw_bytes(batch.column(place))],
+                yield batch.filter(pa.array([not leaks(t, index, least, radius, hashes) for t in raw_bytes(batch.column(place))],
                                             pa.bool_()))
         return run
 

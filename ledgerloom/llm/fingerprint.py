@@ -10,62 +10,82 @@ estimate.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.shared import lower_words, mixed, staged, word_shingles
+from ledgerloom.llm.shared import WordHashes, lower_words, mixed, staged, word_shingles
 
 BINS, BITS = 512, 4
 
 
-def densified(values: np.ndarray, full: np.ndarray) -> np.ndarray:
-    """Fill each empty bin from the first full bin on its own walk over the bins."""
-    empty = np.flatnonzero(~full)
-    out, attempt = values.copy(), 0
-    while len(empty):
-        attempt += 1
-        step = mixed(empty.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(attempt))
-        source = (step % np.uint64(len(values))).astype(np.int64)
-        hit = full[source]
-        out[empty[hit]] = values[source[hit]]
-        empty = empty[~hit]
-    return out
-
-
-def sketch(text: bytes, shingle_words: int = 5, bins: int = BINS, bits: int = BITS) -> bytes:
-    """The packed low-order bits of each bin; no words: no bytes."""
-    h = mixed(word_shingles(lower_words(text), shingle_words))
-    if not len(h):
-        return b""
-    shift = np.uint64(64 - (bins.bit_length() - 1))
-    low = np.full(bins, np.iinfo(np.uint64).max, np.uint64)
-    h = np.sort(h)
-    where = (h >> shift).astype(np.int64)
-    first = np.flatnonzero(np.concatenate(([True], where[1:] != where[:-1])))
-    low[where[first]] = h[first]
-    full = np.zeros(bins, bool)
-    full[where[first]] = True
-    # The bin enters too: else texts of very few shingles, whose bins hold one value, would
-    # share the low bits of all bins or of none.
-    salt = np.arange(bins, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    kept = mixed(densified(low, full) ^ salt).astype(np.uint8) & np.uint8((1 << bits) - 1)
-    return np.packbits(np.unpackbits(kept[:, None], axis=1, bitorder="little")[:, :bits].ravel(),
-                       bitorder="little").tobytes()
-
-
-def likeness(a: bytes, b: bytes, bins: int = BINS, bits: int = BITS) -> float:
-    """The similarity that two fingerprints show, without the chance agreement of packed bits."""
-    if not a or not b:
-        return 1.0 if a == b else 0.0
-    rows = np.unpackbits(np.frombuffer(a, np.uint8) ^ np.frombuffer(b, np.uint8), bitorder="little")
-    same = float((~rows[:bins * bits].reshape(bins, bits).any(axis=1)).mean())
+class Sketcher:
+    """Makes sketches; holds each bin's own random order of the bins and the hashes of words met."""
+
+    def __init__(self, shingle_words: int = 5, bins: int = BINS, bits: int = BITS):
+        self.shingle_words, self.bins, self.bits = shingle_words, bins, bits
+        keys = mixed(np.arange(bins * bins, dtype=np.uint64) + np.uint64(1)).reshape(bins, bins)
+        order = np.argsort(keys, axis=1)
+        self.steps, self.rank = order[:, :8].copy(), np.argsort(order, axis=1).astype(np.uint16)
+        self.salt = np.arange(bins, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        self.hashes = WordHashes()
+
+    def densified(self, values: np.ndarray, full: np.ndarray) -> np.ndarray:
+        """Fill each empty bin from the first full bin in its own order of the bins."""
+        empty = np.flatnonzero(~full)
+        if not len(empty):
+            return values
+        source, present = np.full(len(empty), -1), np.flatnonzero(full)
+        if len(present) > 64:  # mostly found within a few steps
+            near = self.steps[empty]
+            hits = full[near]
+            first = hits.argmax(axis=1)
+            rows = np.arange(len(empty))
+            source = np.where(hits[rows, first], near[rows, first], -1)
+        open_ = np.flatnonzero(source < 0)
+        source[open_] = present[self.rank[np.ix_(empty[open_], present)].argmin(axis=1)]
+        out = values.copy()
+        out[empty] = values[source]
+        return out
+
+    def __call__(self, text: bytes) -> np.ndarray:
+        """The low-order bits of each bin's value; no words: no bins."""
+        h = word_shingles(lower_words(text), self.shingle_words, self.hashes)
+        if not len(h):
+            return np.empty(0, np.uint8)
+        h.sort()
+        where = (h >> np.uint64(64 - (self.bins.bit_length() - 1))).astype(np.int64)
+        first = np.flatnonzero(np.diff(where, prepend=-1))
+        low = np.zeros(self.bins, np.uint64)
+        low[where[first]] = h[first]
+        full = np.zeros(self.bins, bool)
+        full[where[first]] = True
+        # The bin enters too: else texts of very few shingles, whose bins hold one value, would
+        # share the low bits of all bins or of none.
+        return mixed(self.densified(low, full) ^ self.salt).astype(np.uint8) & np.uint8((1 << self.bits) - 1)
+
+
+def packed(values: np.ndarray, bits: int = BITS) -> bytes:
+    """``bits`` bits a bin, first bin in the lowest."""
+    return np.packbits(np.unpackbits(values[:, None], axis=1, bitorder="little")[:, :bits].ravel(),
+                       bitorder="little").tobytes() if len(values) else b""
+
+
+def unpacked(data: bytes, bits: int = BITS) -> np.ndarray:
+    rows = np.unpackbits(np.frombuffer(data, np.uint8), bitorder="little").reshape(-1, bits)
+    return np.packbits(rows, axis=1, bitorder="little").ravel()
+
+
+def likeness(a: np.ndarray, b: np.ndarray, bits: int = BITS) -> float:
+    """The similarity that two sketches show, without the chance agreement of their few bits."""
+    if not len(a) or not len(b):
+        return 1.0 if len(a) == len(b) else 0.0
     chance = 0.5 ** bits
-    return min(1.0, max(0.0, (same - chance) / (1 - chance)))
+    return min(1.0, max(0.0, (np.count_nonzero(a == b) / len(a) - chance) / (1 - chance)))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5,
@@ -78,8 +98,10 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     be null or repeated; other columns are ignored.
     """
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sketch = Sketcher(shingle_words, bins, bits)
         for batch in rows:
-            made = [sketch(t or b"", shingle_words, bins, bits) for t in batch.column(1).cast(pa.binary()).to_pylist()]
+            made = [packed(sketch(t or b""), bits)
+                    for t in batch.column(1).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], ["doc_id", "fingerprint"])
 
     return (docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
@@ -93,23 +115,21 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - cut] + following[:cut]
 
 
-_COMPARED = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
-             "edited_fingerprint string, near_edited double, near_next double")
+_COMPARED = ("doc_id long, n_chars long, edited_sha256 binary, fingerprint binary, "
+             "edited_fingerprint binary, near_edited double, near_next double")
 _SCHEMA = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("n_chars", pa.int64()),
-                     ("edited_sha256", pa.string()), ("fingerprint", pa.string()),
-                     ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()),
+                     ("edited_sha256", pa.binary()), ("fingerprint", pa.binary()),
+                     ("edited_fingerprint", pa.binary()), ("near_edited", pa.float64()),
                      ("near_next", pa.float64()), ("text", pa.string())])
 ROW, HEAD, TAIL = 0, 1, 2
 
 
-def _compared(doc_id: int | None, text: str, own: bytes, following: str, after: bytes,
-              make: Callable[[str], bytes], near: Callable[[bytes, bytes], float]) -> tuple:
-    import hashlib
-
+def _compared(doc_id: int | None, text: str, own: np.ndarray, following: str, after: np.ndarray,
+              make: Callable[[str], np.ndarray], bits: int) -> tuple:
     changed = edited(text, following)
     other = own if changed == text else make(changed)
-    return (doc_id, len(text), hashlib.sha256(changed.encode()).hexdigest(), own.hex(), other.hex(),
-            near(own, other), near(own, after))
+    return (doc_id, len(text), hashlib.sha256(changed.encode()).digest(), packed(own, bits),
+            packed(other, bits), likeness(own, other, bits), likeness(own, after, bits))
 
 
 def edit_comparison(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5,
@@ -123,28 +143,29 @@ def edit_comparison(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of one row a range settles them. Null texts count as empty; an empty table
     gives no rows; other columns are ignored.
     """
-    make = lambda t: sketch(t.encode(), shingle_words, bins, bits)
-    near = lambda a, b: likeness(a, b, bins, bits)
+    def maker() -> Callable[[str], np.ndarray]:
+        sketch = Sketcher(shingle_words, bins, bits)
+        return lambda t: sketch(t.encode())
 
     def pack(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _SCHEMA)], schema=_SCHEMA)
 
     def stream(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before, out = None, []
+        before, out, make = None, [], maker()
         for batch in rows:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 text = text.as_py()
                 own = make(text)
                 if before is None:
-                    out.append((HEAD, doc_id, None, None, own.hex(), None, None, None, text))
+                    out.append((HEAD, doc_id, None, None, packed(own, bits), None, None, None, text))
                 else:
-                    out.append((ROW, *_compared(*before, text, own, make, near), None))
+                    out.append((ROW, *_compared(*before, text, own, make, bits), None))
                 before = (doc_id, text, own)
-                if len(out) >= 512:
+                if len(out) >= 256:
                     yield pack(out)
                     out = []
         if before is not None:
-            out.append((TAIL, before[0], None, None, before[2].hex(), None, None, None, before[1]))
+            out.append((TAIL, before[0], None, None, packed(before[2], bits), None, None, None, before[1]))
         if out:
             yield pack(out)
 
@@ -165,8 +186,9 @@ def edit_comparison(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     follows = tails.join(heads, "next_at")
 
     def finish(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make, read = maker(), lambda x: unpacked(x, bits)
         for batch in rows:
-            done = [(ROW, *_compared(doc_id, text, bytes.fromhex(own), after_text, bytes.fromhex(after), make, near), None)
+            done = [(ROW, *_compared(doc_id, text, read(own), after_text, read(after), make, bits), None)
                     for doc_id, text, own, after_text, after in zip(*(c.to_pylist() for c in batch.columns))]
             yield pa.RecordBatch.from_arrays(pack(done).columns[1:8], names=_SCHEMA.names[1:8])
 
@@ -178,4 +200,7 @@ def edit_comparison(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
            .join(head_rows, F.col("head_id").eqNullSafe(F.col("next_id")))
            .select("doc_id", "text", "fingerprint", "next_text", "next_fingerprint"))
     columns = [f.split()[0] for f in _COMPARED.split(", ")]
-    return made.where(f"kind = {ROW}").select(*columns).union(met.mapInArrow(finish, _COMPARED))
+    # Written as bytes, shown as hexadecimal digits.
+    digits = {"edited_sha256", "fingerprint", "edited_fingerprint"}
+    return (made.where(f"kind = {ROW}").select(*columns).union(met.mapInArrow(finish, _COMPARED))
+            .select(*[F.lower(F.hex(c)).alias(c) if c in digits else F.col(c) for c in columns]))

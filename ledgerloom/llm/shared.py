@@ -15,7 +15,18 @@ from pyspark.sql import functions as F
 from ledgerloom.session import ensure_checkpoint_dir
 
 
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound what one Arrow batch holds: texts are long, and a task keeps a few batches in memory."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(str(spark.conf.get(name, "67108864")).rstrip("b") or 0) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -26,6 +37,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     new folder, so repeated or concurrent runs never touch each other's files.
     """
     spark = df.sparkSession
+    small_batches(spark)
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/ledgerloom-llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
@@ -57,8 +69,17 @@ def hash_all(items: Iterable[bytes], count: int = -1, seed: int = 42) -> np.ndar
     return np.fromiter(map(xxhash.xxh64_intdigest, items, repeat(seed)), np.uint64, count)
 
 
-_MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
-                         0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
+_MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)
+
+
+class WordHashes(dict):
+    """XXH64 of words, remembered, as a task meets most words many times. Starts anew when large."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 1 << 17:
+            self.clear()
+        h = self[word] = xxhash.xxh64_intdigest(word, 42)
+        return h
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -68,27 +89,21 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def word_shingles(words: list[bytes], k: int = 5) -> np.ndarray:
+def word_shingles(words: list[bytes], k: int = 5, hashes: WordHashes | None = None) -> np.ndarray:
     """A 64-bit hash of every run of ``k`` (at most 5) words, made from one hash a word.
 
     Fewer words than ``k``: one hash of the whole sequence; none: no hash.
     """
     if not words:
         return np.empty(0, np.uint64)
-    h = hash_all(words, len(words))
+    get = (WordHashes() if hashes is None else hashes).__getitem__
+    h = np.fromiter(map(get, words), np.uint64, len(words))
     width = min(k, len(words))
     n = len(words) - width + 1
-    total = np.zeros(n, np.uint64)
-    for i in range(width):
-        total = mixed(total ^ (h[i:i + n] * _MULTIPLIERS[i]))
-    return total
-
-
-def by_input_blocks(rows: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """The batches cut to at most ``size`` rows, to bound what one step holds."""
-    for batch in rows:
-        for at in range(0, batch.num_rows, size):
-            yield batch.slice(at, size)
+    total = h[:n] * np.uint64(_MULTIPLIERS[0] + width)
+    for i in range(1, width):
+        total += h[i:i + n] * np.uint64(_MULTIPLIERS[i])
+    return mixed(total)
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.shared import lower_words, staged, word_shingles
+from ledgerloom.llm.shared import WordHashes, lower_words, staged, word_shingles
 
 TOKEN = re.compile(r"\w+")
 BEGINNINGS = (6, 4)
@@ -168,10 +168,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                         F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
 
     def tokens(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
         for batch in rows:
             least, words = [], []
             for text in batch.column(1).cast(pa.binary()).to_pylist():
-                shingles = word_shingles(lower_words(text))
+                shingles = word_shingles(lower_words(text), 5, hashes)
                 least.append(int(shingles.min().view(np.int64)) if len(shingles) else 0)
                 own = set(TOKEN.findall(_lowered(text.decode())))
                 words.append(list({t for w in own for t in word_tokens(w)}))

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from ledgerloom.llm import fingerprint
 from tests.llm.conftest import prose
 
+SKETCH = fingerprint.Sketcher()
+
 
 def shingles(text, k=5):
     words = text.encode().lower().split()
@@ -28,13 +30,13 @@ def test_estimates_follow_the_true_similarity():
             a = prose(rng, n)
             cut = rng.randrange(1, n)
             b = " ".join(a.split()[:cut]) + " " + prose(rng, n - cut)
-            off.append(fingerprint.likeness(fingerprint.sketch(a.encode()), fingerprint.sketch(b.encode())) - likeness(a, b))
+            off.append(fingerprint.likeness(SKETCH(a.encode()), SKETCH(b.encode())) - likeness(a, b))
     assert abs(np.mean(off)) < 0.02
     assert np.std(off) < 0.08
 
 
 def test_few_shingles_do_not_collide():
-    other = [fingerprint.likeness(fingerprint.sketch(b"one word"), fingerprint.sketch(b"word %d" % i)) for i in range(200)]
+    other = [fingerprint.likeness(SKETCH(b"one word"), SKETCH(b"word %d" % i)) for i in range(200)]
     assert max(other) < 0.2
 
 
@@ -52,9 +54,10 @@ def test_comparison_equals_brute_force(spark, doc_frame):
         cut = len(t) // 4
         changed = t[:len(t) - cut] + following[:cut]
         r = got[i]
-        own, other, after = (fingerprint.sketch(x.encode()) for x in (t, changed, following))
+        own, other, after = (SKETCH(x.encode()) for x in (t, changed, following))
         assert (r.n_chars, r.edited_sha256) == (len(t), hashlib.sha256(changed.encode()).hexdigest())
-        assert (r.fingerprint, r.edited_fingerprint) == (own.hex(), other.hex())
+        assert (r.fingerprint, r.edited_fingerprint) == (fingerprint.packed(own).hex(), fingerprint.packed(other).hex())
+        assert (fingerprint.unpacked(fingerprint.packed(own)) == own).all()
         assert r.near_edited == fingerprint.likeness(own, other)
         assert r.near_next == fingerprint.likeness(own, after)
     assert got[rows[20][0]].near_next == 1.0

@@ -82,3 +82,14 @@ def test_the_library_works_without_this_subpackage(tmp_path):
             "import __spark_entry__ as e; assert 'total_sales' in e.queries() and not any(n.startswith('op') for n in e.queries() if n[2:3].isdigit()); "
             "assert 'pipeline' not in e.queries(); e.oracle_sql()")
     subprocess.run([sys.executable, "-c", code, ROOT], check=True, cwd=tmp_path, timeout=120)
+
+
+def test_executors_need_not_have_the_package(tmp_path):
+    code = ("import sys; sys.path.insert(0, sys.argv[1])\n"
+            "from ledgerloom.session import build_session\n"
+            "from ledgerloom.llm.queries import QUERIES\n"
+            "s = build_session(master='local[2]', shuffle_partitions=2, extra={'spark.driver.memory': '2g'})\n"
+            "for n in ('op2_suffix_dedup', 'op4_quality', 'op5_mixing', 'op7_chat_tree', 'op8_fingerprints', 'op9_decontaminate', 'op10_toxicity'):\n"
+            "    QUERIES[n](s, sys.argv[2]).count()\n")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    subprocess.run([sys.executable, "-c", code, ROOT, SF], check=True, cwd=tmp_path, env=env, timeout=400)
