@@ -280,27 +280,32 @@ def _sort_groups(length: int):
     return run
 
 
-def _split(length: int, low: int, high: int):
-    """Each segment cut to the window offsets (relative to its anchor) of either half of [low, high]."""
-    middle = (low + high) // 2
-    shape = ["parent", "parent_a", "parent_b", "shift", "half", "key", "sid_a", "sid_b", "off", "data"]
+_PARTS = ("parent long, parent_a long, parent_b long, shift int, key long, sid_a long, sid_b long, "
+          "off int, data binary, low int, high int")
+
+
+def _split(length: int):
+    """Each segment (key, sid_a, sid_b, off, data, low, high) cut to the window offsets, relative to its
+    anchor, of either half of [low, high]."""
+    names = [f.split()[0] for f in _PARTS.split(", ")]
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
             out = []
-            for key, a, b, off, data in zip(*(c.to_pylist() for c in batch.columns)):
-                for half, (x, y) in enumerate(((low, middle), (middle + 1, high))):
+            for key, a, b, off, data, low, high in zip(*(c.to_pylist() for c in batch.columns)):
+                middle = (low + high) // 2
+                for x, y in ((low, middle), (middle + 1, high)):
                     begin, end = max(x, -off), min(y, len(data) - length - off)
                     if begin > end:
                         continue
                     piece = data[begin + off:end + off + length]
                     common = data[y + off:x + off + length]
-                    name = np.frombuffer(xxhash.xxh3_128_digest(piece, -begin + 1000), "<i8")
+                    name = np.frombuffer(xxhash.xxh3_128_digest(piece, 1000 - begin), "<i8")
                     head = np.frombuffer(xxhash.xxh64_digest(common + b"%d,%d" % (x, y), key & (2**64 - 1)), "<i8")
-                    out.append((key, a, b, begin + off, half, int(head[0]), int(name[0]), int(name[1]), -begin, piece))
+                    out.append((key, a, b, begin + off, int(head[0]), int(name[0]), int(name[1]), -begin, piece, x, y))
             if out:
-                kinds = [pa.int64()] * 3 + [pa.int32()] * 2 + [pa.int64()] * 3 + [pa.int32(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], shape)
+                kinds = [pa.int64()] * 3 + [pa.int32()] + [pa.int64()] * 3 + [pa.int32(), pa.binary(), pa.int32(), pa.int32()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
     return run
 
 
@@ -331,17 +336,17 @@ def repeated_ranges(docs: DataFrame, length: int = 400, seed_bytes: int = 200, g
                                              F.min(F.struct(F.col("doc_id"), F.col("text_key"), F.col("start"))).alias("one")),
                     "segment-counts")
     mixed_keys = counts.groupBy("key").agg(F.count("*").alias("different")).where("different > 1").select("key")
-    # One place of each segment of a mixed group gives the bytes.
+    # One place of each segment of a mixed group gives the bytes. (Rows that share an id and a text
+    # give them twice; each of their segments is removed whole in any case.)
     asked = (counts.join(mixed_keys, "key", "left_semi").select("key", *sid[1:], "one.*")
              .groupBy(F.col("doc_id").alias("of_id"), F.col("text_key").alias("of_key"))
              .agg(F.collect_list(F.struct("key", *sid[1:])).alias("wanted")))
-    bytes_of = (texts.dropDuplicates(who).join(asked.hint("shuffle_hash"),
+    bytes_of = (texts.join(asked.hint("shuffle_hash"),
                                                texts["doc_id"].eqNullSafe(F.col("of_id")) & (texts["text_key"] == F.col("of_key")))
                 .select(*who, "text", "keys", "places", "lows", "wanted"))
     pieces = staged(_wanted(bytes_of, length), "pieces")
     found = []
-    low, high = -(length - seed_bytes), 0
-    level, spans = 0, [(low, high)]
+    pieces = pieces.withColumns({"low": F.lit(seed_bytes - length), "high": F.lit(0)})
     counted = counts.select(*sid, "n", "size")
     while True:
         found.append((counted.where("n > 1").select(*sid, F.lit(0).alias("at"), F.col("size").alias("upto")), owners))
@@ -353,28 +358,17 @@ def repeated_ranges(docs: DataFrame, length: int = 400, seed_bytes: int = 200, g
         found.append((sorted_, owners))
         if large.isEmpty():
             break
-        hot = pieces.join(large, "key", "left_semi")
-        parts = None
-        for x, y in spans:
-            # A level's spans are told apart by their offsets; each row lies in one of them.
-            own = hot.where(F.col("span_low") == x) if level else hot
-            split = own.select(*sid, "off", "data").mapInArrow(
-                _split(length, x, y), "parent long, parent_a long, parent_b long, shift int, half int, key long, "
-                "sid_a long, sid_b long, off int, data binary")
-            middle = (x + y) // 2
-            split = split.withColumn("span_low", F.when(F.col("half") == 0, x).otherwise(middle + 1))
-            parts = split if parts is None else parts.union(split)
-        parts = staged(parts, "split-pieces")
+        hot = pieces.join(large, "key", "left_semi").select(*sid, "off", "data", "low", "high")
+        parts = staged(hot.mapInArrow(_split(length), _PARTS), "split-pieces")
         links = parts.select("parent", "parent_a", "parent_b", "shift", *sid, F.octet_length("data").alias("part_size"))
         owners = staged(owners.select(F.col("key").alias("parent"), F.col("sid_a").alias("parent_a"), F.col("sid_b").alias("parent_b"),
                                       *who, "start").join(links, ["parent", "parent_a", "parent_b"])
                         .select(*sid, *who, (F.col("start") + F.col("shift")).alias("start"), F.col("part_size").alias("size")),
                         "split-owners")
         counted = staged(owners.groupBy(*sid).agg(F.count("*").alias("n"), F.first("size").alias("size")), "split-counts")
-        pieces = staged(parts.groupBy(*sid).agg(F.first("off").alias("off"), F.first("data").alias("data"),
-                                                F.first("span_low").alias("span_low")), "split-distinct")
-        spans = [s for x, y in spans for s in ((x, (x + y) // 2), ((x + y) // 2 + 1, y)) if s[0] <= s[1]]
-        level += 1
+        # Equal names mean equal bytes, so any of them serves.
+        pieces = staged(parts.groupBy(*sid).agg(*[F.first(c).alias(c) for c in ("off", "data", "low", "high")]),
+                        "split-distinct")
     ranges = proven
     for part, own in found:
         ranges = ranges.union(own.join(part, sid).select(*who, (F.col("start") + F.col("at")).alias("at"),

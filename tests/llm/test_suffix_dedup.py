@@ -83,7 +83,8 @@ def test_production_length_and_piecewise_scan(doc_frame, monkeypatch):
 
 
 def test_ids_that_are_null_or_shared_and_empty_tables(doc_frame):
-    text = "".join(random.Random(2).choice("abcdefgh") for _ in range(60))
+    rng = random.Random(2)
+    text = "".join(rng.choice("abcdefgh") for _ in range(60))
     rows = [(None, text), (1, text), (1, text), (1, "q" + text[::-1]), (None, None)]
     got = suffix_dedup.without_repeats(doc_frame(rows), length=20, seed_bytes=10).collect()
     assert sorted(r.n_removed for r in got) == [0, 0, 60, 60, 60]
