@@ -151,8 +151,9 @@ def edit_comparison(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _SCHEMA)], schema=_SCHEMA)
 
     def stream(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before, out, make = None, [], maker()
+        before, out, make = None, [], None
         for batch in rows:
+            make = make or maker()
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 text = text.as_py()
                 own = make(text)
@@ -186,8 +187,9 @@ def edit_comparison(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     follows = tails.join(heads, "next_at")
 
     def finish(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make, read = maker(), lambda x: unpacked(x, bits)
+        make, read = None, lambda x: unpacked(x, bits)
         for batch in rows:
+            make = make or maker()  # most tasks have no such row
             done = [(ROW, *_compared(doc_id, text, read(own), after_text, read(after), make, bits), None)
                     for doc_id, text, own, after_text, after in zip(*(c.to_pylist() for c in batch.columns))]
             yield pa.RecordBatch.from_arrays(pack(done).columns[1:8], names=_SCHEMA.names[1:8])
