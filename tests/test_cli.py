@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import __spark_entry__ as entry
+from ledgerloom.plans import registry
 from ledgerloom.__main__ import main
 
 
@@ -10,4 +10,4 @@ def test_list_names_every_query(capsys):
     assert main(["list"]) == 0
     out = capsys.readouterr().out
     listed = {line.split()[0] for line in out.splitlines() if line.strip()}
-    assert listed == set(entry.queries())
+    assert listed == set(registry.QUERIES)
