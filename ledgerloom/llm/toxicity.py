@@ -37,7 +37,11 @@ def word_tokens(word: str) -> list[str]:
 
 class Model(NamedTuple):
     """``log_odds`` of the tokens that stand out, the cost of others, the
-    extreme-value parameters and the two calibration weights."""
+    extreme-value parameters and the two calibration weights.
+
+    Without a positive ``slope`` the labels told nothing apart (none, one class
+    only, or no token that stands out): such a model rejects no text.
+    """
 
     log_odds: dict[str, float]
     gap_cost: float
@@ -46,6 +50,9 @@ class Model(NamedTuple):
     bias: float
     slope: float
 
+    def rejects(self, x: float) -> bool:
+        return self.slope > 0 and self.bias + self.slope * x >= 0
+
 
 class Passage(NamedTuple):
     start: int  # code points
@@ -152,20 +159,25 @@ def _calibrated(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic", max_labelled: int = 20_000, prior: float = 2_000.0, least_z: float = 3.0,
           least_gain: float = 3.0, least_docs: int = 5, gap_cost: float = 0.5) -> Model:
-    """Fit the model on at most ``max_labelled`` labelled rows, chosen by a hash of the id.
+    """Fit the model on at most ``max_labelled`` labelled documents, chosen by a hash of the id
+    among the labels that have a document; rows that repeat id and text are one document.
 
     Documents that share their least 5-word shingle hash (copies, and most near
     copies) count once, so a group of copies does not make its words toxic; a
     token counts once a document. A token must occur in ``least_docs`` toxic documents of the sample, which
     bounds the model. Several labels of one id: the largest; labels that are
     null or other than 0 and 1, and ids that are null, are left out. Without
-    usable labels every text scores the same.
+    usable labels, or with labels of one class only, every text scores the same
+    and none is rejected.
     """
     named = (labels.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{label_col}`").cast("int").alias("y"))
              .where("y in (0, 1) and id is not null").groupBy("id").agg(F.max("y").alias("y")))
-    sample = staged(named.orderBy(F.xxhash64("id"), "id").limit(max_labelled), "toxicity-labels")
-    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"),
-                        F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
+    texts = (docs.select(F.col(f"`{id_col}`").cast("long").alias("id"),
+                         F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
+             .withColumn("h", F.xxhash64("text")))
+    # Only labels that meet a document count against the bound.
+    met = texts.select("id", "h").join(named, "id").distinct()
+    sample = staged(met.orderBy(F.xxhash64("id"), "id", "h").limit(max_labelled), "toxicity-labels")
 
     def tokens(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -180,8 +192,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 [batch.column(0), batch.column(2), pa.array(least, pa.int64()), pa.array(words, pa.list_(pa.string()))],
                 ["id", "y", "least", "words"])
 
-    # The sample is bounded by max_labelled rows of two numbers, so it may be broadcast.
-    chosen = staged(texts.join(F.broadcast(sample), "id").select("id", "text", "y"), "toxicity-texts")
+    # The sample is bounded by max_labelled rows of three numbers, so it may be broadcast.
+    chosen = staged(texts.join(F.broadcast(sample), ["id", "h"]).groupBy("id", "h")
+                    .agg(F.first("text").alias("text"), F.first("y").alias("y")).select("id", "text", "y"), "toxicity-texts")
     counted = chosen.mapInArrow(tokens, "id long, y int, least long, words array<string>")
     single = staged(counted.groupBy("y", "least").agg(F.min_by("words", "id").alias("words"))
                     .select("y", F.explode("words").alias("w"))
@@ -189,7 +202,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                                       F.count(F.when(F.col("y") == 0, 1)).alias("good")), "toxicity-tokens")
     bad, good = single.agg(F.sum("bad"), F.sum("good")).first()
     if not bad or not good:
-        return Model({}, gap_cost, 1.0, 1.0, 0.0 if not (bad or good) else (-4.0 if good else 4.0), 0.0)
+        return Model({}, gap_cost, 1.0, 1.0, -4.0 if bad or good else 0.0, 0.0)
     alpha = F.lit(0.5) + F.lit(prior) * (F.col("bad") + F.col("good")) / F.lit(float(bad + good))
     up, down = F.col("bad") + alpha, F.col("good") + alpha
     odds = F.log(up / (F.lit(bad + prior) - up)) - F.log(down / (F.lit(good + prior) - down))
@@ -229,22 +242,23 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """``(doc_id, score, predicted, spans)``, one row per input row.
 
     ``score`` is the chance, 0 to 1, that the text is toxic; ``predicted`` is 1
-    from 0.5 on; ``spans`` are the significant passages as [start, end) in code
+    from 0.5 on, but never by a model without evidence; ``spans`` are the significant passages as [start, end) in code
     points. Null and empty texts have no evidence and the score that goes with
     it. Equal texts score alike; ids may be null or repeated; other columns are
     ignored.
     """
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            chance, spans = [], []
+            chance, predicted, spans = [], [], []
             for text in batch.column(1).to_pylist():
                 x = evidence(text, model.log_odds, model.gap_cost, model.rate, model.scale)
                 chance.append(1 / (1 + math.exp(-max(-30.0, min(30.0, model.bias + model.slope * x)))))
+                predicted.append(int(model.rejects(x)))
                 spans.append([{"start": p.start, "end": p.end} for p in passages(text, model, most_expected)] if x else [])
             shape = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(chance, pa.float64()),
-                 pa.array([int(c >= 0.5) for c in chance], pa.int32()), pa.array(spans, shape)],
+                 pa.array(predicted, pa.int32()), pa.array(spans, shape)],
                 ["doc_id", "score", "predicted", "spans"])
 
     narrow = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
@@ -260,6 +274,6 @@ def without_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> Data
         for batch in rows:
             limit = [evidence(t or "", model.log_odds, model.gap_cost, model.rate, model.scale)
                      for t in batch.column(place).to_pylist()]
-            yield batch.filter(pa.array([model.bias + model.slope * x < 0 for x in limit], pa.bool_()))
+            yield batch.filter(pa.array([not model.rejects(x) for x in limit], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -104,3 +104,32 @@ def test_edges(spark, doc_frame, world):
     assert {r.score for r in toxicity.score(doc_frame(rows), plain).collect()} == {0.5}
     ones = spark.createDataFrame([(2, 1, 0)], "doc_id long, quality int, toxic int")
     assert {r.predicted for r in toxicity.score(doc_frame(rows), toxicity.train(doc_frame(rows), ones)).collect()} == {0}
+
+
+SHAPE = "doc_id long, quality int, toxic int"
+
+
+@pytest.mark.parametrize("labels", [[], [(0, 1, None), (1, 1, None)], [(9_000, 1, 1), (9_001, 1, 0)],
+                                    [(i, 1, 1) for i in range(9)], [(i, 1, 0) for i in range(9)],
+                                    [(i, 1, int(i < 6)) for i in range(9)]],
+                         ids=["none", "null", "elsewhere", "toxic", "clean", "nothing stands out"])
+def test_a_model_without_evidence_rejects_nothing(spark, doc_frame, tmp_path, labels):
+    import corpus_pipeline
+    docs = doc_frame([f"plain text {i}" for i in range(20)] + [None], extra=False)
+    frame = spark.createDataFrame(labels, SHAPE)
+    model = toxicity.train(docs, frame)
+    assert {r.predicted for r in toxicity.score(docs, model).collect()} == {0}
+    assert toxicity.without_toxic(docs, model).count() == 21
+    frame.write.parquet(str(tmp_path / "labels.parquet"))
+    assert corpus_pipeline.drop_toxic(spark, docs, str(tmp_path)).count() == 21
+
+
+def test_the_bounded_sample_is_of_labels_that_have_a_document(spark, doc_frame, world):
+    rows, labels, _ = world
+    absent = [(10_000 + i, 1, i % 2) for i in range(9_000)]
+    train = spark.createDataFrame(labels + absent, SHAPE)
+    plain = toxicity.train(doc_frame(rows), spark.createDataFrame(labels, SHAPE), max_labelled=960)
+    model = toxicity.train(doc_frame(rows), train, max_labelled=960)
+    assert model.log_odds and model == plain
+    repeated = toxicity.train(doc_frame(rows + rows[:1] * 500), train, max_labelled=960)
+    assert repeated.log_odds == plain.log_odds and abs(repeated.bias - plain.bias) < 1e-6
