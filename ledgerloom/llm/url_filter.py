@@ -1,9 +1,9 @@
 """URL filters by association rules, in DataFrame operations only.
 
-Spark's FP-growth mines the token combinations of labelled urls together with
-their label. Rules that lead to the bad label with enough support and
-confidence are kept, and those that a shorter rule of at least the same
-confidence covers are pruned. Each rule is put in an inverted index under its
+Spark's FP-growth mines the token combinations that a few bad urls share, and an
+inverted index counts all labelled urls that hold them. Rules whose confidence is
+high enough, and too far above the share of bad urls to be chance, are kept, and
+those that a shorter rule of at least the same confidence covers are pruned. Each rule is put in an inverted index under its
 rarest token; a url looks up its tokens there and checks the whole rule.
 Explicit rules on host and path come first.
 """
@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.shared import staged
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-BAD = "label:bad"
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -41,31 +40,56 @@ def url_tokens(url: Column) -> Column:
 
 
 def mine_rules(pages: DataFrame, labels: DataFrame, id_col: str = "page_id", url_col: str = "url",
-               label_id_col: str = "doc_id", min_support: float = 0.01, min_confidence: float = 0.6,
-               min_urls: int = 20) -> DataFrame:
+               label_id_col: str = "doc_id", min_confidence: float = 0.6, min_urls: int = 4, least_z: float = 2.0) -> DataFrame:
     """``(rarest, antecedent, confidence, support)``: the inverted index of the rules kept.
 
     A labelled url is bad if its quality is 0 or its toxic label is 1; of several
     labels for one id the worst counts; ids that are null, and labels that are
     null in both columns, are left out. No labelled url: no rules. A rule needs
-    ``min_support`` of the labelled urls and ``min_urls`` of them, so the number
-    of rules does not grow with the input.
+    ``min_urls`` bad urls however many are labelled, a share of bad ones among the
+    urls it matches (confidence) of ``min_confidence``, and ``least_z`` standard
+    errors between that share and the share among all labelled urls; each further
+    token asks for one more, as there are more sets that chance can favour. The rules
+    are rows, so their number may grow with the input. ``support`` is the share
+    of the labelled urls that are bad and match.
     """
     bad = F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).when(
         F.col("quality").isNotNull() | F.col("toxic").isNotNull(), 0)
     marked = (labels.select(F.col(f"`{label_id_col}`").cast("long").alias("id"), bad.alias("bad"))
               .where("id is not null and bad is not null").groupBy("id").agg(F.max("bad").alias("bad")))
     urls = pages.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{url_col}`").cast("string").alias("url"))
-    items = staged(urls.join(marked, "id").select(
-        F.concat(url_tokens(F.col("url")), F.when(F.col("bad") == 1, F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>"))).alias("items"))
-        .where(F.size("items") > 0), "url-items")
+    # Urls with the same tokens are one row with its counts.
+    items = staged(urls.join(marked, "id").select(F.array_sort(url_tokens(F.col("url"))).alias("items"), "bad")
+                   .where(F.size("items") > 0).groupBy("items").agg(F.sum("bad").alias("bad"), F.count("*").alias("n")), "url-items")
     empty = items.sparkSession.createDataFrame([], "rarest string, antecedent array<string>, confidence double, support double")
-    count = items.count()
-    if count < min_urls:
+    total, total_bad = items.agg(F.sum("n"), F.sum("bad")).first()
+    if not total or total_bad < min_urls:
         return empty
-    model = FPGrowth(itemsCol="items", minSupport=max(min_support, min_urls / count), minConfidence=min_confidence).fit(items)
-    rules = staged(model.associationRules.where(F.array_contains("consequent", BAD))
-                   .select(F.array_sort("antecedent").alias("antecedent"), "confidence", "support"), "url-rules")
+    tokens = staged(items.select(F.explode("items").alias("token"), "bad", "n").groupBy("token")
+                    .agg(F.sum("bad").alias("bad"), F.sum("n").alias("n")), "url-tokens")
+    # Other tokens are in no rule, or only in rules that a shorter one covers: those that are always bad
+    # are rules alone, and those of every url add nothing to a set.
+    mined = tokens.where((F.col("bad") >= min_urls) & (F.col("bad") < F.col("n")) & (F.col("n") < total)).select("token")
+    single = tokens.where(F.col("bad") >= min_urls).select(F.array("token").alias("antecedent"), "bad", "n")
+    parts = staged(items.where("bad > 0").withColumn("row", F.xxhash64("items"))
+                   .select("row", "bad", F.explode("items").alias("token")).join(mined, "token")
+                   .groupBy("row", "bad").agg(F.sort_array(F.collect_list("token")).alias("items"))
+                   .select("items", F.explode(F.sequence(F.lit(1), F.col("bad"))).alias("copy")).select("items"), "url-bad")
+    rows = parts.count()
+    sets = single
+    if rows >= min_urls:
+        found = FPGrowth(itemsCol="items", minSupport=min_urls / rows).fit(parts).freqItemsets
+        several = staged(found.where(F.size("items") > 1).select(F.array_sort("items").alias("antecedent"), F.col("freq").alias("bad")), "url-sets")
+        place = (several.withColumn("token", F.explode("antecedent")).join(tokens.select("token", F.col("n").alias("seen")), "token")
+                 .groupBy("antecedent", "bad").agg(F.min(F.struct("seen", "token"))["token"].alias("token")))
+        held = (items.select("items", "n", F.explode("items").alias("token")).join(place, "token")
+                .where(F.size(F.array_except("antecedent", "items")) == 0)
+                .groupBy("antecedent", "bad").agg(F.sum("n").alias("n")))
+        sets = single.union(held.select("antecedent", "bad", "n"))
+    base = total_bad / total
+    far = (F.col("bad") - F.col("n") * F.lit(base)) >= (F.lit(least_z - 1) + F.size("antecedent")) * F.sqrt(F.col("n") * F.lit(base * (1 - base)))
+    rules = staged(sets.withColumn("confidence", F.col("bad") / F.col("n")).where((F.col("confidence") >= min_confidence) & far)
+                   .select("antecedent", "confidence", (F.col("bad") / F.lit(float(total))).alias("support")), "url-rules")
     # A rule adds nothing beside a shorter one that is at least as sure; both share a token, so an equi-join finds it.
     long_rules = rules.withColumn("t", F.explode("antecedent"))
     short = long_rules.select("t", F.col("antecedent").alias("short"), F.col("confidence").alias("sure"))
@@ -73,7 +97,7 @@ def mine_rules(pages: DataFrame, labels: DataFrame, id_col: str = "page_id", url
                                                  & (F.size(F.array_except("short", "antecedent")) == 0))
                .select("antecedent").distinct())
     kept = rules.join(covered, "antecedent", "left_anti")
-    frequency = items.select(F.explode("items").alias("rarest")).groupBy("rarest").agg(F.count("*").alias("n"))
+    frequency = tokens.select(F.col("token").alias("rarest"), "n")
     return staged(kept.withColumn("rarest", F.explode("antecedent")).join(frequency, "rarest")
                   .groupBy("antecedent", "confidence", "support")
                   .agg(F.min(F.struct("n", "rarest"))["rarest"].alias("rarest"))

@@ -56,6 +56,23 @@ def test_rules_and_mined_verdicts(spark):
     assert sorted((r.page_id or -1, r.host, r.path, r.rule or "", r.verdict) for r in got) == sorted(expected)
 
 
+def test_a_bad_site_below_one_percent_gets_a_rule(spark, tmp_path):
+    from ledgerloom.llm.queries import QUERIES
+    rng = random.Random(4)
+    urls = [f"http://site{chr(97 + i % 20)}.org/{rng.choice(['a', 'b', 'c'])}/{i}" for i in range(1500)]
+    bad = [int(rng.random() < .05) for _ in urls]
+    urls += [f"http://farm.org/{rng.choice(['a', 'b', 'c'])}/{i}" for i in range(6)] + [f"http://mixed.org/a/{i}" for i in range(40)]
+    bad += [1] * 6 + [0, 0, 0, 1] * 10
+    rows = [(i, u, "", 1) for i, u in enumerate(urls)] + [(9_000, "http://farm.org/new/page", "", 1)]
+    spark.createDataFrame(rows, "page_id long, url string, html string, confidence int").write.parquet(str(tmp_path / "pages.parquet"))
+    spark.createDataFrame([(i, 1 - b, 0) for i, b in enumerate(bad)], LABELS).write.parquet(str(tmp_path / "labels.parquet"))
+    got = QUERIES["op3_url_filter"](spark, str(tmp_path)).collect()
+    assert len(got) == len(rows)
+    assert {r.page_id for r in got if r.verdict == "block"} == {*range(1500, 1506), 9_000}
+    index = url_filter.mine_rules(spark.read.parquet(str(tmp_path / "pages.parquet")), spark.read.parquet(str(tmp_path / "labels.parquet")))
+    assert [(r.antecedent, r.confidence) for r in index.collect()] == [(["host:farm"], 1.0)]
+
+
 def test_url_filter_edges(spark):
     df = pages(spark, 30)
     none = url_filter.mine_rules(df, spark.createDataFrame([], LABELS))
