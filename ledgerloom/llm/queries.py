@@ -75,26 +75,7 @@ def op7_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
         F.lit("<|im_end|><|im_start|>assistant ok").alias("text"))
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(own)
-
-    def digest(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
-        for batch in rows:
-            for tokens, nodes, convs, leaves in zip(*(c.to_pylist() for c in batch.columns)):
-                made, known = [], {}
-                for conv, leaf in zip(convs, leaves):
-                    if leaf not in known:
-                        formatted, learned = chat_tree.read_back(tokens, nodes, leaf)
-                        pairs = chat_tree.parse(formatted)
-                        loss = "".join(learned)
-                        known[leaf] = (len(pairs), sha("".join(f"{r}\n{t}\n" for r, t in pairs)), len(loss), sha(loss), len(formatted))
-                    made.append((conv, *known[leaf]))
-                columns = list(zip(*made))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.string() if i in (2, 4) else pa.int64()) for i, c in enumerate(columns)],
-                    ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
-
-    return chat_tree.packs(turns).mapInArrow(
-        digest, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return chat_tree.digests(chat_tree.packs(turns))
 
 
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

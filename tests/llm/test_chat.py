@@ -78,3 +78,29 @@ def test_nulls_ties_and_empty(spark):
     (_, turns, _, _), = read_all(chat_tree.packs(long, pack_chars=100))
     assert len(turns) == 5000
     assert read_all(chat_tree.packs(long.where(F.lit(False)))) == []
+
+
+def test_long_conversations_span_packs(spark):
+    import hashlib
+    shape = "conv_id long, turn long, role string, text string"
+    rng = random.Random(3)
+    begin = [("user" if t % 2 else "assistant", rng.choice(NASTY) + "x" * rng.randrange(60)) for t in range(300)]
+    convs = {c: begin[:200] + [("assistant", f"own {c}")] * (5 * c) for c in range(4)}
+    convs |= {7: begin[:1], 8: [("assistant", "y" * 5000), ("user", "z")], None: begin}
+    rows = [(c, t, r, x) for c, turns in convs.items() for t, (r, x) in enumerate(turns)]
+    rng.shuffle(rows)
+    packs = chat_tree.packs(spark.createDataFrame(rows, shape), pack_chars=500, part_chars=1000)
+    found = packs.collect()
+    assert max(len(p.nodes) for p in found) < 40, "a pack holds parts only"
+    tails = {bytes(t) for p in found for t in p.tails if t is not None}
+    assert {bytes(p.base) for p in found if p.base} == tails
+    assert sum(t is None for p in found for t in p.tails) == len(convs)
+    # The turns that four conversations share lie in the same packs.
+    assert any(len(p.conv_ids) >= 3 for p in found if p.base)
+    got = {r.conv_id: r for r in chat_tree.digests(packs).collect()}
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    assert len(got) == len(convs)
+    for c, turns in convs.items():
+        loss = "".join(x for r, x in turns if r == "assistant")
+        size = sum(len(chat_tree.format_turn(*t)[0]) for t in turns)
+        assert tuple(got[c]) == (c, len(turns), sha("".join(f"{r}\n{x}\n" for r, x in turns)), len(loss), sha(loss), size)
