@@ -1,12 +1,13 @@
 """Line dedup: range-partitioned hashes, streamed in order, answered with keep bitmaps.
 
 Each document gives one narrow row per distinct line key: a 128-bit hash and
-the line positions. The rows are range-partitioned by (hash, document) and
+the line positions. The rows are range-partitioned by (hash, document, text) and
 sorted, so a task streams each key's documents in order and holds at most
-``min_docs`` rows of a key. A key with very many documents spreads over several
-partitions: what a partition cannot decide alone concerns only its first and
-last key, so each partition hands on the document counts of those two, and the
-few open rows (under ``min_docs`` a key) are settled by adding the counts up.
+``min_docs`` rows of a key; repeated rows are passed over. A key with very many
+documents, or an id with very many texts, spreads over several partitions: what
+a partition cannot decide alone concerns its first and last key, and keys of
+which one id has more texts than are held. Each partition hands on the document
+counts of those, and the open rows are settled by adding the counts up.
 """
 
 from __future__ import annotations
@@ -49,9 +50,16 @@ def _to_lines(min_chars: int):
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("doc_id", pa.int64()),
                             ("text_key", pa.int64()), ("n_lines", pa.int32()), ("positions", pa.list_(pa.int32()))])
+        seen: set[tuple] = set()  # repeated rows need not travel; those missed here are passed over later
         for batch in rows:
             hashes, owner, counts, places = [], [], [], []
-            for i, text in enumerate(raw_bytes(batch.column(2))):
+            names = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            for i, (name, text) in enumerate(zip(names, raw_bytes(batch.column(2)))):
+                if name in seen:
+                    continue
+                if len(seen) >= 1 << 16:
+                    seen.clear()
+                seen.add(name)
                 own = line_keys(text, min_chars)
                 hashes += map(xxhash.xxh3_128_digest, own)
                 places += own.values()
@@ -86,9 +94,11 @@ def _stream(min_docs: int, keep_first: bool):
                 out.append((DROP, *row[:5], row[5][1:], 0, False))
 
         def settle(last: bool) -> None:
-            edge = first_run or last
+            edge = first_run or last or spilled
             if edge:
-                out.append((EDGE, *key, first_doc, 0, 0, [], docs, False))
+                # The first and last document may go on in other partitions; those between do not.
+                out.append((EDGE, *key, *first_doc, 0, [], max(0, docs - 2), False))
+                out.append((EDGE, *key, *before[2:], 0, [], 0, False))
             if docs < min_docs:
                 if edge:
                     out.extend((OPEN, *row, 0, leads) for row, leads in held)
@@ -96,19 +106,27 @@ def _stream(min_docs: int, keep_first: bool):
                 out.append((OPEN, *lead, 0, True))
 
         key, docs, held, lead, first_run, first_doc, seen = None, 0, [], None, True, None, None
+        before, spilled = None, False
         for rows_in in rows:
             columns = [rows_in.column(i).to_pylist() for i in range(6)]
             for row in zip(*columns):
+                if row[:4] == before:
+                    continue
                 if row[:2] != key:
                     if key is not None:
                         settle(False)
                         first_run = False
-                    key, docs, held, lead, first_doc, seen = row[:2], 0, [], None, row[2], object()
+                    key, docs, held, lead, first_doc, seen = row[:2], 0, [], None, row[2:4], object()
+                    spilled = False
+                before = row[:4]
                 leads = docs == 0
                 if row[2] != seen:
                     docs, seen = docs + 1, row[2]
                 if docs < min_docs:
                     held.append((row, leads))
+                    if len(held) > min_docs:  # many texts of one id
+                        out.extend((OPEN, *old, 0, old_leads) for old, old_leads in held)
+                        held, spilled = [], True
                 else:
                     # Over the threshold: the held rows go too, then all that follow.
                     for old, old_leads in held:
@@ -146,12 +164,14 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     null id; ``text_key`` tells their texts apart. Other columns are ignored.
     """
     lines = staged(_identified(docs, id_col, text_col).mapInArrow(_to_lines(min_chars), _LINES), "lines")
-    order = ["h1", "h2", "doc_id"]
-    events = staged(lines.repartitionByRange(*order).sortWithinPartitions(*order, "text_key")
+    order = ["h1", "h2", "doc_id", "text_key"]
+    events = staged(lines.repartitionByRange(*order).sortWithinPartitions(*order)
                     .mapInArrow(_stream(min_docs, keep_first), _EVENTS), "line-events")
     edges = (events.where(f"kind = {EDGE}").groupBy("h1", "h2")
-             .agg(F.sum("docs").alias("all_docs"), F.min(F.struct(F.col("doc_id").isNotNull(), "doc_id")).alias("least")))
-    leader = F.col("leads") & F.lit(keep_first) & F.col("doc_id").eqNullSafe(F.col("least.doc_id"))
+             .agg((F.sum("docs") + F.count_distinct(F.struct("doc_id"))).alias("all_docs"),
+                  F.min(F.struct(F.col("doc_id").isNotNull(), "doc_id", "text_key")).alias("least")))
+    leader = (F.col("leads") & F.lit(keep_first) & F.col("doc_id").eqNullSafe(F.col("least.doc_id"))
+              & (F.col("text_key") == F.col("least.text_key")))
     settled = (events.where(f"kind = {OPEN}").join(edges, ["h1", "h2"]).where(F.col("all_docs") >= min_docs)
                .withColumn("positions", F.when(leader, F.slice("positions", 2, F.greatest(F.size("positions") - 1, F.lit(0))))
                            .otherwise(F.col("positions"))))

@@ -86,3 +86,51 @@ def test_edges(doc_frame):
     assert line_dedup.keep_bitmaps(doc_frame(rows), min_docs=12).count() == 0
     assert line_dedup.keep_bitmaps(doc_frame(rows).where(F.lit(False))).count() == 0
     assert hashlib.sha256(line_dedup.kept_text(b"", None)).hexdigest().startswith("e3b0c442")
+
+
+def events_of(rows, min_docs=3, keep_first=False):
+    """The events of one sorted partition, from (h1, h2, doc_id, text_key) rows."""
+    import pyarrow as pa
+    columns = [pa.array(c, pa.int64()) for c in zip(*rows)]
+    batch = pa.RecordBatch.from_arrays([*columns, pa.array([1] * len(rows), pa.int32()),
+                                        pa.array([[0]] * len(rows), pa.list_(pa.int32()))], list("abcdef"))
+    return [tuple(e.values()) for b in line_dedup._stream(min_docs, keep_first)(iter([batch])) for e in b.to_pylist()]
+
+
+def test_rows_of_one_id_are_collapsed_and_not_held():
+    """Held rows come out as open ones as soon as there are more than min_docs, before the key is decided."""
+    copies = events_of([(0, 0, 1, 1), *[(1, 1, None, 5)] * 1000, (1, 1, 4, 5), (1, 1, 5, 5), (2, 2, 1, 1)])
+    assert sum(e[1] == 1 for e in copies) == 3, "repeated rows are one"
+    texts = events_of([(0, 0, 1, 1), *[(1, 1, None, t) for t in range(1000)], (1, 1, 4, 5), (1, 1, 5, 5), (2, 2, 1, 1)])
+    mine = [e for e in texts if e[1] == 1]
+    assert sum(e[0] == line_dedup.OPEN for e in mine) == 1000 and sum(e[0] == line_dedup.DROP for e in mine) == 2
+    assert [(e[3], e[7]) for e in mine if e[0] == line_dedup.EDGE] == [(None, 1), (5, 0)]
+
+
+@pytest.mark.parametrize("keep_first", [False, True])
+@pytest.mark.parametrize("min_docs", [3, 4])
+def test_many_texts_and_repeated_rows_of_one_id(spark, doc_frame, keep_first, min_docs):
+    rows = [(None, f"same\nown {i}") for i in range(400)] + [(None, "same\ncopy")] * 300
+    rows += [(7, f"same\nother {i % 50}\nlow") for i in range(200)] + [(8, "same")]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # one id runs on over many partitions
+    try:
+        docs = doc_frame(rows, extra=False).repartition(4)
+        out = line_dedup.without_lines(docs, line_dedup.keep_bitmaps(docs, min_docs=min_docs, keep_first=keep_first)).collect()
+        lines = line_dedup._identified(docs, "doc_id", "text").mapInArrow(line_dedup._to_lines(1), line_dedup._LINES)
+        assert lines.where("doc_id is null").count() <= 800 + 4 * 2, "a task sends a repeated row once"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(out) == len(rows)
+    # The ids are null, 7 and 8: three documents; "low" and the others are in one.
+    left = {r.text for r in out if "same" in r.text.split("\n")}
+    texts = {t for _, t in rows}
+    if min_docs == 4:
+        assert {r.text for r in out} == texts
+    elif keep_first:
+        assert len(left) == 1 and all(r.doc_id is None for r in out if r.text in left)
+    else:
+        assert not left
+        assert sorted(r.text for r in out) == sorted(t[5:] for _, t in rows)
