@@ -9,8 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import (chat_tree, decontaminate, fingerprint, line_dedup, merkle, mixing, quality, simhash,
-                            sql, suffix_dedup, toxicity, url_filter)
+from ledgerloom.llm import (chat_tree, decontaminate, fingerprint, line_dedup, merkle, mixing, packing, quality, simhash,
+                            spelling, sql, suffix_dedup, toxicity, url_filter)
 from ledgerloom.llm.shared import raw_bytes, table
 
 
@@ -93,6 +93,18 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return packing.pack(packing.pieces(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, capacity=2048, end_id=0), capacity=2048)
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling.words(table(spark, sf_dir, "documents"), min_chars=6, min_count=5, noise=199)
+    return spelling.variants(found, min_chars=6, ratio=5)
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
@@ -111,10 +123,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_decontaminate": op9_decontaminate,
     "op10_toxicity": op10_toxicity,
+    "op11_packing": op11_packing,
+    "op12_spelling": op12_spelling,
     "op13_merkle": op13_merkle,
 }
 ORACLE: dict[str, str] = {
     "op6_line_dedup": sql.LINE_DEDUP,
     "op7_chat_tree": sql.CHAT_TREE,
+    "op12_spelling": sql.SPELLING,
     "op13_merkle": sql.MERKLE,
 }

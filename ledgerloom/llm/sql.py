@@ -96,3 +96,42 @@ SELECT o.doc_id, o.leaf, o.subroot, t.digest AS root, sha256(o.proof) AS proof_s
        o.cur = t.digest AS verified
 FROM over o, (SELECT digest FROM top WHERE n = 1) t WHERE o.n = 1
 """
+
+_UTF8 = ("list_transform(range(octet_length(encode({x}))), "
+         "lambda i: ('0x' || substr(hex(encode({x})), (2 * i + 1)::INT, 2))::BIGINT)")
+
+# Two words are near if leaving out the same place makes them equal, or leaving
+# out one of the longer word's letters makes it the shorter.
+SPELLING = f"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, {_UPPER}, {_LOWER}), '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+  GROUP BY doc_id, run
+), hashed AS (
+  SELECT run, n, {crc32(_UTF8.format(x="coalesce(doc_id::VARCHAR, '') || ':' || run"))} AS h FROM runs
+), vocabulary AS (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % 199 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run) + 2)::INT) ELSE run END AS word, n
+    FROM hashed) WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), cut AS (
+  SELECT word, i, left(word, (i - 1)::INT) || substr(word, (i + 1)::INT) AS rest
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM vocabulary)
+), pairs AS (
+  SELECT a.word, b.word AS near FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT c.word, v.word FROM cut c JOIN vocabulary v ON v.word = c.rest
+  UNION SELECT v.word, c.word FROM cut c JOIN vocabulary v ON v.word = c.rest
+), best AS (
+  SELECT p.word, p.near, v.n AS near_n, count(*) OVER (PARTITION BY p.word) AS n_near,
+         row_number() OVER (PARTITION BY p.word ORDER BY v.n DESC, p.near) AS place
+  FROM pairs p JOIN vocabulary v ON v.word = p.near
+), forms AS (
+  SELECT v.word, v.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.near_n >= 5 * v.n THEN b.near END AS form,
+         CASE WHEN b.near_n >= 5 * v.n THEN b.near_n END AS form_n
+  FROM vocabulary v LEFT JOIN best b ON b.word = v.word AND b.place = 1
+), walk AS (
+  SELECT word, word AS root, form AS next FROM forms
+  UNION ALL
+  SELECT w.word, f.word, f.form FROM walk w JOIN forms f ON f.word = w.next
+)
+SELECT f.word, f.form, w.root, f.n, f.n_near, f.form_n FROM forms f JOIN walk w ON w.word = f.word AND w.next IS NULL
+"""

@@ -19,20 +19,20 @@ def oracle(sql):
     con = duckdb.connect()
     for t in ("documents", "conversations"):
         con.execute(f"create view {t} as select * from read_parquet('{SF}/{t}.parquet')")
-    return con.execute(sql).df()
+    found = con.execute(sql)
+    return [d[0] for d in found.description], found.fetchall()
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_equals_its_sql(spark, name):
-    got, expected = QUERIES[name](spark, SF).toPandas(), oracle(ORACLE[name])
-    columns = sorted(got.columns)
-    assert columns == sorted(expected.columns)
-    order = lambda df: df[columns].sort_values(columns).reset_index(drop=True).astype(str)
-    assert order(got).equals(order(expected))
+    df = QUERIES[name](spark, SF)
+    columns, rows = oracle(ORACLE[name])
+    assert sorted(df.columns) == sorted(columns)
+    assert sorted(map(tuple, df.select(*columns).collect()), key=str) == sorted(rows, key=str)
 
 
 def test_every_operator_has_a_query():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in (*range(1, 11), 13)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)]
 
 
 def test_pipeline_stages_by_brute_force(spark):
