@@ -248,6 +248,10 @@ cte("x_d2", """
 select * from x_d1 union all select * from x_new_details
 """)
 
+cte("x_d1_pairs", """
+select distinct order_id, product_id from x_d1
+""")
+
 # -------------------------------------------------------------- correction
 cte("x_corr_targets", """
 select order_id from x_o2

@@ -401,7 +401,7 @@ select cast(o.order_id as bigint) as order_id, cast(p.product_id as bigint) as p
        cast(case when s.quantity = 0 then 1 else s.quantity end as bigint) as quantity,
        cast(s.discount as double) as discount, cast(s.profit as double) as profit
 from delta_orders s join x_o2 o on s.order_id = o.order_number join x_p2 p on s.product_id = p.product_number
-where not exists (select 1 from x_d1 d where d.order_id = o.order_id and d.product_id = p.product_id)""")
+anti join x_d1_pairs d on d.order_id = o.order_id and d.product_id = p.product_id""")
 def anti_order_product(spark, sf):
     """NOT EXISTS on (order, product) against the loaded lines."""
     w = W(spark, sf)
