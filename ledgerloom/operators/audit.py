@@ -50,18 +50,33 @@ def audit_state(log: DataFrame) -> DataFrame:
     return last.select("load_id", "_r.status", *[f"_r.{c}" for c in rest]).select(*AUDIT)
 
 
-def audit_initial(order_details: DataFrame, load_id: int = 1) -> DataFrame:
-    return audit_row(load_id, "INITIAL", "stage.raw_orders", _count(order_details, "n"))
-
-
-def audit_secondary(delta: DataFrame, scd1: DataFrame, closed: DataFrame,
-                    new_orders: DataFrame, load_id: int = 2) -> DataFrame:
-    stats = (_count(delta, "stage").crossJoin(_count(new_orders, "ins"))
-             .crossJoin(_count(scd1, "s1")).crossJoin(_count(closed, "s2")))
-    return audit_row(load_id, "SECONDARY", "stage.delta_orders", stats.select("ins"),
-                     inserted=stats.select("ins"),
-                     updated=stats.select((F.col("s1") + F.col("s2")).alias("u")),
-                     skipped=stats.select((F.col("stage") - F.col("ins")).alias("k")))
+def audit_counted(spark: SparkSession, load_id: int, load_type: str, source: str, processed: int,
+                  inserted: int = 0, updated: int = 0, skipped: int = 0) -> DataFrame:
+    """The row that closes a load, from the counts that its writes took."""
+    counts = {"rows_processed": processed, "rows_inserted": inserted, "rows_updated": updated, "rows_skipped": skipped}
+    return spark.range(1).select(
+        F.lit(load_id).cast("long").alias("load_id"), F.lit(load_type).alias("load_type"),
+        F.lit(source).alias("source_table"), F.lit("COMPLETED").alias("status"),
+        *[F.lit(n).cast("long").alias(c) for c, n in counts.items()]).select(*AUDIT)
+
+
+def audit_incremental(spark: SparkSession, load_id: int, source: str, staged: int, counts: dict[str, int]) -> DataFrame:
+    """The closing row of an incremental load: order headers inserted, customers overwritten and
+    versions closed, stage rows that added no header."""
+    n = counts["orders"]
+    return audit_counted(spark, load_id, "SECONDARY", source, n, inserted=n,
+                         updated=counts["scd1"] + counts["closed"], skipped=staged - n)
+
+
+def refuse_second_initial(log: DataFrame | None) -> None:
+    """An initial load is only done on an empty warehouse: a second one would load every line twice."""
+    if log is not None and not log.where((F.col("load_type") == "INITIAL") & (F.col("status") == "COMPLETED")).isEmpty():
+        raise ValueError("the initial load is already recorded as completed")
+
+
+def next_load_id(log: DataFrame | None) -> int:
+    """The id after the largest of the kept log; 1 where there is none."""
+    return 1 if log is None else log.agg(F.coalesce(F.max("load_id"), F.lit(0)) + 1).first()[0]
 
 
 def audit_correction(deleted_details: DataFrame, deleted_orders: DataFrame,

@@ -44,19 +44,25 @@ def _differs_from_some(c: str) -> Column:
                        | (F.col(f"_{c}_max") != v)))
 
 
+def _of_the_batch(loaded: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
+    """The loaded lines that share ``key`` with an incoming one."""
+    return loaded.join(incoming.select(key).distinct(), key, "left_semi")
+
+
 def delta_scd1_rows(loaded: DataFrame, incoming: DataFrame) -> DataFrame:
     """Incoming lines that re-send a loaded line (same order and product) with a
     changed name, segment or amount; one row per incoming line with flags.
 
-    The loaded side is reduced to one row per (order, product) first, so a
-    line key repeated many times never multiplies the incoming rows."""
+    The loaded side is first cut to the batch's own orders and then reduced to
+    one row per (order, product), so history costs its scan and a line key
+    repeated many times never multiplies the incoming rows."""
     checked = ["customer_name", "segment", "sales"]
     aggs = []
     for c in checked:
         aggs += [F.min(c).alias(f"_{c}_min"), F.max(c).alias(f"_{c}_max"),
                  F.max(F.col(c).isNull()).alias(f"_{c}_has_null"),
                  F.max(F.col(c).isNotNull()).alias(f"_{c}_has_val")]
-    per_key = loaded.groupBy(*LINE_KEY).agg(*aggs)
+    per_key = _of_the_batch(loaded, incoming, "order_id").groupBy(*LINE_KEY).agg(*aggs)
     j = incoming.select("row_key", "customer_id", *LINE_KEY, *checked).join(per_key, LINE_KEY)
     flags = j.groupBy("row_key", "customer_id").agg(
         F.max(_differs_from_some("customer_name")).alias("name_changed"),
@@ -73,8 +79,9 @@ def last_line_per_customer(lines: DataFrame) -> DataFrame:
 
 def delta_scd2_rows(loaded: DataFrame, incoming: DataFrame) -> DataFrame:
     """Incoming lines whose address differs from the customer's last known line:
-    derives previous_region, is_new_version and the changed attribute."""
-    last = last_line_per_customer(loaded).select(
+    derives previous_region, is_new_version and the changed attribute. Only the
+    batch's own customers are looked up in the loaded lines."""
+    last = last_line_per_customer(_of_the_batch(loaded, incoming, "customer_id")).select(
         "customer_id", *[F.col(c).alias(f"p_{c}") for c in ("region", "state", "city",
                                                              "postal_code", "country")])
     j = incoming.select("row_key", "customer_id", "region", "state", "city", "postal_code",

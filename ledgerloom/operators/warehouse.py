@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.columns import (
     asc_last, effective_from, md5_bucket, not_distinct_all, parse_date, repair_quantity,
     repair_ship_date)
+from ledgerloom.operators.audit import refuse_second_initial
 from ledgerloom.operators.dedupe import first_wins, keep_newest_flags, latest_per_key
 from ledgerloom.operators.keys import assign_dense_keys
 from ledgerloom.schemas import (
@@ -139,8 +140,10 @@ def initial_order_details(raw: DataFrame, orders: DataFrame, products: DataFrame
     return assign_dense_keys(rows, "order_detail_id", asc_last(*DETAIL_ORDER)).select(*ORDER_DETAILS)
 
 
-def initial_load(raw: DataFrame) -> CoreState:
-    """M1–M5 in statement order on the first stage batch."""
+def initial_load(raw: DataFrame, log: DataFrame | None = None) -> CoreState:
+    """M1–M5 in statement order on the first stage batch. Lines are not checked
+    against loaded ones, so with a ``log`` of earlier loads a second initial load is refused."""
+    refuse_second_initial(log)
     customers = initial_customers(raw)
     products = initial_products(raw)
     orders = initial_orders(raw, customers)
@@ -206,12 +209,13 @@ def apply_scd1(customers: DataFrame, changes: DataFrame) -> DataFrame:
                     F.when(hit, F.col("new_segment")).otherwise(F.col("segment")).alias("segment")))
 
 
-def new_customers(customers: DataFrame, delta: DataFrame) -> DataFrame:
-    """Customers of the batch not yet known (first wins per number), ids after the current maximum."""
+def new_customers(customers: DataFrame, delta: DataFrame, start: DataFrame | int | None = None) -> DataFrame:
+    """Customers of the batch not yet known (first wins per number), ids after ``start`` (default: the
+    maximum of ``customers``)."""
     fresh = first_wins(_stage_customers(delta), ["customer_number"])
     fresh = fresh.join(customers.select("customer_number"), "customer_number", "left_anti")
-    return assign_dense_keys(fresh, "customer_id", asc_last("customer_number"),
-                             start=_max_of(customers, "customer_id")).select(*CUSTOMERS)
+    start = _max_of(customers, "customer_id") if start is None else start
+    return assign_dense_keys(fresh, "customer_id", asc_last("customer_number"), start=start).select(*CUSTOMERS)
 
 
 def scd1_customers(customers: DataFrame, delta: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -264,26 +268,37 @@ def scd2_close_candidates(addresses: DataFrame, customers: DataFrame,
                     F.when(same_as_first, F.col("_d2")).otherwise(F.col("_d1")).alias("new_from")))
 
 
-def scd2_close_versions(addresses: DataFrame, customers: DataFrame,
-                        delta: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """SCD type 2, step A: end contradicted current versions the day before the
-    new one starts; if that is not after the old start, end on the old start."""
+def scd2_closings(addresses: DataFrame, customers: DataFrame, delta: DataFrame) -> DataFrame:
+    """``address_id, valid_to`` of the versions to end: the day before the new one starts; if that is
+    not after the old start, on the old start."""
     cand = scd2_close_candidates(addresses, customers, delta)
     day_before = F.date_sub("new_from", 1)
-    closing = cand.select("address_id", F.lit(True).alias("_close"),
-                          F.when(day_before <= F.col("old_from"), F.col("old_from"))
-                          .otherwise(day_before).alias("_to"))
+    return cand.select("address_id", F.when(day_before <= F.col("old_from"), F.col("old_from"))
+                       .otherwise(day_before).alias("valid_to"))
+
+
+def apply_closings(addresses: DataFrame, closings: DataFrame) -> DataFrame:
+    """End the versions named in ``closings``; all others are unchanged."""
+    closing = closings.select("address_id", F.lit(True).alias("_close"), F.col("valid_to").alias("_to"))
     hit = F.col("_close").isNotNull()
-    out = (addresses.join(closing, "address_id", "left")
-           .withColumn("valid_to", F.when(hit, F.col("_to")).otherwise(F.col("valid_to")))
-           .withColumn("is_current", F.when(hit, F.lit(False)).otherwise(F.col("is_current")))
-           .select(*ADDRESSES))
-    return out, closing.select("address_id", F.col("_to").alias("valid_to"))
+    return (addresses.join(closing, "address_id", "left")
+            .withColumn("valid_to", F.when(hit, F.col("_to")).otherwise(F.col("valid_to")))
+            .withColumn("is_current", F.when(hit, F.lit(False)).otherwise(F.col("is_current")))
+            .select(*ADDRESSES))
+
+
+def scd2_close_versions(addresses: DataFrame, customers: DataFrame,
+                        delta: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """SCD type 2, step A: end contradicted current versions."""
+    closings = scd2_closings(addresses, customers, delta)
+    return apply_closings(addresses, closings), closings
 
 
-def scd2_new_versions(addresses: DataFrame, customers: DataFrame, delta: DataFrame) -> DataFrame:
+def scd2_new_versions(addresses: DataFrame, customers: DataFrame, delta: DataFrame,
+                      start: DataFrame | int | None = None) -> DataFrame:
     """SCD type 2, step B: batch addresses with no matching *current* version
-    (4 attributes, null-safe; the version flag is not consulted)."""
+    (4 attributes, null-safe; the version flag is not consulted). Ids follow
+    ``start`` (default: the maximum of ``addresses``)."""
     rows, ids = _version_rows(delta, customers, False)
     rows = (rows.withColumnRenamed("new_from", "valid_from").distinct()
             .join(ids, "customer_number")
@@ -294,8 +309,8 @@ def scd2_new_versions(addresses: DataFrame, customers: DataFrame, delta: DataFra
     for c in INSERT_MATCH_ATTRS:
         cond = cond & F.col(f"r.{c}").eqNullSafe(F.col(f"a.{c}"))
     fresh = r.join(cur, cond, "left_anti")
-    keyed = assign_dense_keys(fresh, "address_id", asc_last(*ADDRESS_ORDER),
-                              start=_max_of(addresses, "address_id"))
+    start = _max_of(addresses, "address_id") if start is None else start
+    keyed = assign_dense_keys(fresh, "address_id", asc_last(*ADDRESS_ORDER), start=start)
     return (keyed.withColumn("valid_to", F.lit(None).cast("date"))
             .withColumn("is_current", F.lit(True)).select(*ADDRESSES))
 
@@ -339,14 +354,14 @@ def new_detail_rows(details: DataFrame, orders: DataFrame, products: DataFrame,
     return rows.join(seen, ["order_id", "product_id"], "left_anti")
 
 
-def secondary_order_details(details: DataFrame, orders: DataFrame, products: DataFrame,
-                            delta: DataFrame) -> DataFrame:
+def secondary_order_details(details: DataFrame, orders: DataFrame, products: DataFrame, delta: DataFrame,
+                            start: DataFrame | int | None = None) -> DataFrame:
     """Batch lines (quantity 0 → 1) for (order, product) pairs not loaded before.
     Pairs repeated inside the batch are all inserted (the check sees the old
-    table only)."""
+    table only). Ids follow ``start`` (default: the maximum of ``details``)."""
     fresh = new_detail_rows(details, orders, products, delta)
-    return assign_dense_keys(fresh, "order_detail_id", asc_last(*DETAIL_ORDER),
-                             start=_max_of(details, "order_detail_id")).select(*ORDER_DETAILS)
+    start = _max_of(details, "order_detail_id") if start is None else start
+    return assign_dense_keys(fresh, "order_detail_id", asc_last(*DETAIL_ORDER), start=start).select(*ORDER_DETAILS)
 
 
 def secondary_load(state: CoreState, delta: DataFrame) -> CoreState:

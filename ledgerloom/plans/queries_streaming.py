@@ -5,6 +5,7 @@ from __future__ import annotations
 from ledgerloom.plans.queries_core import ORD
 from ledgerloom.plans.registry import register
 from ledgerloom.plans.warehouse_run import warehouse as W
+from ledgerloom.session import scratch_folder
 from ledgerloom.streaming.incremental import run_incremental
 
 
@@ -14,8 +15,9 @@ def streaming_incremental_load(spark, sf):
     foreachBatch with the batch load's functions. Returns the order headers
     after every available file is processed (same as the batch load)."""
     w = W(spark, sf)
-    seed = w.parts("cleanup")
+    seed = {**w.parts("cleanup"), "buckets": w.buckets, "audit": [f"{w.root}/audit/initial-completed"]}
     delta = w.delta_orders()
-    manifest = run_incremental(spark, f"{w.root}/stage/delta_orders", delta.schema, seed,
-                               f"{w.root}/stream", f"{w.root}/stream/_checkpoint")
+    # Folders of this call alone: two jobs on one input must not share a stream's checkpoint.
+    own = scratch_folder(spark, "stream")
+    manifest = run_incremental(spark, f"{w.root}/stage/delta_orders", delta.schema, seed, own, f"{own}/_checkpoint")
     return spark.read.parquet(*manifest["orders"])

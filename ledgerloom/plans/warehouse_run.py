@@ -21,10 +21,10 @@ import threading
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import audit, keys, mart
+from ledgerloom.operators import audit, keys, mart, upkeep
 from ledgerloom.operators import warehouse as wh
 from ledgerloom.plans import fixtures
 from ledgerloom.session import ensure_checkpoint_dir
@@ -42,6 +42,8 @@ STEP_METHODS = {"initial": "initial", "cleanup": "cleaned", "secondary": "second
 # points it at a fresh folder to measure a cold build).
 NAMESPACE = "ledgerloom-snapshots"
 
+MIN_BUCKETS = 16
+
 _RUNS: dict[tuple[str, str, str, str], "WarehouseRun"] = {}
 _RUNS_LOCK = threading.Lock()
 
@@ -70,11 +72,15 @@ def input_digest(spark: SparkSession, sf_dir: str) -> str:
 
 class WarehouseRun:
     """The warehouse built from one folder of input tables, step by step, as snapshots."""
-    def __init__(self, spark: SparkSession, sf_dir: str, digest: str | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str, digest: str | None = None, buckets: int | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
+        # Buckets of customers and addresses: as many as the session's shuffles have
+        # partitions, the number that its user sizes to the data.
+        self.buckets = buckets or max(MIN_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
         base = ensure_checkpoint_dir(spark).rstrip("/")
-        self.root = f"{base}/{NAMESPACE}/{digest or input_digest(spark, sf_dir)}"
+        self.root = f"{base}/{NAMESPACE}/{digest or input_digest(spark, sf_dir)}-{self.buckets}"
+        self._rows: dict[str, int] = {}
         self._memo: dict[str, object] = {}
         self._parts: dict[str, dict[str, list[str]]] = {}
         self._locks: dict[str, threading.RLock] = {}
@@ -100,10 +106,12 @@ class WarehouseRun:
         """Write to a private folder, then rename; of concurrent builders the
         first to finish wins and the others drop their copy."""
         own = f"{self.root}/_building/{uuid.uuid4().hex}"
-        w = df.write
+        seen = Observation()                       # the write counts its own rows
+        w = df.observe(seen, F.count(F.lit(1)).alias("rows")).write
         if partition_by:
             w = w.partitionBy(partition_by)
         w.parquet(own)
+        self._rows[path] = seen.get["rows"]
         fs, target = self._fs(path)
         _, source = self._fs(own)
         fs.mkdirs(target.getParent())
@@ -119,6 +127,25 @@ class WarehouseRun:
             if not self._exists(path):
                 raise OSError(f"{path} could not be published")
 
+    # The store that loads write through (see ``upkeep.Store``).
+    def write(self, name: str, build, partition_by: str | None = None) -> str:
+        path = f"{self.root}/{name}"
+        if not self._exists(path):
+            self._publish(build(), path, partition_by)
+        return path
+
+    def rows(self, path: str) -> int:
+        """Rows of a published folder: counted by the write, else taken from the files' footers."""
+        if path not in self._rows:
+            self._rows[path] = self.spark.read.parquet(path).count()
+        return self._rows[path]
+
+    def folders(self, path: str) -> list[str]:
+        fs, p = self._fs(path)
+        return sorted((f"{path}/{s.getPath().getName()}" for s in fs.listStatus(p)
+                       if s.isDirectory() and s.getPath().getName().startswith(f"{upkeep.BUCKET}=")),
+                      key=upkeep.bucket_number)
+
     def _memoized(self, key: str, make):
         # One builder per step even when queries run on several threads; a
         # lock per step, so independent steps still build side by side (steps
@@ -138,34 +165,8 @@ class WarehouseRun:
     def read_parts(self, paths: list[str]) -> DataFrame:
         return self.spark.read.parquet(*paths)
 
-    def _state(self, step: str, make_state, prev: str | None = None,
-               keep: tuple[str, ...] = ()) -> wh.CoreState:
-        """Materialise a step. Each table is a list of part folders: ``keep``
-        tables reuse the previous step's parts, the rest are written whole."""
-        def make():
-            state = None
-
-            def built() -> wh.CoreState:
-                nonlocal state
-                if state is None:
-                    state = make_state()
-                return state
-            if prev:
-                getattr(self, STEP_METHODS[prev])()   # materialise the previous step first
-            before = self._parts.get(prev, {}) if prev else {}
-            parts: dict[str, list[str]] = {}
-            todo = []
-            for t in TABLES:
-                if t in keep:
-                    parts[t] = before[t]
-                    continue
-                path = f"{self.root}/{step}/{t}"
-                todo.append((path, lambda t=t: built().tables()[t]))
-                parts[t] = [path]
-            self._write_all(todo)
-            self._parts[step] = parts
-            return wh.CoreState(**{t: self.read_parts(parts[t]) for t in TABLES})
-        return self._memoized(step, make)
+    def _core(self, step: str) -> wh.CoreState:
+        return wh.CoreState(**{t: upkeep.read(self.spark, t, self._parts[step][t]) for t in TABLES})
 
     def _write_all(self, todo) -> None:
         """Write independent snapshot folders concurrently (one Spark job per
@@ -189,10 +190,6 @@ class WarehouseRun:
         # Worker threads inherit the caller's context (the staging scope).
         return pool.submit(contextvars.copy_context().run, fn, *args)
 
-    def _write_once(self, path: str, build) -> None:
-        if not self._exists(path):
-            self._publish(build(), path)
-
     # -- steps ---------------------------------------------------------------
     def stage_lines(self) -> str:
         """All flat lines, derived once from the tables and written partitioned
@@ -220,15 +217,22 @@ class WarehouseRun:
     def _table(self, step: str, t: str, build) -> DataFrame:
         """Write one table of a step as soon as it is built and hand dependents
         the written copy, so no later statement re-runs its plan."""
-        path = f"{self.root}/{step}/{t}"
-        self._write_once(path, build)
-        return self.read_parts([path])
+        if t in upkeep.BUCKET_KEYS:
+            paths = upkeep.write_buckets(self, f"{step}/{t}", t, build)
+        else:
+            paths = [self.write(f"{step}/{t}", build)]
+        self._parts.setdefault(step, {})[t] = paths
+        return upkeep.read(self.spark, t, paths)
+
+    def _log_of(self, *states: str) -> DataFrame | None:
+        paths = [p for p in (f"{self.root}/audit/{s}" for s in states) if self._exists(p)]
+        return upkeep.read(self.spark, "load_audit", paths) if paths else None
 
-    def _append(self, step: str, t: str, before: dict[str, list[str]], build) -> DataFrame:
-        """Write only the new rows of an append-only table as one more part."""
-        path = f"{self.root}/{step}/{t}"
-        self._write_once(path, build)
-        return self.read_parts(before[t] + [path])
+    def _open_load(self, name: str, load_type: str, source: str, *earlier: str) -> int:
+        """Note a load as started, under the id after the kept log's last; returns the id."""
+        self.write(f"audit/{name}-started", lambda: audit.audit_started(
+            self.spark, audit.next_load_id(self._log_of(*earlier)), load_type, source))
+        return self._log_of(f"{name}-started").first()["load_id"]
 
     def _build_initial(self) -> wh.CoreState:
         """``wh.initial_load`` statement by statement, independent tables built
@@ -236,8 +240,7 @@ class WarehouseRun:
         the lines once orders and products exist."""
         raw = self.raw_orders()
         step = "initial"
-        self._write_once(f"{self.root}/audit/initial-started", lambda: audit.audit_started(
-            self.spark, 1, "INITIAL", "stage.raw_orders"))
+        load_id = self._open_load("initial", "INITIAL", "stage.raw_orders")
         with keys.staging_scope() as owner, ThreadPoolExecutor(max_workers=3) as pool:
             fc = self._submit(pool, self._table, step, "customers",
                               lambda: wh.initial_customers(raw))
@@ -248,67 +251,42 @@ class WarehouseRun:
                               lambda: wh.initial_addresses(raw, customers))
             fo = self._submit(pool, self._table, step, "orders",
                               lambda: wh.initial_orders(raw, customers))
-            products, addresses, orders = fp.result(), fa.result(), fo.result()
-            details = self._table(step, "order_details",
-                                  lambda: wh.initial_order_details(raw, orders, products))
+            products, _, orders = fp.result(), fa.result(), fo.result()
+            self._table(step, "order_details", lambda: wh.initial_order_details(raw, orders, products))
             self._drop_staging(owner)
-        self._write_once(f"{self.root}/audit/initial-completed", lambda: audit.audit_initial(details))
-        self._parts[step] = {t: [f"{self.root}/{step}/{t}"] for t in TABLES}
-        return wh.CoreState(customers, addresses, products, orders, details)
+        self._parts[step][upkeep.LINE_INDEX] = [upkeep.write_index(self, step, self._parts[step]["order_details"][0])]
+        self.write("audit/initial-completed", lambda: audit.audit_counted(
+            self.spark, load_id, "INITIAL", "stage.raw_orders", self.rows(f"{self.root}/{step}/order_details")))
+        return self._core(step)
 
     def cleaned(self) -> wh.CoreState:
         def make():
-            s = self.initial()
-            return wh.CoreState(s.customers, wh.cleanup_addresses(s.addresses), s.products,
-                                s.orders, s.order_details)
-        return self._state("cleanup", make, prev="initial",
-                           keep=("customers", "products", "orders", "order_details"))
+            self.initial()
+            before = self._parts["initial"]
+            self._parts["cleanup"] = {**before, "addresses": upkeep.clean_up(self, "cleanup", before["addresses"])}
+            return self._core("cleanup")
+        return self._memoized("cleanup", make)
 
     def secondary(self) -> wh.CoreState:
         return self._memoized("secondary", self._build_secondary)
 
     def _build_secondary(self) -> wh.CoreState:
-        """``wh.secondary_load`` statement by statement (each statement reads
-        the written result of the one before): products alongside customers
-        (SCD1) → (SCD2 addresses ∥ orders), then order lines. Products, orders and
-        lines only add a part with the batch's new rows."""
-        c = self.cleaned()
+        self.cleaned()
         delta = self.delta_orders()
-        before = self._parts["cleanup"]
-        step = "secondary"
-        self._write_once(f"{self.root}/audit/secondary-started", lambda: audit.audit_started(
-            self.spark, 2, "SECONDARY", "stage.delta_orders"))
-        with keys.staging_scope() as owner, ThreadPoolExecutor(max_workers=3) as pool:
-            fc = self._submit(pool, self._table, step, "customers",
-                              lambda: wh.scd1_customers(c.customers, delta)[0])
-            fp = self._submit(pool, self._append, step, "products", before,
-                              lambda: wh.secondary_products(c.products, delta))
-            customers = fc.result()
-            fa = self._submit(pool, self._table, step, "addresses",
-                              lambda: wh.scd2_addresses(c.addresses, customers, delta)[0])
-            fo = self._submit(pool, self._append, step, "orders", before,
-                              lambda: wh.secondary_orders(c.orders, customers, delta))
-            products, addresses, orders = fp.result(), fa.result(), fo.result()
-            details = self._append(step, "order_details", before,
-                                   lambda: wh.secondary_order_details(c.order_details, orders,
-                                                                      products, delta))
+        load_id = self._open_load("secondary", "SECONDARY", "stage.delta_orders", "initial-started", "initial-completed")
+        with keys.staging_scope() as owner:
+            parts, counts = upkeep.incremental_load(self, "secondary", self._parts["cleanup"], delta)
             self._drop_staging(owner)
-        self._write_once(f"{self.root}/audit/secondary-completed", lambda: audit.audit_secondary(
-            delta, wh.scd1_changes(c.customers, delta),
-            wh.scd2_close_candidates(c.addresses, customers, delta),
-            self.read_parts([f"{self.root}/{step}/orders"])))
-        parts = {t: [f"{self.root}/{step}/{t}"] for t in ("customers", "addresses")}
-        for t in ("products", "orders", "order_details"):
-            parts[t] = before[t] + [f"{self.root}/{step}/{t}"]
-        self._parts[step] = parts
-        return wh.CoreState(customers, addresses, products, orders, details)
+        self.write("audit/secondary-completed", lambda: audit.audit_incremental(
+            self.spark, load_id, "stage.delta_orders", self.rows(f"{self.root}/stage/delta_orders"), counts))
+        self._parts["secondary"] = parts
+        return self._core("secondary")
 
     def audit_log(self) -> DataFrame:
         """The kept log of the loads: what each wrote when it began and when it ended."""
         self.secondary()
-        return audit.audit_state(self.read_parts(
-            [f"{self.root}/audit/{load}-{state}" for load in ("initial", "secondary")
-             for state in ("started", "completed")]))
+        return audit.audit_state(self._log_of(*[f"{load}-{state}" for load in ("initial", "secondary")
+                                                for state in ("started", "completed")]))
 
     def corrected(self) -> wh.CoreState:
         """Period correction. Only the part folders that hold deleted rows are
@@ -321,7 +299,7 @@ class WarehouseRun:
             # read (not recomputed) by the part checks and rewrites below.
             doomed = self.snapshot("correction/deleted_order_details", lambda: doomed)
             orphans = self.snapshot("correction/deleted_orders", lambda: orphans)
-            parts = {t: before[t] for t in TABLES}
+            parts = {t: before[t] for t in TABLES}      # rewritten line parts have no index: they are always read
             todo = []
             checks = (("order_details", "order_detail_id", doomed), ("orders", "order_id", orphans))
             with ThreadPoolExecutor(max_workers=2) as pool:       # independent checks
@@ -340,7 +318,7 @@ class WarehouseRun:
                 parts[t] = new_parts
             self._write_all(todo)
             self._parts["correction"] = parts
-            return wh.CoreState(**{t: self.read_parts(parts[t]) for t in TABLES})
+            return self._core("correction")
         return self._memoized("correction", make)
 
     def _touched_parts(self, paths: list[str], key: str, gone: DataFrame) -> set[int]:

@@ -38,17 +38,24 @@ CSV_HEADER = {
     "Discount": "discount", "Profit": "profit",
 }
 
-CUSTOMERS = ["customer_id", "customer_number", "customer_name", "segment"]
-ADDRESSES = ["address_id", "customer_id", "country", "city", "state", "postal_code", "region",
-             "valid_from", "valid_to", "is_current"]
+# Typed core, audit and mart inputs. Nullability is declared by NOT_NULL below.
+CORE_FIELDS = {
+    "customers": [("customer_id", L), ("customer_number", S), ("customer_name", S), ("segment", S)],
+    "addresses": [("address_id", L), ("customer_id", L), ("country", S), ("city", S), ("state", S),
+                  ("postal_code", I), ("region", S), ("valid_from", D), ("valid_to", D), ("is_current", B)],
+    "products": [("product_id", L), ("product_number", S), ("product_name", S), ("category", S),
+                 ("sub_category", S)],
+    "orders": [("order_id", L), ("customer_id", L), ("order_number", S), ("order_date", D),
+               ("ship_date", D), ("ship_mode", S), ("batch_id", I)],
+    "order_details": [("order_detail_id", L), ("order_id", L), ("product_id", L), ("sales", MONEY),
+                      ("quantity", I), ("discount", RATE), ("profit", MONEY)],
+    "load_audit": [("load_id", L), ("load_type", S), ("source_table", S), ("rows_processed", L),
+                   ("status", S), ("rows_inserted", L), ("rows_updated", L), ("rows_skipped", L)],
+}
+CORE = {t: T.StructType([T.StructField(n, k, True) for n, k in fields]) for t, fields in CORE_FIELDS.items()}
+CUSTOMERS, ADDRESSES, PRODUCTS, ORDERS, ORDER_DETAILS, AUDIT = (
+    CORE[t].names for t in ("customers", "addresses", "products", "orders", "order_details", "load_audit"))
 ADDRESS_ATTRS = ["country", "city", "state", "postal_code", "region"]
-PRODUCTS = ["product_id", "product_number", "product_name", "category", "sub_category"]
-ORDERS = ["order_id", "customer_id", "order_number", "order_date", "ship_date", "ship_mode",
-          "batch_id"]
-ORDER_DETAILS = ["order_detail_id", "order_id", "product_id", "sales", "quantity", "discount",
-                 "profit"]
-AUDIT = ["load_id", "load_type", "source_table", "rows_processed", "status", "rows_inserted",
-         "rows_updated", "rows_skipped"]
 
 # Declared constraints, re-aimed as data-quality rules. these
 # lists and the lengths below state the DDL's constraints.
