@@ -104,9 +104,9 @@ def write_index(store: Store, step: str, path: str) -> str:
 
 def lines_of(spark: SparkSession, parts: Parts, orders: DataFrame) -> list[str]:
     """Parts of the order lines that can hold a line of ``orders`` (order_id); unindexed parts always can."""
-    index = part_index.read_index(spark, parts.get(LINE_INDEX, []))
-    indexed = {r["path"] for r in index.select("path").distinct().collect()}
-    hit = set(part_index.parts_with(index, orders, "order_id")) if indexed else set()
+    folders = parts.get(LINE_INDEX, [])
+    indexed = {f.removesuffix("_index") for f in folders}        # an index lies beside its part
+    hit = set(part_index.parts_with(part_index.read_index(spark, folders), orders, "order_id")) if folders else set()
     return [p for p in parts["order_details"] if p not in indexed or p in hit]
 
 
@@ -150,8 +150,8 @@ def incremental_load(store: Store, step: str, before: Parts, delta: DataFrame) -
     """The incremental load on the tables in ``before``: the folders after it, and its row counts.
 
     Each statement reads the written result of the one before: products
-    alongside customers (SCD 1), then addresses (SCD 2) alongside orders, then
-    order lines. Counts are those of the folders written.
+    alongside customers (SCD 1), then addresses (SCD 2) alongside orders and
+    their lines. Counts are those of the folders written.
     """
     spark = store.spark
     parts = {t: list(p) for t, p in before.items()}
@@ -181,8 +181,9 @@ def incremental_load(store: Store, step: str, before: Parts, delta: DataFrame) -
     def customers() -> None:
         known = read(spark, "customers", of_buckets(before["customers"], asked))
         last = _largest(read(spark, "customers", before["customers"]), "customer_id")
-        changes = change_set("scd1", lambda: wh.scd1_changes(known, delta))
-        fresh = change_set("new_customers", lambda: wh.new_customers(known, delta, start=last))
+        changes, fresh = _parallel(
+            lambda: change_set("scd1", lambda: wh.scd1_changes(known, delta)),
+            lambda: change_set("new_customers", lambda: wh.new_customers(known, delta, start=last)))
         touched = in_buckets([changes, fresh], "customer_number", store.buckets)
         rewrite("customers", touched, lambda rows: wh.apply_scd1(rows, changes).unionByName(fresh))
 
@@ -198,17 +199,20 @@ def incremental_load(store: Store, step: str, before: Parts, delta: DataFrame) -
         touched = in_buckets([closing, fresh], "customer_id", store.buckets)
         rewrite("addresses", touched, lambda rows: wh.apply_closings(rows, closing).unionByName(fresh))
 
+    def orders_and_lines() -> None:
+        known_orders = read(spark, "orders", before["orders"])
+        orders = append("orders", lambda: wh.secondary_orders(known_orders, batch_customers, delta))
+        numbers = delta.select(F.col("order_id").alias("order_number")).distinct()
+        asked_orders = orders.join(numbers, "order_number", "left_semi")
+        seen = read(spark, "order_details", lines_of(spark, before, asked_orders.select("order_id")))
+        last = _largest(read(spark, "order_details", before["order_details"]), "order_detail_id")
+        append("order_details", lambda: wh.secondary_order_details(seen, asked_orders, products, delta, start=last))
+        parts[LINE_INDEX] = [*before.get(LINE_INDEX, []), write_index(store, step, parts["order_details"][-1])]
+
     known_products = read(spark, "products", before["products"])
     _, products = _parallel(
         customers, lambda: append("products", lambda: wh.secondary_products(known_products, delta)))
     batch_customers = read(spark, "customers", of_buckets(parts["customers"], asked)).join(
         named.distinct(), "customer_number", "left_semi")
-    known_orders = read(spark, "orders", before["orders"])
-    _, orders = _parallel(
-        addresses, lambda: append("orders", lambda: wh.secondary_orders(known_orders, batch_customers, delta)))
-    asked_orders = orders.join(delta.select(F.col("order_id").alias("order_number")).distinct(), "order_number", "left_semi")
-    seen = read(spark, "order_details", lines_of(spark, before, asked_orders.select("order_id")))
-    last = _largest(read(spark, "order_details", before["order_details"]), "order_detail_id")
-    append("order_details", lambda: wh.secondary_order_details(seen, asked_orders, products, delta, start=last))
-    parts[LINE_INDEX] = [*before.get(LINE_INDEX, []), write_index(store, step, parts["order_details"][-1])]
+    _parallel(addresses, orders_and_lines)
     return parts, counts

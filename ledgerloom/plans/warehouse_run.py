@@ -236,8 +236,7 @@ class WarehouseRun:
 
     def _build_initial(self) -> wh.CoreState:
         """``wh.initial_load`` statement by statement, independent tables built
-        concurrently: products alongside customers → (addresses ∥ orders), then
-        the lines once orders and products exist."""
+        concurrently: products alongside customers → addresses ∥ (orders → lines)."""
         raw = self.raw_orders()
         step = "initial"
         load_id = self._open_load("initial", "INITIAL", "stage.raw_orders")
@@ -251,8 +250,9 @@ class WarehouseRun:
                               lambda: wh.initial_addresses(raw, customers))
             fo = self._submit(pool, self._table, step, "orders",
                               lambda: wh.initial_orders(raw, customers))
-            products, _, orders = fp.result(), fa.result(), fo.result()
+            products, orders = fp.result(), fo.result()
             self._table(step, "order_details", lambda: wh.initial_order_details(raw, orders, products))
+            fa.result()
             self._drop_staging(owner)
         self._parts[step][upkeep.LINE_INDEX] = [upkeep.write_index(self, step, self._parts[step]["order_details"][0])]
         self.write("audit/initial-completed", lambda: audit.audit_counted(
