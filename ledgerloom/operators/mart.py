@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.dedupe import latest_per_key
+from ledgerloom.operators.point_in_time import latest_version
 
 FACT_COLUMNS = ["order_detail_id", "order_id", "order_number", "order_date", "ship_date",
                 "ship_mode", "customer_id", "product_id", "sales_country", "sales_region",
@@ -76,9 +77,12 @@ def fact_sales(details: DataFrame, orders: DataFrame, addresses: DataFrame) -> D
 
 def fact_sales_unique(details: DataFrame, orders: DataFrame, addresses: DataFrame) -> DataFrame:
     """One row per line: among matching versions the latest ``valid_from`` (then
-    highest address id) wins; no match keeps NULL geography."""
-    headers = latest_per_key(orders_with_geography(orders, addresses), ["order_id"],
-                             ["valid_from", "address_id"])
+    highest address id) wins; no match keeps NULL geography. Found by a sorted
+    sweep over headers and versions, which never fans out."""
+    versions = addresses.select("customer_id", "address_id", "valid_from", "valid_to",
+                                *[F.col(c).alias(f"sales_{c}") for c in ("country", "region", "state", "city")])
+    headers = latest_version(orders.select("order_id", "order_number", "order_date", "ship_date", "ship_mode", "customer_id"),
+                             versions, ["sales_country", "sales_region", "sales_state", "sales_city"])
     return _fact(details, headers)
 
 
