@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.guard import row_checks
 from ledgerloom.schemas import FOREIGN_KEYS, LENGTHS, NOT_NULL, UNIQUE
 
 RESULT = ["rule", "table_name", "column_name", "violations"]
@@ -44,17 +45,22 @@ def dq_not_null(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def dq_unique(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rows beyond the first for each key value (a NULL key counts as one such
-    row). One narrow grouping per key, combined before the shuffle; several
-    distinct counts in one aggregate would expand every row."""
-    out = []
-    for t, keys in UNIQUE.items():
-        for k in keys:
-            per = tables[t].groupBy(F.col(k).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-            beyond = F.sum(F.when(F.col("_k").isNull(), F.col("_n")).otherwise(F.col("_n") - 1))
-            out.append(per.agg(F.coalesce(beyond, F.lit(0)).cast("long").alias("violations")).select(
-                F.lit("unique").alias("rule"), F.lit(t).alias("table_name"),
-                F.lit(k).alias("column_name"), "violations"))
-    return _union(out)
+    row). Each table is scanned once for all its keys, and all keys of all
+    tables are counted by one grouping, combined before the shuffle."""
+    def named(t: str, k: str) -> list[Column]:
+        return [F.lit(t).alias("table_name"), F.lit(k).alias("column_name")]
+    values = [tables[t].select(F.explode(F.array(*[
+        F.struct(*named(t, k), F.col(k).cast("string").alias("_k")) for k in keys])).alias("x")).select("x.*")
+        for t, keys in UNIQUE.items()]
+    per = _union(values).groupBy("table_name", "column_name", "_k").agg(F.count(F.lit(1)).alias("_n"))
+    beyond = per.select("table_name", "column_name",
+                        F.when(F.col("_k").isNull(), F.col("_n")).otherwise(F.col("_n") - 1).alias("_v"))
+    spark = next(iter(tables.values())).sparkSession
+    every = spark.range(1).select(F.explode(F.array(*[
+        F.struct(*named(t, k), F.lit(0).cast("long").alias("_v")) for t, keys in UNIQUE.items() for k in keys])).alias("x"))
+    return (beyond.unionByName(every.select("x.*")).groupBy("table_name", "column_name")
+            .agg(F.sum("_v").alias("violations"))
+            .select(F.lit("unique").alias("rule"), "table_name", "column_name", "violations"))
 
 
 def dq_foreign_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -124,20 +130,12 @@ def dq_fact_fanout(details: DataFrame, orders: DataFrame, addresses: DataFrame)
 def _table_rules(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Every single-row rule of a table (NOT NULL, CHECKs) evaluated in ONE
     aggregate pass per table, then unpivoted."""
-    checks = {
-        "addresses": [("check_dates", "valid_to",
-                       F.col("valid_to").isNotNull() & (F.col("valid_to") <= F.col("valid_from")))],
-        "orders": [("check_order_dates", "ship_date", F.col("ship_date") < F.col("order_date"))],
-        "order_details": [("check_quantity", "quantity", F.col("quantity") <= 0),
-                          ("check_discount", "discount",
-                           (F.col("discount") < 0) | (F.col("discount") > 1))],
-    }
     out = []
     for t, df in tables.items():
         named = []                       # (rule, column, aggregate expression)
         for c in NOT_NULL.get(t, []):
             named.append(("not_null", c, F.count_if(F.col(c).isNull())))
-        for rule, c, bad in checks.get(t, []):
+        for rule, c, bad in row_checks(t):
             named.append((rule, c, F.count_if(bad)))
         if not named:
             continue

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ledgerloom.operators import guard
 from ledgerloom.operators import quality as q
 from ledgerloom.plans.registry import register
 from ledgerloom.plans.warehouse_run import warehouse as W
@@ -129,6 +130,35 @@ def dq_report(spark, sf):
     return q.dq_report(_tables(spark, sf))
 
 
+# The id of a row in the table of rejects.
+IDS = {"customers": "customer_id", "addresses": "address_id", "products": "product_id",
+       "orders": "order_id", "order_details": "order_detail_id"}
+CHECK_SQL = {
+    "addresses": [("check_dates", "valid_to", "valid_to <= valid_from")],
+    "orders": [("check_order_dates", "ship_date", "ship_date < order_date")],
+    "order_details": [("check_quantity", "quantity", "quantity <= 0"),
+                      ("check_discount", "discount", "discount < 0 or discount > 1")],
+}
+
+
+def _reject_sql(table: str) -> str:
+    rules = [(f"not_null:{c}", f"{c} is null") for c in NOT_NULL[table]]
+    rules += [(f"{r}:{c}", bad) for r, c, bad in CHECK_SQL.get(table, [])]
+    rules += [(f"varchar_length:{c}", f"length({c}) > {n}") for c, n in LENGTHS.get(table, {}).items()]
+    rules += [(f"unique:{k}", f"{k} is null or row_number() over (partition by {k}) > 1") for k in UNIQUE[table]]
+    rules += [(f"foreign_key:{c}", f"{c} is not null and {c} not in (select {pc} from {CORE[p]})")
+              for t, c, p, pc in FOREIGN_KEYS if t == table]
+    reasons = ", ".join(f"case when {bad} then '{name}' end" for name, bad in rules)
+    return (f"select '{table}' as table_name, cast({IDS[table]} as bigint) as id, reasons "
+            f"from (select {IDS[table]}, concat_ws(',', {reasons}) as reasons from {CORE[table]}) t where reasons <> ''")
+
+
+@register("guarded_rejects", " union all ".join(map(_reject_sql, IDS)))
+def guarded_rejects(spark, sf):
+    """D1–D8 at write time: the rows that a guarded write parts from the good ones, with their reasons."""
+    return guard.reject_report(W(spark, sf).final().tables(), IDS)
+
+
 @register("load_reconciliation", """
 select (select cast(count(*) as bigint) from raw_orders) as stage_rows,
        (select cast(count(*) as bigint) from x_c1) as customers_rows,
