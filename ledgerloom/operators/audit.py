@@ -6,7 +6,7 @@ inserted, updated = SCD1 updates + SCD2 closes, skipped = stage rows − inserte
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.schemas import AUDIT
@@ -97,8 +97,19 @@ def evolve_audit_columns(audit: DataFrame) -> DataFrame:
     return audit
 
 
-def with_times(audit: DataFrame) -> DataFrame:
+def with_times(audit: DataFrame, ended: bool = True) -> DataFrame:
     """Start/end timestamps for an audit row that is persisted as a log
-    (left out of compared results: they are not deterministic)."""
-    return (audit.withColumn("start_time", F.current_timestamp())
-            .withColumn("end_time", F.current_timestamp()))
+    (left out of compared results: they are not deterministic). An opening row
+    has no end yet."""
+    now = F.current_timestamp()
+    return audit.withColumn("start_time", now).withColumn("end_time", now if ended else F.lit(None).cast("timestamp"))
+
+
+def load_times(log: DataFrame) -> DataFrame:
+    """``load_id, load_type, start_time, end_time``: from the opening row to the closing one."""
+    return log.groupBy("load_id", "load_type").agg(F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"))
+
+
+def started_within(interval: str) -> Column:
+    """Rows of a log that began within an interval before now."""
+    return F.col("start_time") >= F.current_timestamp() - F.expr(f"interval {interval}")

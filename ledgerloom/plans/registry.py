@@ -63,4 +63,5 @@ def load_all() -> None:
     # Importing the modules registers their queries.
     """Import every query module once (registration happens on import)."""
     from ledgerloom.plans import (  # noqa: F401
-        queries_core, queries_quality, queries_reports, queries_stage, queries_streaming, queries_time)
+        queries_core, queries_objects, queries_quality, queries_reports, queries_stage, queries_streaming,
+        queries_time)

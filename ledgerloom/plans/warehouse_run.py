@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from ledgerloom.operators import audit, keys, mart, upkeep
 from ledgerloom.operators import warehouse as wh
 from ledgerloom.plans import fixtures
+from ledgerloom.schemas import AUDIT_LOG
 from ledgerloom.session import ensure_checkpoint_dir
 from ledgerloom.sources.tables import table_path
 
@@ -230,8 +231,8 @@ class WarehouseRun:
 
     def _open_load(self, name: str, load_type: str, source: str, *earlier: str) -> int:
         """Note a load as started, under the id after the kept log's last; returns the id."""
-        self.write(f"audit/{name}-started", lambda: audit.audit_started(
-            self.spark, audit.next_load_id(self._log_of(*earlier)), load_type, source))
+        self.write(f"audit/{name}-started", lambda: audit.with_times(audit.audit_started(
+            self.spark, audit.next_load_id(self._log_of(*earlier)), load_type, source), ended=False))
         return self._log_of(f"{name}-started").first()["load_id"]
 
     def _build_initial(self) -> wh.CoreState:
@@ -255,8 +256,8 @@ class WarehouseRun:
             fa.result()
             self._drop_staging(owner)
         self._parts[step][upkeep.LINE_INDEX] = [upkeep.write_index(self, step, self._parts[step]["order_details"][0])]
-        self.write("audit/initial-completed", lambda: audit.audit_counted(
-            self.spark, load_id, "INITIAL", "stage.raw_orders", self.rows(f"{self.root}/{step}/order_details")))
+        self.write("audit/initial-completed", lambda: audit.with_times(audit.audit_counted(
+            self.spark, load_id, "INITIAL", "stage.raw_orders", self.rows(f"{self.root}/{step}/order_details"))))
         return self._core(step)
 
     def cleaned(self) -> wh.CoreState:
@@ -277,11 +278,17 @@ class WarehouseRun:
         with keys.staging_scope() as owner:
             parts, counts = upkeep.incremental_load(self, "secondary", self._parts["cleanup"], delta)
             self._drop_staging(owner)
-        self.write("audit/secondary-completed", lambda: audit.audit_incremental(
-            self.spark, load_id, "stage.delta_orders", self.rows(f"{self.root}/stage/delta_orders"), counts))
+        self.write("audit/secondary-completed", lambda: audit.with_times(audit.audit_incremental(
+            self.spark, load_id, "stage.delta_orders", self.rows(f"{self.root}/stage/delta_orders"), counts)))
         self._parts["secondary"] = parts
         return self._core("secondary")
 
+    def audit_times(self) -> DataFrame:
+        """When each load began and ended, from the kept log."""
+        self.secondary()
+        return audit.load_times(self.spark.read.schema(AUDIT_LOG).parquet(*[
+            f"{self.root}/audit/{load}-{state}" for load in ("initial", "secondary") for state in ("started", "completed")]))
+
     def audit_log(self) -> DataFrame:
         """The kept log of the loads: what each wrote when it began and when it ended."""
         self.secondary()

@@ -55,6 +55,9 @@ CORE_FIELDS = {
 CORE = {t: T.StructType([T.StructField(n, k, True) for n, k in fields]) for t, fields in CORE_FIELDS.items()}
 CUSTOMERS, ADDRESSES, PRODUCTS, ORDERS, ORDER_DETAILS, AUDIT = (
     CORE[t].names for t in ("customers", "addresses", "products", "orders", "order_details", "load_audit"))
+# A persisted log also keeps when a load began and ended.
+AUDIT_LOG = T.StructType([*CORE["load_audit"].fields, T.StructField("start_time", T.TimestampType()),
+                          T.StructField("end_time", T.TimestampType())])
 ADDRESS_ATTRS = ["country", "city", "state", "postal_code", "region"]
 
 # Declared constraints, re-aimed as data-quality rules. these

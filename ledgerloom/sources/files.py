@@ -59,11 +59,26 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType,
             .option("emptyValue", "").option("mode", "FAILFAST").csv(path))
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def read_csv_or(spark: SparkSession, path: str, schema: T.StructType, instead: DataFrame,
+                header: bool = True) -> DataFrame:
+    """The CSV at ``path``, or ``instead`` typed alike where there is no such file."""
+    return read_csv(spark, path, schema, header) if exists(spark, path) else typed(instead, schema)
+
+
+def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The schema's columns, each cast to its type (a value that does not fit fails)."""
+    return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def write_stage(df: DataFrame, path: str, schema: T.StructType = RAW_ORDERS,
                 mode: str = "overwrite") -> None:
     """Typed stage load: cast to the stage schema, then replace or append."""
-    typed = df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
-    typed.write.mode(mode).parquet(path)
+    typed(df, schema).write.mode(mode).parquet(path)
 
 
 def write_stage_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str],
@@ -72,8 +87,7 @@ def write_stage_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[st
     """The same typed stage load into a database table: Spark's JDBC writer
     sends multi-row inserts of ``batch_size`` rows from every task. (Not
     exercised in this repository: no database server is available.)"""
-    typed = df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
-    w = (typed.write.format("jdbc").mode(mode).option("url", url).option("dbtable", table)
+    w = (typed(df, schema).write.format("jdbc").mode(mode).option("url", url).option("dbtable", table)
          .option("batchsize", batch_size))
     for k, v in properties.items():
         w = w.option(k, v)
