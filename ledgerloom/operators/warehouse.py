@@ -9,6 +9,7 @@ SCD2 insert → products → orders → details).
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Window
@@ -124,20 +125,22 @@ def initial_orders(raw: DataFrame, customers: DataFrame, batch_id: int = 1,
 
 
 def _detail_rows(stage: DataFrame, orders: DataFrame, products: DataFrame,
-                 quantity=None) -> DataFrame:
+                 quantity=None, carry: Sequence[str] = ()) -> DataFrame:
     qty = quantity if quantity is not None else F.col("quantity")
     lines = stage.select(F.col("order_id").alias("order_number"),
                          F.col("product_id").alias("product_number"),
                          "sales", qty.alias("quantity"), "discount", "profit")
-    return (lines.join(orders.select("order_id", "order_number"), "order_number")
+    return (lines.join(orders.select("order_id", "order_number", *carry), "order_number")
             .join(products.select("product_id", "product_number"), "product_number")
-            .select(*DETAIL_ORDER))
+            .select(*DETAIL_ORDER, *carry))
 
 
-def initial_order_details(raw: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
-    """M5: every stage line joined to its order and product ids (no dedup, as in the first load)."""
-    rows = _detail_rows(raw, orders, products)
-    return assign_dense_keys(rows, "order_detail_id", asc_last(*DETAIL_ORDER)).select(*ORDER_DETAILS)
+def initial_order_details(raw: DataFrame, orders: DataFrame, products: DataFrame,
+                          carry: Sequence[str] = ()) -> DataFrame:
+    """M5: every stage line joined to its order and product ids (no dedup, as in the first load).
+    ``carry`` names columns of ``orders`` that the lines take along."""
+    rows = _detail_rows(raw, orders, products, carry=carry)
+    return assign_dense_keys(rows, "order_detail_id", asc_last(*DETAIL_ORDER)).select(*ORDER_DETAILS, *carry)
 
 
 def initial_load(raw: DataFrame, log: DataFrame | None = None) -> CoreState:
@@ -343,10 +346,10 @@ def secondary_orders(orders: DataFrame, customers: DataFrame, delta: DataFrame)
 
 
 def new_detail_rows(details: DataFrame, orders: DataFrame, products: DataFrame,
-                    delta: DataFrame) -> DataFrame:
+                    delta: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Batch lines whose (order, product) pair is not in the old detail table
     (NOT EXISTS as a left anti join)."""
-    rows = _detail_rows(delta, orders, products, quantity=repair_quantity("quantity"))
+    rows = _detail_rows(delta, orders, products, quantity=repair_quantity("quantity"), carry=carry)
     # Only history of the batch's own orders can match. The semi join is what a
     # runtime filter can push into the history scan; an anti join is not.
     seen = (details.select("order_id", "product_id")
@@ -355,13 +358,13 @@ def new_detail_rows(details: DataFrame, orders: DataFrame, products: DataFrame,
 
 
 def secondary_order_details(details: DataFrame, orders: DataFrame, products: DataFrame, delta: DataFrame,
-                            start: DataFrame | int | None = None) -> DataFrame:
+                            start: DataFrame | int | None = None, carry: Sequence[str] = ()) -> DataFrame:
     """Batch lines (quantity 0 → 1) for (order, product) pairs not loaded before.
     Pairs repeated inside the batch are all inserted (the check sees the old
     table only). Ids follow ``start`` (default: the maximum of ``details``)."""
-    fresh = new_detail_rows(details, orders, products, delta)
+    fresh = new_detail_rows(details, orders, products, delta, carry)
     start = _max_of(details, "order_detail_id") if start is None else start
-    return assign_dense_keys(fresh, "order_detail_id", asc_last(*DETAIL_ORDER), start=start).select(*ORDER_DETAILS)
+    return assign_dense_keys(fresh, "order_detail_id", asc_last(*DETAIL_ORDER), start=start).select(*ORDER_DETAILS, *carry)
 
 
 def secondary_load(state: CoreState, delta: DataFrame) -> CoreState:

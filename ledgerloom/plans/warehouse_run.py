@@ -143,9 +143,7 @@ class WarehouseRun:
 
     def folders(self, path: str) -> list[str]:
         fs, p = self._fs(path)
-        return sorted((f"{path}/{s.getPath().getName()}" for s in fs.listStatus(p)
-                       if s.isDirectory() and s.getPath().getName().startswith(f"{upkeep.BUCKET}=")),
-                      key=upkeep.bucket_number)
+        return upkeep.partition_folders(path, [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()])
 
     def _memoized(self, key: str, make):
         # One builder per step even when queries run on several threads; a
@@ -220,6 +218,8 @@ class WarehouseRun:
         the written copy, so no later statement re-runs its plan."""
         if t in upkeep.BUCKET_KEYS:
             paths = upkeep.write_buckets(self, f"{step}/{t}", t, build)
+        elif t in upkeep.BY_YEAR:
+            paths = upkeep.write_years(self, f"{step}/{t}", build)
         else:
             paths = [self.write(f"{step}/{t}", build)]
         self._parts.setdefault(step, {})[t] = paths
@@ -250,12 +250,13 @@ class WarehouseRun:
             fa = self._submit(pool, self._table, step, "addresses",
                               lambda: wh.initial_addresses(raw, customers))
             fo = self._submit(pool, self._table, step, "orders",
-                              lambda: wh.initial_orders(raw, customers))
+                              lambda: upkeep.with_year(wh.initial_orders(raw, customers)))
             products, orders = fp.result(), fo.result()
-            self._table(step, "order_details", lambda: wh.initial_order_details(raw, orders, products))
+            self._table(step, "order_details", lambda: wh.initial_order_details(
+                raw, upkeep.with_year(orders), products, carry=[upkeep.YEAR]))
             fa.result()
             self._drop_staging(owner)
-        self._parts[step][upkeep.LINE_INDEX] = [upkeep.write_index(self, step, self._parts[step]["order_details"][0])]
+        self._parts[step][upkeep.LINE_INDEX] = [upkeep.write_index(self, step, self._parts[step]["order_details"])]
         self.write("audit/initial-completed", lambda: audit.with_times(audit.audit_counted(
             self.spark, load_id, "INITIAL", "stage.raw_orders", self.rows(f"{self.root}/{step}/order_details"))))
         return self._core(step)
@@ -296,12 +297,16 @@ class WarehouseRun:
                                                 for state in ("started", "completed")]))
 
     def corrected(self) -> wh.CoreState:
-        """Period correction. Only the part folders that hold deleted rows are
-        rewritten; all other parts are shared with the previous step."""
+        """Period correction. Only parts of the period's years are read, and of
+        those only the ones that hold deleted rows are rewritten; all other
+        parts are shared with the previous step."""
         def make():
-            s = self.secondary()
+            self.secondary()
             before = self._parts["secondary"]
-            _, _, doomed, orphans = wh.correct_period(s.orders, s.order_details, CORRECTION)
+            years = range(CORRECTION.start.year, CORRECTION.end.year + 1)
+            inside = {t: [p for p in before[t] if upkeep.part_year(p) in years] for t in upkeep.BY_YEAR}
+            orders, details = (upkeep.read(self.spark, t, inside[t]) for t in upkeep.BY_YEAR)
+            _, _, doomed, orphans = wh.correct_period(orders, details, CORRECTION)
             # The deleted ids, written once: a record of the correction, and
             # read (not recomputed) by the part checks and rewrites below.
             doomed = self.snapshot("correction/deleted_order_details", lambda: doomed)
@@ -310,19 +315,13 @@ class WarehouseRun:
             todo = []
             checks = (("order_details", "order_detail_id", doomed), ("orders", "order_id", orphans))
             with ThreadPoolExecutor(max_workers=2) as pool:       # independent checks
-                hits = list(pool.map(lambda c: self._touched_parts(before[c[0]], c[1], c[2]),
-                                     checks))
+                hits = list(pool.map(lambda c: self._touched_parts(inside[c[0]], c[1], c[2]), checks))
             for (t, key, gone), hit in zip(checks, hits):
-                new_parts = []
-                for i, path in enumerate(before[t]):
-                    if i in hit:
-                        out = f"{self.root}/correction/{t}/part{i}"
-                        todo.append((out, lambda p=path, k=key, g=gone: self.read_parts([p])
-                                     .join(g.select(k), k, "left_anti")))
-                        new_parts.append(out)
-                    else:
-                        new_parts.append(path)
-                parts[t] = new_parts
+                moved = {p: f"{self.root}/correction/{t}/part{i}/{p.rsplit('/', 1)[1]}"
+                         for i, p in enumerate(inside[t]) if i in hit}
+                todo += [(out, lambda p=path, t=t, k=key, g=gone: upkeep.read(self.spark, t, [p])
+                          .join(g.select(k), k, "left_anti")) for path, out in moved.items()]
+                parts[t] = [moved.get(p, p) for p in before[t]]
             self._write_all(todo)
             self._parts["correction"] = parts
             return self._core("correction")
@@ -331,6 +330,8 @@ class WarehouseRun:
     def _touched_parts(self, paths: list[str], key: str, gone: DataFrame) -> set[int]:
         """Indices of the part folders containing any key of ``gone`` (at most
         one row per part comes back to the driver)."""
+        if not paths:
+            return set()
         tagged = None
         for i, p in enumerate(paths):
             part = self.read_parts([p]).select(key, F.lit(i).alias("_part"))

@@ -1,10 +1,10 @@
 """Which part folders can hold a key: their least and greatest key and a Bloom filter.
 
 History grows by part folders and a batch names few of its keys. Before the
-history is read, the batch's keys are held against an index of the parts: one
-row a part with its bounds, and its filter as bitmaps of 32,768 bits. A part is
-read if some key lies within its bounds and meets a set bit; one that holds a
-key is never left out. Bits follow the part's rows, so filters do not fill up
+history is read, the batch's keys are held against an index of the parts: a
+part's filter as bitmaps of 32,768 bits, each with the bounds of its keys. A
+part is read if some key lies within the bounds and meets a set bit; one that
+holds a key is never left out. Bits follow the part's rows, so filters do not fill up
 as parts grow. Index and search are Spark's own bitmap functions and joins.
 """
 
@@ -25,27 +25,31 @@ def _bit(key: Column, bits: Column) -> Column:
     return F.pmod(F.xxhash64(key.cast("string")), bits) + 1
 
 
-def index_part(part: DataFrame, path: str, keys: Sequence[str], rows: int) -> DataFrame:
-    """The index rows of one part: ``rows`` (its row count) sets the filters' size.
+def index_parts(parts: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
+    """The index rows of parts: ``parts`` holds their rows and each row's part in ``path``.
 
-    Bounds compare as text. Null keys are not indexed: an equality finds none.
+    ``rows`` (a part's usual row count) sets the filters' size. Bounds compare as
+    text. Null keys are not indexed: an equality finds none.
     """
     bits = max(1, -(-rows * BITS_A_ROW // WORD)) * WORD
     out = None
     for key in keys:
-        text = F.col(key).cast("string")
-        known = part.where(F.col(key).isNotNull()).select(text.alias("k"))
-        bounds = known.agg(F.min("k").alias("low"), F.max("k").alias("high"))
+        known = parts.where(F.col(key).isNotNull()).select("path", F.col(key).cast("string").alias("k"))
         at = _bit(F.col("k"), F.lit(bits))
-        words = known.groupBy(F.bitmap_bucket_number(at).alias("word")).agg(
-            F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("filter"))
-        own = words.crossJoin(F.broadcast(bounds)).select(
-            F.lit(path).alias("path"), F.lit(key).alias("key"), "low", "high", F.lit(bits).cast("long").alias("bits"),
-            "word", "filter")
+        words = known.groupBy("path", F.bitmap_bucket_number(at).alias("word")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("filter"),
+            F.min("k").alias("low"), F.max("k").alias("high"))
+        # A part's bounds are on each of its rows: bounds of the keys in that bitmap cut a little more.
+        own = words.select("path", F.lit(key).alias("key"), "low", "high", F.lit(bits).cast("long").alias("bits"), "word", "filter")
         out = own if out is None else out.unionByName(own)
     return out
 
 
+def index_part(part: DataFrame, path: str, keys: Sequence[str], rows: int) -> DataFrame:
+    """The index rows of one part."""
+    return index_parts(part.withColumn("path", F.lit(path)), keys, rows)
+
+
 def parts_with(index: DataFrame, asked: DataFrame, key: str, column: str | None = None) -> list[str]:
     """Paths of the parts that may hold a key of ``asked`` (one row a part comes back)."""
     column = column or key

@@ -127,3 +127,24 @@ def test_load_ids_follow_the_log(spark):
     assert audit.next_load_id(None) == 1
     assert audit.next_load_id(audit.audit_started(spark, 7, "INITIAL", "x").limit(0)) == 1
     assert audit.next_load_id(audit.audit_started(spark, 7, "INITIAL", "x")) == 8
+
+
+def test_the_correction_rewrites_only_its_years(spark):
+    run = warehouse(spark, SF)
+    before, after = run.parts("secondary"), run.parts("correction")
+    years = set(range(warehouse_run.CORRECTION.start.year, warehouse_run.CORRECTION.end.year + 1))
+    for t in upkeep.BY_YEAR:
+        assert len({upkeep.part_year(p) for p in before[t]}) > 3
+        changed = [p for p in before[t] if p not in after[t]]
+        assert changed and {upkeep.part_year(p) for p in changed} <= years
+        assert len(after[t]) == len(before[t])
+    whole = wh.correct_period(*(run.secondary().tables()[t] for t in upkeep.BY_YEAR), warehouse_run.CORRECTION)
+    assert rows(run.corrected().orders) == rows(whole[0].select(run.corrected().orders.columns))
+    assert run.corrected().order_details.count() == whole[1].count()
+
+
+def test_orders_without_a_date_are_kept(spark, store):
+    lines = [line(1), line(2, order_date="not a date")]
+    parts = upkeep.first_state(store, "dateless", wh.initial_load(stage(spark, lines)))
+    assert {upkeep.part_year(p) for p in parts["orders"]} == {1999, None}
+    assert upkeep.read(spark, "orders", parts["orders"]).count() == upkeep.read(spark, "order_details", parts["order_details"]).count() == 2
