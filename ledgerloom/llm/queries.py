@@ -21,7 +21,8 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.without_repeats(table(spark, sf_dir, "documents"), length=400).select(
-        "doc_id", "n_bytes", "n_removed", F.coalesce(F.size("spans"), F.lit(0)).cast("long").alias("n_spans"), "kept_sha256")
+        "doc_id", "n_bytes", "n_removed", F.coalesce(F.size("spans"), F.lit(0)).cast("long").alias("n_spans"), "kept_sha256",
+        (F.col("n_removed") > 0).alias("has_repeats"))
 
 
 # (verdict, host, path): fixed values.

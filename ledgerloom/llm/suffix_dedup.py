@@ -35,7 +35,8 @@ from ledgerloom.llm.shared import mixed, raw_bytes, staged
 from ledgerloom.llm.suffix_sort import suffix_arrays
 
 CHUNK = 1 << 20
-BATCH = 1 << 20
+BATCH = 1 << 20         # bytes of groups that are sorted in one go
+HELD = 8 * BATCH        # bytes of groups that are put in order of size first
 _BASE = 0x9E3779B97F4A7C15 | 1
 _RANGES = "key long, sid_a long, sid_b long, at int, upto int"
 
@@ -264,19 +265,32 @@ def _sort_groups(length: int):
                 [pa.array(c, pa.int64() if i < 3 else pa.int32()) for i, c in enumerate(zip(*rows))],
                 ["key", "sid_a", "sid_b", "at", "upto"])
 
+    def by_size(groups: list[list[tuple]]) -> Iterator[pa.RecordBatch]:
+        # A go takes as many steps as its longest group has places: groups of like size share one.
+        sizes = [sum(len(row[3]) + 1 for row in g) for g in groups]
+        go, held = [], 0
+        for i in sorted(range(len(groups)), key=sizes.__getitem__):
+            if held and held + sizes[i] > BATCH:
+                yield from solve(go)
+                go, held = [], 0
+            go.append(groups[i])
+            held += sizes[i]
+        if go:
+            yield from solve(go)
+
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         groups, held = [], 0
         for batch in rows:
             for row in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 if not groups or groups[-1][-1][0] != row[0]:
-                    if held > BATCH:
-                        yield from solve(groups)
+                    if held > HELD:
+                        yield from by_size(groups)
                         groups, held = [], 0
                     groups.append([])
                 groups[-1].append(row)
                 held += len(row[3]) + 1
         if groups:
-            yield from solve(groups)
+            yield from by_size(groups)
     return run
 
 
