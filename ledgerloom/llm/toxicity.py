@@ -27,7 +27,9 @@ from ledgerloom.llm.shared import WordHashes, lower_words, staged, word_shingles
 
 TOKEN = re.compile(r"\w+")
 BEGINNINGS = (6, 4)
-EVIDENCE = 50.0
+EVIDENCE = 50.0         # evidence beyond 10 ** -50 counts the same
+NO_EVIDENCE = -4.0      # the bias of a model that learned nothing
+LEAST_DOUBT = -0.1      # the largest bias of one that did
 
 
 def word_tokens(word: str) -> list[str]:
@@ -40,7 +42,8 @@ class Model(NamedTuple):
     extreme-value parameters and the two calibration weights.
 
     Without a positive ``slope`` the labels told nothing apart (none, one class
-    only, or no token that stands out): such a model rejects no text.
+    only, or no token that stands out). A text without evidence always scores
+    below a half, whatever share of the labels is toxic.
     """
 
     log_odds: dict[str, float]
@@ -50,8 +53,12 @@ class Model(NamedTuple):
     bias: float
     slope: float
 
+    def chance(self, x: float) -> float:
+        """The score of a text with evidence ``x``."""
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.bias + self.slope * x))))
+
     def rejects(self, x: float) -> bool:
-        return self.slope > 0 and self.bias + self.slope * x >= 0
+        return self.chance(x) >= 0.5
 
 
 class Passage(NamedTuple):
@@ -202,7 +209,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                                       F.count(F.when(F.col("y") == 0, 1)).alias("good")), "toxicity-tokens")
     bad, good = single.agg(F.sum("bad"), F.sum("good")).first()
     if not bad or not good:
-        return Model({}, gap_cost, 1.0, 1.0, -4.0 if bad or good else 0.0, 0.0)
+        return Model({}, gap_cost, 1.0, 1.0, NO_EVIDENCE, 0.0)
     alpha = F.lit(0.5) + F.lit(prior) * (F.col("bad") + F.col("good")) / F.lit(float(bad + good))
     up, down = F.col("bad") + alpha, F.col("good") + alpha
     odds = F.log(up / (F.lit(bad + prior) - up)) - F.log(down / (F.lit(good + prior) - down))
@@ -234,7 +241,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     points = chosen.mapInArrow(measured, "y int, x double").toPandas()  # at most max_labelled rows
     bias, slope = _calibrated(points["x"].to_numpy(), points["y"].to_numpy(float))
-    return Model(log_odds, gap_cost, rate, scale, bias, slope)
+    if slope <= 0:
+        return Model(log_odds, gap_cost, rate, scale, NO_EVIDENCE, 0.0)
+    return Model(log_odds, gap_cost, rate, scale, min(bias, LEAST_DOUBT), slope)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
@@ -242,7 +251,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """``(doc_id, score, predicted, spans)``, one row per input row.
 
     ``score`` is the chance, 0 to 1, that the text is toxic; ``predicted`` is 1
-    from 0.5 on, but never by a model without evidence; ``spans`` are the significant passages as [start, end) in code
+    from 0.5 on; ``spans`` are the significant passages as [start, end) in code
     points. Null and empty texts have no evidence and the score that goes with
     it. Equal texts score alike; ids may be null or repeated; other columns are
     ignored.
@@ -252,8 +261,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             chance, predicted, spans = [], [], []
             for text in batch.column(1).to_pylist():
                 x = evidence(text, model.log_odds, model.gap_cost, model.rate, model.scale)
-                chance.append(1 / (1 + math.exp(-max(-30.0, min(30.0, model.bias + model.slope * x)))))
-                predicted.append(int(model.rejects(x)))
+                chance.append(model.chance(x))
+                predicted.append(int(chance[-1] >= 0.5))
                 spans.append([{"start": p.start, "end": p.end} for p in passages(text, model, most_expected)] if x else [])
             shape = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             yield pa.RecordBatch.from_arrays(

@@ -101,7 +101,7 @@ def test_edges(spark, doc_frame, world):
     assert toxicity.score(doc_frame(rows).where(F.lit(False)), model).count() == 0
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     plain = toxicity.train(doc_frame(rows), none)
-    assert {r.score for r in toxicity.score(doc_frame(rows), plain).collect()} == {0.5}
+    assert len({r.score for r in toxicity.score(doc_frame(rows), plain).collect()}) == 1
     ones = spark.createDataFrame([(2, 1, 0)], "doc_id long, quality int, toxic int")
     assert {r.predicted for r in toxicity.score(doc_frame(rows), toxicity.train(doc_frame(rows), ones)).collect()} == {0}
 
@@ -111,14 +111,15 @@ SHAPE = "doc_id long, quality int, toxic int"
 
 @pytest.mark.parametrize("labels", [[], [(0, 1, None), (1, 1, None)], [(9_000, 1, 1), (9_001, 1, 0)],
                                     [(i, 1, 1) for i in range(9)], [(i, 1, 0) for i in range(9)],
-                                    [(i, 1, int(i < 6)) for i in range(9)]],
-                         ids=["none", "null", "elsewhere", "toxic", "clean", "nothing stands out"])
+                                    [(i, 1, int(i < 6)) for i in range(9)], [(i, 1, int(i < 8)) for i in range(9)]],
+                         ids=["none", "null", "elsewhere", "toxic", "clean", "nothing stands out", "mostly toxic"])
 def test_a_model_without_evidence_rejects_nothing(spark, doc_frame, tmp_path, labels):
     import corpus_pipeline
     docs = doc_frame([f"plain text {i}" for i in range(20)] + [None], extra=False)
     frame = spark.createDataFrame(labels, SHAPE)
     model = toxicity.train(docs, frame)
-    assert {r.predicted for r in toxicity.score(docs, model).collect()} == {0}
+    scored = toxicity.score(docs, model).collect()
+    assert all(r.predicted == 0 and r.score < 0.5 for r in scored)
     assert toxicity.without_toxic(docs, model).count() == 21
     frame.write.parquet(str(tmp_path / "labels.parquet"))
     assert corpus_pipeline.drop_toxic(spark, docs, str(tmp_path)).count() == 21
@@ -133,3 +134,20 @@ def test_the_bounded_sample_is_of_labels_that_have_a_document(spark, doc_frame,
     assert model.log_odds and model == plain
     repeated = toxicity.train(doc_frame(rows + rows[:1] * 500), train, max_labelled=960)
     assert repeated.log_odds == plain.log_odds and abs(repeated.bias - plain.bias) < 1e-6
+
+
+@pytest.mark.parametrize("bias, slope", [(-4.0, 0.0), (-0.1, 0.3), (-2.0, 1e-9), (-1e-17, 1e-18)])
+def test_predicted_follows_from_the_score(doc_frame, world, bias, slope):
+    model = world[2]._replace(bias=bias, slope=slope)
+    rows = [(i, t) for i, t in enumerate(["", "scum", "scum scum idiot", "plain words only", None])]
+    got = toxicity.score(doc_frame(rows), model).collect()
+    assert all(r.predicted == int(r.score >= 0.5) for r in got)
+    assert toxicity.without_toxic(doc_frame(rows), model).count() == sum(1 - r.predicted for r in got)
+
+
+def test_a_text_without_evidence_is_kept_though_most_labels_are_toxic(spark, doc_frame):
+    rng = random.Random(5)
+    rows = [(i, prose(rng, 30) + (" scum idiot scum" if i % 5 else "")) for i in range(300)]
+    model = toxicity.train(doc_frame(rows), spark.createDataFrame([(i, 1, int(i % 5 > 0)) for i in range(300)], SHAPE))
+    got = {r.doc_id: r for r in toxicity.score(doc_frame(rows), model).collect()}
+    assert not any(got[i].predicted for i in range(0, 300, 5))
