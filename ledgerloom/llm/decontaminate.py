@@ -92,9 +92,12 @@ def _similarity(window: np.ndarray, item: Counter) -> float:
 
 def leaks(text: bytes | None, index: Index, least: float, radius: int,
           hashes: WordHashes | None = None) -> list[tuple[int, float, int, int, int]]:
-    """``(item_id, similarity, first word, words, differing bits)`` of the best window for each item found."""
+    """``(item_id, similarity, first word, words, differing bits)`` of the best window for each item found.
+
+    Items are told apart by their place in the index: ids may repeat or be null.
+    """
     words = lower_words(text)
-    best: dict[int, tuple] = {}
+    best: dict[tuple[int, int], tuple] = {}
     for width, (known, keys, member) in index.by_width.items():
         if len(words) < width:
             continue
@@ -107,10 +110,10 @@ def leaks(text: bytes | None, index: Index, least: float, radius: int,
             for g in groups:
                 places.setdefault(g, []).append(p)
         for g, at in places.items():
-            for found in _windows(h, len(words), np.array(at), index.groups[g], least, radius):
-                if found[0] not in best or found[1:] > best[found[0]][1:]:
-                    best[found[0]] = found
-    return [(i, s, -start, n, -bits) for i, s, bits, start, n in best.values()]
+            for item, *found in _windows(h, len(words), np.array(at), index.groups[g], least, radius):
+                if (g, item) not in best or found > best[g, item]:
+                    best[g, item] = found
+    return [(index.groups[g].ids[i], s, -start, n, -bits) for (g, i), (s, bits, start, n) in best.items()]
 
 
 def _windows(h: np.ndarray, n_words: int, at: np.ndarray, items: Items, least: float, radius: int) -> Iterator[tuple]:
@@ -139,7 +142,7 @@ def _windows(h: np.ndarray, n_words: int, at: np.ndarray, items: Items, least: f
                     s = int(own[w])
                     similar = _similarity(h[s:s + span], items.counts[i])
                     if similar >= least:
-                        yield items.ids[i], similar, -apart, -s, span + items.width - 1
+                        yield i, similar, -apart, -s, span + items.width - 1
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",

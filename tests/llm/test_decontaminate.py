@@ -92,3 +92,13 @@ def test_empty_tables_and_repeats(spark, doc_frame):
     assert decontaminate.contaminated(docs.where(F.lit(False)), bench).count() == 0
     assert decontaminate.contaminated(docs, bench.where(F.lit(False))).count() == 0
     assert decontaminate.without_leaks(docs, bench.where(F.lit(False))).count() == 3
+
+
+def test_rows_do_not_depend_on_the_blocks(spark, doc_frame):
+    rng = random.Random(8)
+    items = [(rng.choice([1, 2, None, k]), prose(rng, 14)) for k in range(12)]
+    items += [(7, items[0][1]), (7, items[0][1]), (1, items[3][1])]         # ids and texts that repeat
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = doc_frame([prose(rng, 20) + " " + " ".join(t for _, t in rng.sample(items, 3)) + " " + prose(rng, 9) for _ in range(15)])
+    found = [sorted(map(str, decontaminate.contaminated(docs, bench, block_bytes=size).collect())) for size in (4 << 20, 400, 100)]
+    assert found[0] and found[0] == found[1] == found[2]
