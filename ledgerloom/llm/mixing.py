@@ -6,7 +6,9 @@ method moves the vector of these probabilities, three documents at a time,
 along the null space of two constraints, the document total and the word
 total, until each is 0 or 1. What a block cannot settle (at most two documents)
 flies again in the next round with the leftovers of other blocks, so only one
-small landing problem of at most two documents a source remains.
+small landing problem of at most two documents a source remains. It is settled
+by a bounded search: entries of the last block are turned, up to three at a
+time, while that brings the words taken nearer to the target.
 """
 
 from __future__ import annotations
@@ -20,6 +22,9 @@ from ledgerloom.llm.shared import staged
 from ledgerloom.operators.keys import assign_dense_keys
 
 TINY = 1e-9
+TRIPLES = 128
+FEW = 14
+HEAVY, FAR = 4, 0.002
 
 
 def word_count(text):
@@ -90,25 +95,90 @@ def fly(p: np.ndarray, size: np.ndarray, seed: int) -> np.ndarray:
 
 
 def land(p: np.ndarray, size: np.ndarray, goal: float) -> np.ndarray:
-    """Settle the last two entries or fewer, and turn at most one other, so that the
-    words taken come nearest to ``goal``."""
+    """Settle the last two entries or fewer so that the words taken come nearest to ``goal``, then turn
+    up to three entries at a time while that brings them nearer. Of few entries all choices are tried."""
+    if len(p) <= FEW:
+        picks = (np.arange(1 << len(p))[:, None] >> np.arange(len(p))) & 1
+        return picks[int(np.abs(picks @ size - goal).argmin())].astype(float)
     left = np.flatnonzero((p > 0) & (p < 1))
-    best = None
+    x, off = None, None
     for pick in range(1 << len(left)):
-        x = p.copy()
-        x[left] = [pick >> k & 1 for k in range(len(left))]
-        miss = float((x * size).sum()) - goal
-        turned = np.abs(miss + np.where(x == 1, -size, size))
-        turn = int(turned.argmin())
-        for off, other in ((abs(miss), None), (float(turned[turn]), turn)):
-            if best is None or off < best[0] - 0.5:
-                best = (off, x, other)
-    x, other = best[1], best[2]
-    if other is not None:
-        x[other] = 1 - x[other]
+        y = p.copy()
+        y[left] = [pick >> k & 1 for k in range(len(left))]
+        miss = abs(float((y * size).sum()) - goal)
+        if off is None or miss < off - 0.5:
+            x, off = y, miss
+    x, off = _climb(x, size, goal)
+    if off > FAR * goal:
+        # One document that outweighs the rest may have to change sides, and the others with it.
+        by_size = np.argsort(-size, kind="stable")
+        heavy, light = by_size[:HEAVY], by_size[HEAVY:]
+        for pick in range(1 << len(heavy)):
+            y = np.zeros(len(p))
+            y[heavy] = [pick >> k & 1 for k in range(len(heavy))]
+            room = goal - float((y * size).sum())
+            for i in light.tolist():
+                if size[i] <= room:
+                    y[i], room = 1, room - size[i]
+            y, miss = _climb(y, size, goal)
+            if miss < off - 0.5:
+                x, off = y, miss
     return x
 
 
+def _climb(x: np.ndarray, size: np.ndarray, goal: float) -> tuple[np.ndarray, float]:
+    """Turn up to three entries at a time while that brings the words nearer to ``goal``."""
+    off = abs(float((x * size).sum()) - goal)
+    while off >= 0.5:
+        best, turned = _turns(np.where(x == 1, -size, size).astype(np.int64), float((x * size).sum()) - goal)
+        if best >= off - 0.5:
+            break
+        x[turned] = 1 - x[turned]
+        off = best
+    return x, off
+
+
+def _turns(change: np.ndarray, miss: float) -> tuple[float, list[int]]:
+    """The one, two or three entries whose changes together come nearest to undoing ``miss``.
+
+    All singles and pairs are looked at; triples of a pair among ``TRIPLES`` entries,
+    spread over the sizes, with any third.
+    """
+    order = np.argsort(change, kind="stable")
+    ranked = change[order]
+    n = len(ranked)
+
+    def nearest(wanted: np.ndarray, barred: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """For each wanted change the position of the nearest one that is not barred, and how far off it is."""
+        at = np.searchsorted(ranked, wanted)
+        where, off = np.zeros(len(wanted), np.int64), np.full(len(wanted), np.inf)
+        for step in range(-len(barred) - 1, len(barred) + 1):
+            k = at + step
+            ok = (k >= 0) & (k < n)
+            for other in barred:
+                ok &= k != other
+            gap = np.where(ok, np.abs(ranked[np.clip(k, 0, n - 1)] - wanted), np.inf)
+            better = gap < off
+            where[better], off[better] = k[better], gap[better]
+        return where, off
+
+    own = np.arange(n)
+    one, off1 = nearest(np.array([-miss]), [])
+    found = [(float(off1[0]), [int(one[0])])]
+    if n > 1:
+        two, off2 = nearest(-miss - ranked, [own])
+        i = int(off2.argmin())
+        found.append((float(off2[i]), [i, int(two[i])]))
+    if n > 2:
+        few = np.unique(np.linspace(0, n - 1, min(n, TRIPLES)).astype(np.int64))
+        a, b = (few[k] for k in np.triu_indices(len(few), 1))
+        three, off3 = nearest(-miss - ranked[a] - ranked[b], [a, b])
+        i = int(off3.argmin())
+        found.append((float(off3[i]), [int(a[i]), int(b[i]), int(three[i])]))
+    best = min(found, key=lambda f: (f[0] // 0.5, len(f[1])))
+    return best[0], order[best[1]].tolist()
+
+
 def _round(number: int):
     def run(block: pd.DataFrame) -> pd.DataFrame:
         block = block.sort_values(["order", "doc_id", "size"], kind="stable", na_position="first")

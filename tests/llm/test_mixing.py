@@ -85,3 +85,52 @@ def test_repeated_rows_and_empty_tables(doc_frame):
     assert mixing.mix(doc_frame(rows).where(F.lit(False))).count() == 0
     blank = mixing.mix(doc_frame(["", None, " "])).collect()
     assert [(r.size, r.taken) for r in blank] == [(0, 0)] * 3
+
+
+def reachable(sizes, base, goal):
+    """The words nearest to ``goal`` that whole copies can give: each document base or base + 1 times."""
+    sums = 1
+    for n in sizes:
+        sums |= sums << n
+    start = base * sum(sizes)
+    low, high, k = None, None, int(goal) - start
+    for d in range(sum(sizes) + 1):
+        if low is None and k - d >= 0 and sums >> (k - d) & 1:
+            low = start + k - d
+        if high is None and k + d >= 0 and sums >> (k + d) & 1:
+            high = start + k + d
+        if low is not None and high is not None:
+            break
+    return min((x for x in (low, high) if x is not None), key=lambda x: abs(x - goal))
+
+
+def test_words_taken_come_within_a_few_of_what_is_reachable(doc_frame):
+    rng = random.Random(11)
+    lengths = {"a": [rng.randrange(1, 400) for _ in range(120)], "b": [rng.randrange(50, 900) for _ in range(12)],
+               "c": [rng.randrange(20, 300) for _ in range(60)] + [9_000], "d": [rng.randrange(1, 50) for _ in range(500)], "e": [700]}
+    texts, sources = zip(*[("w " * n, s) for s, own in lengths.items() for n in own])
+    rows = mixing.mix(doc_frame(list(texts), list(sources))).collect()
+    taken, target = defaultdict(int), {}
+    for r in rows:
+        taken[sources[r.doc_id]] += r.taken
+        target[sources[r.doc_id]] = r.target
+    for s, own in lengths.items():
+        best = reachable(own, int(target[s] / sum(own) + 1e-9), target[s])
+        assert abs(taken[s] - target[s]) <= abs(best - target[s]) + 3, s
+
+
+def test_landing_by_brute_force():
+    rng = np.random.default_rng(3)
+    for _ in range(60):
+        n = int(rng.integers(1, 40))
+        size = rng.integers(1, 500, n)
+        p = rng.integers(0, 2, n).astype(float)
+        p[rng.permutation(n)[:2]] = rng.random(min(n, 2))
+        goal = float((p * size).sum())
+        x = mixing.land(p, size, goal)
+        assert set(np.unique(x)) <= {0.0, 1.0}
+        if n <= 12:
+            picks = (np.arange(1 << n)[:, None] >> np.arange(n)) & 1
+            assert abs(abs((x * size).sum() - goal) - np.abs(picks @ size - goal).min()) < 1e-6
+        elif n >= 25:
+            assert abs((x * size).sum() - goal) <= 5
