@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import decontaminate, line_dedup, mixing, simhash, toxicity
-from ledgerloom.llm.shared import staged, table
+from ledgerloom.llm.shared import free, staged, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,8 +21,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_frequent_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that ten or more documents share; n_chars follows."""
-    cut = line_dedup.without_lines(docs, line_dedup.keep_bitmaps(docs, min_docs=10, min_chars=1))
-    size = F.when(F.col("__llm_dropped").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    (dropped,) = free(docs, "dropped")
+    cut = line_dedup.without_lines(docs, line_dedup.keep_bitmaps(docs, min_docs=10, min_chars=1), dropped=dropped)
+    size = F.when(F.col(dropped).isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return cut.withColumn("n_chars", size).select(*docs.columns)
 
 

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.shared import raw_bytes, staged
+from ledgerloom.llm.shared import free, raw_bytes, staged
 
 BLANK = b" \t\n\r\x0b\x0c"
 _LINES = "h1 long, h2 long, doc_id long, text_key long, n_lines int, positions array<int>"
@@ -203,22 +203,28 @@ def kept_text(text: bytes, keep: bytes | None) -> bytes:
     return b"\n".join(compress(lines, np.unpackbits(np.frombuffer(zlib.decompress(keep), np.uint8), count=len(lines))))
 
 
-def with_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of ``docs`` plus ``__llm_keep`` and ``__llm_dropped``; null where every line stays."""
-    right = bitmaps.select(F.col("doc_id").alias("__llm_id"), F.col("text_key").alias("__llm_key"),
-                           F.col("keep").alias("__llm_keep"), F.col("n_dropped").alias("__llm_dropped"))
-    left = docs.withColumn("__llm_hash", F.xxhash64(F.col(f"`{text_col}`")))
-    same = (left[f"`{id_col}`"].cast("long").eqNullSafe(right["__llm_id"])
-            & (left["__llm_hash"] == right["__llm_key"]))
-    return left.join(right.hint("shuffle_hash"), same, "left").drop("__llm_hash", "__llm_id", "__llm_key")
-
-
-def without_lines(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with all columns, its texts cut to the kept lines, and ``__llm_dropped``: the number of
-    lines dropped, null where the text is as it was."""
-    marked = with_bitmaps(docs, bitmaps, id_col, text_col)
-    text_at, keep_at = marked.columns.index(text_col), marked.columns.index("__llm_keep")
-    out = marked.drop("__llm_keep").schema
+def with_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 keep: str = "__llm_keep", dropped: str = "__llm_dropped") -> DataFrame:
+    """All columns of ``docs`` plus the bitmap and the number of lines dropped, null where every line
+    stays. Columns that have the two names already are replaced."""
+    docs = docs.drop(keep, dropped)
+    of_id, of_key, own = free(docs, "__llm_id", "__llm_key", "__llm_hash")
+    right = bitmaps.select(F.col("doc_id").alias(of_id), F.col("text_key").alias(of_key),
+                           F.col("keep").alias(keep), F.col("n_dropped").alias(dropped))
+    left = docs.withColumn(own, F.xxhash64(F.col(f"`{text_col}`")))
+    same = (left[f"`{id_col}`"].cast("long").eqNullSafe(right[of_id])
+            & (left[own] == right[of_key]))
+    return left.join(right.hint("shuffle_hash"), same, "left").drop(own, of_id, of_key)
+
+
+def without_lines(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  dropped: str = "__llm_dropped") -> DataFrame:
+    """``docs`` with all columns, its texts cut to the kept lines, and ``dropped``: the number of lines
+    dropped, null where the text is as it was (a column of that name is replaced)."""
+    (keep_col,) = free(docs, "__llm_keep")
+    marked = with_bitmaps(docs, bitmaps, id_col, text_col, keep_col, dropped)
+    text_at, keep_at = marked.columns.index(text_col), marked.columns.index(keep_col)
+    out = marked.drop(keep_col).schema
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:

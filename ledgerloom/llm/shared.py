@@ -44,6 +44,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free(df: DataFrame, *names: str) -> list[str]:
+    """Each name, lengthened by ``_`` until it is no column of ``df`` (Spark does not tell cases apart)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def raw_bytes(column: pa.Array) -> list:
     """The UTF-8 bytes of each text of an Arrow column; None for null."""
     return column.cast(pa.binary()).to_pylist()

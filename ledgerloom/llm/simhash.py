@@ -14,7 +14,7 @@ over the distinct fingerprints is a tree:
 
 An upper node with more than ``node_limit`` fingerprints is split by a further
 pattern over its free bits, in the same lossless way. After three levels at
-most 2**18 fingerprints can share a pattern, so a task's group is bounded.
+most 2**20 fingerprints can share a pattern, so a task's group is bounded.
 A node hands on a spanning forest of its links, never all pairs.
 """
 
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.shared import (components, hash_all, lower_words, raw_bytes, shingle_bytes,
+from ledgerloom.llm.shared import (components, free, hash_all, lower_words, raw_bytes, shingle_bytes,
                                    staged)
 
 LEAF, FANOUT, PAIRS = 16, 8, 1 << 20
@@ -261,14 +261,15 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # A group of one row needs no choice; the others name their rows to drop.
     groups = staged(found.groupBy("root").agg(first.alias("first"), F.sum("n").alias("rows")).where("rows > 1"), "simhash-groups")
     key = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key", "n")
+    of_id, of_key, own = free(docs, "__llm_id", "__llm_key", "__llm_hash")
     drop = (found.join(groups, "root").where(key != F.col("first"))
-            .select(F.col("doc_id").alias("__llm_id"), F.col("text_key").alias("__llm_key")))
-    hashed = docs.withColumn("__llm_hash", F.xxhash64(F.col(f"`{text_col}`")))
-    same = hashed[f"`{id_col}`"].cast("long").eqNullSafe(F.col("__llm_id")) & (F.col("__llm_hash") == F.col("__llm_key"))
+            .select(F.col("doc_id").alias(of_id), F.col("text_key").alias(of_key)))
+    hashed = docs.withColumn(own, F.xxhash64(F.col(f"`{text_col}`")))
+    same = hashed[f"`{id_col}`"].cast("long").eqNullSafe(F.col(of_id)) & (F.col(own) == F.col(of_key))
     kept = hashed.join(drop, same, "left_anti")
-    repeated = staged(groups.where("first.n > 1").select(F.col("first.doc_id").alias("__llm_id"), F.col("first.text_key").alias("__llm_key")),
+    repeated = staged(groups.where("first.n > 1").select(F.col("first.doc_id").alias(of_id), F.col("first.text_key").alias(of_key)),
                       "simhash-repeated")
     if repeated.isEmpty():
-        return kept.drop("__llm_hash")
-    once = kept.join(repeated, same, "left_semi").dropDuplicates([id_col, "__llm_hash"])
-    return kept.join(repeated, same, "left_anti").union(once).drop("__llm_hash")
+        return kept.drop(own)
+    once = kept.join(repeated, same, "left_semi").dropDuplicates([id_col, own])
+    return kept.join(repeated, same, "left_anti").union(once).drop(own)

@@ -134,3 +134,19 @@ def test_many_texts_and_repeated_rows_of_one_id(spark, doc_frame, keep_first, mi
     else:
         assert not left
         assert sorted(r.text for r in out) == sorted(t[5:] for _, t in rows)
+
+
+def test_columns_with_the_operators_own_names(spark, doc_frame):
+    import corpus_pipeline
+    rows = [(i, f"shared line\nown {i}") for i in range(12)] + [(20, "alone")]
+    docs = doc_frame(rows, extra=False)
+    for name in ("__llm_keep", "__LLM_hash", "__llm_id", "__llm_key", "__llm_dropped", "dropped", "Dropped_"):
+        docs = docs.withColumn(name, F.lit(f"own {name}"))
+    cut = corpus_pipeline.drop_frequent_lines(spark, docs, "")
+    assert cut.columns == docs.columns
+    got = {r.doc_id: r for r in cut.collect()}
+    assert got[3].text == "own 3" and got[20].text == "alone"
+    assert all(r["__llm_keep"] == "own __llm_keep" and r["dropped"] == "own dropped" for r in got.values())
+    once = corpus_pipeline.drop_near_duplicates(spark, docs.union(docs.limit(1)), "")
+    assert once.columns == docs.columns
+    assert all(r["__LLM_hash"] == "own __LLM_hash" for r in once.collect())
