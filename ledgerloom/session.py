@@ -73,14 +73,19 @@ def scratch_folder(spark: SparkSession, kind: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{SCRATCH}/{kind}-{uuid.uuid4().hex}"
 
 
+# Folders under the checkpoint folder that hold files of single calls.
+CALL_FOLDERS = (SCRATCH, "ledgerloom-llm", "ledgerloom-keys")
+
+
 def remove_scratch(spark: SparkSession, older_than_hours: float = 48.0) -> int:
-    """Delete the calls' scratch folders that are older than a limit; returns how many."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/{SCRATCH}")
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return 0
-    limit = (time.time() - older_than_hours * 3600) * 1000
-    old = [s.getPath() for s in fs.listStatus(path) if s.getModificationTime() < limit]
-    for p in old:
-        fs.delete(p, True)
-    return len(old)
+    """Delete the calls' own folders that are older than a limit; returns how many."""
+    limit, gone = (time.time() - older_than_hours * 3600) * 1000, 0
+    for name in CALL_FOLDERS:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}")
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not fs.exists(path):
+            continue
+        for s in fs.listStatus(path):
+            if s.getModificationTime() < limit:
+                gone += fs.delete(s.getPath(), True)
+    return gone
