@@ -254,11 +254,33 @@ def covered(starts: np.ndarray, length: int) -> list[tuple[int, int]]:
     return list(zip(starts[np.append(0, gap + 1)].tolist(), (starts[np.append(gap, len(starts) - 1)] + length).tolist()))
 
 
-def _sort_groups(length: int):
-    """Ranges of repeated bytes in the segments of each group, from rows (key, sid_a, sid_b, data) sorted by key."""
+def _in_doubt(group: list[tuple], length: int, seed_bytes: int) -> list[tuple]:
+    """The segments of a group that can share a window with another one.
+
+    Equal windows hold the group's anchor at the same offset, and of the bytes
+    beside it half at least on one side. A segment whose anchor with that half
+    before it, and with that half after it, is met in no other has no such window.
+    """
+    half = (length - seed_bytes) // 2
+    sides: dict[tuple[int, bytes], int] = {}
+    own = []
+    for _, _, _, off, data in group:
+        pair = []
+        if off >= half:
+            pair.append((0, data[off - half:off + seed_bytes]))
+        if off + seed_bytes + half <= len(data):
+            pair.append((1, data[off:off + seed_bytes + half]))
+        own.append(pair)
+        for side in pair:
+            sides[side] = sides.get(side, 0) + 1
+    return [row for row, pair in zip(group, own) if any(sides[side] > 1 for side in pair)]
+
+
+def _sort_groups(length: int, seed_bytes: int):
+    """Ranges of repeated bytes in the segments of each group, from rows (key, sid_a, sid_b, off, data) sorted by key."""
     def solve(groups: list[list[tuple]]) -> Iterator[pa.RecordBatch]:
         rows = [(*row[:3], low, high)
-                for group, starts in zip(groups, repeated_windows([[r[3] for r in g] for g in groups], length))
+                for group, starts in zip(groups, repeated_windows([[r[4] for r in g] for g in groups], length))
                 for row, own in zip(group, starts) for low, high in covered(own, length)]
         if rows:
             yield pa.RecordBatch.from_arrays(
@@ -267,7 +289,8 @@ def _sort_groups(length: int):
 
     def by_size(groups: list[list[tuple]]) -> Iterator[pa.RecordBatch]:
         # A go takes as many steps as its longest group has places: groups of like size share one.
-        sizes = [sum(len(row[3]) + 1 for row in g) for g in groups]
+        groups = [g for g in (_in_doubt(g, length, seed_bytes) for g in groups) if len(g) > 1]
+        sizes = [sum(len(row[4]) + 1 for row in g) for g in groups]
         go, held = [], 0
         for i in sorted(range(len(groups)), key=sizes.__getitem__):
             if held and held + sizes[i] > BATCH:
@@ -281,14 +304,14 @@ def _sort_groups(length: int):
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         groups, held = [], 0
         for batch in rows:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            for row in zip(*(batch.column(i).to_pylist() for i in range(5))):
                 if not groups or groups[-1][-1][0] != row[0]:
                     if held > HELD:
                         yield from by_size(groups)
                         groups, held = [], 0
                     groups.append([])
                 groups[-1].append(row)
-                held += len(row[3]) + 1
+                held += len(row[4]) + 1
         if groups:
             yield from by_size(groups)
     return run
@@ -367,8 +390,8 @@ def repeated_ranges(docs: DataFrame, length: int = 400, seed_bytes: int = 200, g
         per_key = pieces.groupBy("key").agg(F.count("*").alias("different"))
         large = staged(per_key.where(F.col("different") > group_limit).select("key"), "large-groups")
         small = pieces.join(large, "key", "left_anti").join(per_key.where("different > 1").select("key"), "key", "left_semi")
-        sorted_ = staged(small.select(*sid, "data").repartition("key").sortWithinPartitions(*sid)
-                         .mapInArrow(_sort_groups(length), _RANGES), "sorted-ranges")
+        sorted_ = staged(small.select(*sid, "off", "data").repartition("key").sortWithinPartitions(*sid)
+                         .mapInArrow(_sort_groups(length, seed_bytes), _RANGES), "sorted-ranges")
         found.append((sorted_, owners))
         if large.isEmpty():
             break
