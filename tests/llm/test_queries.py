@@ -89,7 +89,7 @@ def test_executors_need_not_have_the_package(tmp_path):
             "from ledgerloom.session import build_session\n"
             "from ledgerloom.llm.queries import QUERIES\n"
             "s = build_session(master='local[2]', shuffle_partitions=2, extra={'spark.driver.memory': '2g'})\n"
-            "for n in ('op2_suffix_dedup', 'op4_quality', 'op5_mixing', 'op7_chat_tree', 'op8_fingerprints', 'op9_decontaminate', 'op10_toxicity'):\n"
+            "for n in ('op2_suffix_dedup', 'op4_quality', 'op5_mixing', 'op7_chat_tree', 'op8_fingerprints', 'op9_decontaminate', 'op10_toxicity', 'op11_packing', 'op12_spelling', 'op13_merkle'):\n"
             "    QUERIES[n](s, sys.argv[2]).count()\n")
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     subprocess.run([sys.executable, "-c", code, ROOT, SF], check=True, cwd=tmp_path, env=env, timeout=400)
