@@ -16,7 +16,8 @@ SF = "/root/testdata/sf0.001"
 # covered by the queries they share operators with.
 registry.load_all()
 OWN = registry.QUERIES
-SIDE_EFFECTS = {"streaming_incremental_load", "src_csv_latin1", "src_csv_utf8",
+SIDE_EFFECTS = {"streaming_incremental_load", "streaming_order_details", "streaming_mart_snapshot",
+                "typed_tables", "temp_table_closings", "src_csv_latin1", "src_csv_utf8",
                 "sink_csv_roundtrip", "stage_replace", "stage_append"}
 
 
