@@ -47,20 +47,19 @@ def dq_unique(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rows beyond the first for each key value (a NULL key counts as one such
     row). Each table is scanned once for all its keys, and all keys of all
     tables are counted by one grouping, combined before the shuffle."""
-    def named(t: str, k: str) -> list[Column]:
-        return [F.lit(t).alias("table_name"), F.lit(k).alias("column_name")]
+    named = [(t, k) for t, keys in UNIQUE.items() for k in keys]
+    number = {n: i for i, n in enumerate(named)}           # a key's number is moved with its values, not its name
     values = [tables[t].select(F.explode(F.array(*[
-        F.struct(*named(t, k), F.col(k).cast("string").alias("_k")) for k in keys])).alias("x")).select("x.*")
+        F.struct(F.lit(number[t, k]).alias("_key"), F.col(k).cast("string").alias("_k")) for k in keys])).alias("x")).select("x.*")
         for t, keys in UNIQUE.items()]
-    per = _union(values).groupBy("table_name", "column_name", "_k").agg(F.count(F.lit(1)).alias("_n"))
-    beyond = per.select("table_name", "column_name",
-                        F.when(F.col("_k").isNull(), F.col("_n")).otherwise(F.col("_n") - 1).alias("_v"))
+    per = _union(values).groupBy("_key", "_k").agg(F.count(F.lit(1)).alias("_n"))
+    beyond = per.groupBy("_key").agg(F.sum(
+        F.when(F.col("_k").isNull(), F.col("_n")).otherwise(F.col("_n") - 1)).alias("_v"))
     spark = next(iter(tables.values())).sparkSession
-    every = spark.range(1).select(F.explode(F.array(*[
-        F.struct(*named(t, k), F.lit(0).cast("long").alias("_v")) for t, keys in UNIQUE.items() for k in keys])).alias("x"))
-    return (beyond.unionByName(every.select("x.*")).groupBy("table_name", "column_name")
-            .agg(F.sum("_v").alias("violations"))
-            .select(F.lit("unique").alias("rule"), "table_name", "column_name", "violations"))
+    every = spark.range(len(named)).select(F.col("id").cast("int").alias("_key"), F.lit(0).cast("long").alias("_v"))
+    table, column = (F.element_at(F.array(*[F.lit(n[i]) for n in named]), F.col("_key") + 1) for i in (0, 1))
+    return (beyond.unionByName(every).groupBy("_key").agg(F.sum("_v").alias("violations"))
+            .select(F.lit("unique").alias("rule"), table.alias("table_name"), column.alias("column_name"), "violations"))
 
 
 def dq_foreign_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
