@@ -7,6 +7,7 @@ import datetime as dt
 import pytest
 
 from ledgerloom.operators import time_intelligence as ti
+from ledgerloom.plans import queries_time
 
 
 def plan(df):
@@ -26,3 +27,15 @@ def test_last_year_is_summed_in_the_pass_of_this_year(spark, fact):
     rows = {(r["sales_state"], str(r["period"])): (r["total_sales"], r["sales_sply"]) for r in out.collect()}
     assert rows == {("a", "1999-02-28"): (5.0, None), ("a", "2000-02-28"): (None, 5.0),
                     ("a", "2000-02-29"): (None, 5.0), (None, "2000-02-29"): (7.0, None)}
+
+
+def test_sums_by_state_join_no_product(spark, fact, monkeypatch):
+    class Run:
+        def fact_sales(self):
+            return fact
+
+        def dim_products(self):
+            raise AssertionError("the product dimension is not needed")
+    monkeypatch.setattr(queries_time, "W", lambda s, sf: Run())
+    last = queries_time.sales_ytd_by_state(spark, "").where("date = '2000-12-31'").collect()
+    assert [(r["sales_state"], r["sales_ytd"]) for r in last] == [(None, 7.0)]
