@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.shared import raw_bytes, small_batches, staged
+from ledgerloom.llm.shared import kept_in_worker, raw_bytes, small_batches, staged
 
 Bin = tuple[tuple[int, int], ...]       # (length, count) pairs
 Genome = list[tuple[Bin, int]]          # bins and how often each is used
@@ -37,6 +37,29 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part
 
 # ------------------------------------------------------------------- pieces
 
+def rank_encoding(ranks: str, pattern: str):
+    """The encoding of a file of byte ranks and a splitting rule."""
+    import base64
+
+    import tiktoken
+    with open(ranks, "rb") as f:
+        table = {base64.b64decode(a): int(i) for a, i in map(bytes.split, f)}
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
+
+
+def tokenizer(vocabulary: str):
+    """The tokenizer of a vocabulary file."""
+    import os
+
+    from tokenizers import Tokenizer
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return Tokenizer.from_file(vocabulary)
+
+
+def special_strings(vocabulary: str) -> list[str]:
+    return [t.content for t in tokenizer(vocabulary).get_added_tokens_decoder().values()]
+
+
 def pieces(docs: DataFrame, vocabulary: str, ranks: str, pattern: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
     """Token pieces of every row: ids of the whole text, then ``end_id``, cut where longer than ``capacity``.
 
@@ -46,31 +69,23 @@ def pieces(docs: DataFrame, vocabulary: str, ranks: str, pattern: str, capacity:
     are left to the tokenizer itself. A null or empty text is the end id alone.
     All but a text's first piece are full. Ids may be null or repeat; rows are
     kept apart. ``nth`` counts the pieces of a length in the part that wrote them.
+    A worker loads the vocabularies once for all its tasks, the tokenizer only for a
+    text that needs it.
     """
     small_batches(docs.sparkSession)
+    special = special_strings(vocabulary)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import base64
-        import os
-
-        import tiktoken
         from pyspark import TaskContext
-        from tokenizers import Tokenizer
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         part = TaskContext.get().partitionId()
-        fast = whole = special = None
         seen = np.zeros(capacity + 1, np.int64)
         for b in batches:
-            if fast is None:
-                with open(ranks, "rb") as f:
-                    table = {base64.b64decode(a): int(i) for a, i in map(bytes.split, f)}
-                fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
-                whole = Tokenizer.from_file(vocabulary)
-                special = [t.content for t in whole.get_added_tokens_decoder().values()]
+            fast = kept_in_worker(("ranks", ranks, pattern), lambda: rank_encoding(ranks, pattern))
             rows: list[list] = [[] for _ in range(5)]
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 text = text or ""
                 if any(s in text for s in special):
+                    whole = kept_in_worker(("tokenizer", vocabulary), lambda: tokenizer(vocabulary))
                     ids = np.array(whole.encode(text, add_special_tokens=False).ids, "<u4")
                 else:
                     ids = fast.encode_to_numpy(text, allowed_special=set(), disallowed_special=())

@@ -126,3 +126,29 @@ def test_islands_beat_best_fit(spark):
     again = packing.packing(counts, df, 1000, islands=3, rounds=3, generations=15, population=8)
     assert pieces_in(one, 1000) == Counter(counts)
     assert packing.bins_of(one) == packing.bins_of(again) < first
+
+
+def test_a_worker_loads_its_vocabularies_once(spark, doc_frame, monkeypatch, tmp_path):
+    """Many small tasks share what their worker loaded; without special strings no tokenizer is loaded."""
+    rank_encoding, tokenizer, log = packing.rank_encoding, packing.tokenizer, str(tmp_path)
+
+    def noted(kind, make):
+        def run(*args):
+            import os
+            import uuid
+            open(f"{log}/{kind}-{os.getpid()}-{uuid.uuid4().hex}", "w").close()
+            return make(*args)
+        return run
+    monkeypatch.setattr(packing, "special_strings", lambda v: ["<|endoftext|>"])
+    monkeypatch.setattr(packing, "rank_encoding", noted("ranks", rank_encoding))
+    monkeypatch.setattr(packing, "tokenizer", noted("tokenizer", tokenizer))
+    ranks = str(tmp_path / "own.tiktoken")          # a file of its own: no earlier test's worker knows it
+    with open(RANKS, "rb") as f, open(ranks, "wb") as g:
+        g.write(f.read())
+    texts = [(i, f"text number {i}") for i in range(60)]
+    docs = doc_frame(texts).repartition(30)
+    found = packing.pieces(docs, VOCABULARY, ranks, public_tokenizers.PATTERN, 64).collect()
+    assert sorted(((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in found), key=str) == brute_pieces(texts, 64)
+    loads = Counter(p.name.split("-")[1] for p in tmp_path.glob("ranks-*"))
+    assert loads and set(loads.values()) == {1}
+    assert not list(tmp_path.glob("tokenizer-*"))
