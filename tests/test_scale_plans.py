@@ -65,3 +65,40 @@ def test_parts_of_a_year_are_written_without_a_shuffle(spark):
     upkeep.write_years(store, "orders", lambda: upkeep.with_year(
         spark.createDataFrame([(dt.date(2000, 1, 1),)], "order_date date")))
     assert store.by == upkeep.YEAR and "Rebalance" not in plan(store.frame)
+
+
+def flat_lines(spark, monkeypatch, rows):
+    """``fx_lines`` on tables of the given rows."""
+    monkeypatch.setattr(fixtures, "read_table", lambda s, sf, t: s.createDataFrame(rows[t], TABLES[t]))
+    return fixtures.fx_lines(spark, "")
+
+
+def small_tables():
+    day = dt.datetime(2000, 1, 2)
+    return {"region": [(0, "R")], "nation": [(0, "N", 0)], "customer": [(7, "C", 0, "S")], "part": [(5, "P", "Brand#1", "T", 3)],
+            "orders": [(1, 7, day, "1-URGENT")],
+            "lineitem": [(1, 5, 9, 1, 2.0, 100.0, 0.05, day), (1, 5, 9, 2, None, None, None, None), (99, 5, 9, 1, 1.0, 1e12, 0.0, day)]}
+
+
+def test_lines_meet_orders_as_days_and_cents_with_one_copy_of_each_key(spark, monkeypatch):
+    node = flat_lines(spark, monkeypatch, small_tables())._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() != "Join":
+        node = node.children().apply(0)
+    moved = {}
+    for side in (node.children().apply(0), node.children().apply(1)):
+        for i in range(side.output().size()):
+            moved[side.output().apply(i).name()] = side.output().apply(i).dataType().simpleString()
+    assert {"l_orderkey", "o_orderkey", "l_partkey", "o_custkey"} <= set(moved)
+    assert not {"p_partkey", "c_custkey"} & set(moved)
+    assert not {"double", "timestamp_ntz", "timestamp"} & set(moved.values())
+
+
+def test_values_of_lines_and_lines_without_an_order(spark, monkeypatch):
+    """A price that fits no column matters on joined lines only."""
+    rows = {r["k_line"]: r for r in flat_lines(spark, monkeypatch, small_tables()).collect()}
+    assert set(rows) == {1, 2}
+    one = rows[1]
+    assert (one["row_key"], one["order_date"], one["ship_date"], one["customer_id"], one["product_id"]) == (
+        "1-1-5-9", "2000-01-02", "2000-01-02", "CUST-7", "PROD-5")
+    assert [str(one[c]) for c in ("sales", "quantity", "discount", "profit")] == ["95.00", "2", "0.05", "1.00"]
+    assert [rows[2][c] for c in ("ship_date", "sales", "quantity", "discount", "profit")] == [None] * 5
