@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.session import shuffle_partitions
+
 SPAN = 1 << 20                  # days that a place has room for: years -700 to 2800 around 1970
 _HEADER, _VERSION = 1, 0
 
@@ -50,7 +52,7 @@ def latest_version(headers: DataFrame, versions: DataFrame, values: Sequence[str
     owner or date, the values are null. Owner and id are integers.
     """
     spark = headers.sparkSession
-    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = ranges or shuffle_partitions(spark)
     cuts = np.array(borders(headers, owner, at, ranges), np.int64)
     named = [f"_v{i}" for i in range(len(values))]
     kept = list(headers.columns)

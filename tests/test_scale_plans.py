@@ -39,6 +39,28 @@ def test_partitioned_writes_keep_their_folders_open(spark):
         spark.conf.set(session.WRITERS_CONF, before)
 
 
+def test_shuffles_follow_the_input(spark):
+    few = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    names = (session.INITIAL_CONF, session._SIZED)
+    before = {n: spark.conf.get(n, None) for n in names}
+    try:
+        for n in names:
+            spark.conf.unset(n)
+        session.size_shuffles(spark, session.BYTES_A_PARTITION * few)
+        assert spark.conf.get(session.INITIAL_CONF, None) is None and session.shuffle_partitions(spark) == few
+        session.size_shuffles(spark, session.BYTES_A_PARTITION * 5 * few + 1)
+        assert session.shuffle_partitions(spark) == 5 * few + 1
+        assert f", {5 * few + 1})" in spark.range(9).repartitionByRange("id")._jdf.queryExecution().executedPlan().toString()
+        session.size_shuffles(spark, 1)                                # an earlier, larger input may still be building
+        assert session.shuffle_partitions(spark) == 5 * few + 1
+        spark.conf.set(session.INITIAL_CONF, "3")                      # the session's own
+        session.size_shuffles(spark, session.BYTES_A_PARTITION * 90 * few)
+        assert spark.conf.get(session.INITIAL_CONF) == "3"
+    finally:
+        for n, v in before.items():
+            spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+
+
 def test_dimensions_are_joined_before_lines_meet_orders(spark, monkeypatch):
     monkeypatch.setattr(fixtures, "read_table", lambda s, sf, t: s.createDataFrame([], TABLES[t]).coalesce(1))
     joins = [row for row in fixtures.fx_lines(spark, "")._jdf.queryExecution().analyzed().toString().splitlines() if "Join" in row]
