@@ -9,6 +9,7 @@ from ledgerloom.operators import upkeep
 from ledgerloom.operators import warehouse as wh
 from ledgerloom.plans import fixtures
 from ledgerloom.plans.warehouse_run import WarehouseRun
+from ledgerloom.schemas import RAW_ORDERS
 from tests.edge_frames import stage
 from tests.test_upkeep import line
 
@@ -124,3 +125,25 @@ def test_values_of_lines_and_lines_without_an_order(spark, monkeypatch):
         "1-1-5-9", "2000-01-02", "2000-01-02", "CUST-7", "PROD-5")
     assert [str(one[c]) for c in ("sales", "quantity", "discount", "profit")] == ["95.00", "2", "0.05", "1.00"]
     assert [rows[2][c] for c in ("ship_date", "sales", "quantity", "discount", "profit")] == [None] * 5
+
+
+def test_staged_lines_keep_no_column_that_others_give(spark, monkeypatch):
+    whole = flat_lines(spark, monkeypatch, small_tables())
+    kept = fixtures.tagged_lines(spark, "")
+    assert not {"row_key", "customer_id", "product_id", "country", "city", "postal_code"} & set(kept.columns)
+    assert whole.columns == [*RAW_ORDERS.names, *fixtures.HELPER_COLUMNS]
+    again = fixtures.full_lines(kept.where("stage_part = 'delta'"))
+    assert again.schema == whole.schema and sorted(map(str, again.collect())) == sorted(map(str, whole.collect()))
+    one = again.where("k_line = 1").first()
+    assert [one[c] for c in ("row_key", "customer_id", "country", "city", "postal_code", "product_id")] == [
+        "1-1-5-9", "CUST-7", "USA", "CITY_7", 10007, "PROD-5"]
+
+
+def test_lines_meet_products_before_orders(spark):
+    raw = stage(spark, [line(1), line(2)])
+    orders = spark.createDataFrame([(1, "ORD-1"), (2, "ORD-2")], "order_id long, order_number string")
+    products = spark.createDataFrame([(5, "P1"), (6, "P2")], "product_id long, product_number string")
+    rows = wh._detail_rows(raw, orders, products)
+    joins = [r for r in rows._jdf.queryExecution().analyzed().toString().splitlines() if "Join" in r]
+    assert "order_number" in joins[0] and "product_number" in joins[1]
+    assert {(r["order_id"], r["product_id"]) for r in rows.collect()} == {(1, 5), (2, 6)}
