@@ -9,7 +9,8 @@ from ledgerloom.operators import upkeep
 from ledgerloom.operators import warehouse as wh
 from ledgerloom.plans import fixtures
 from ledgerloom.plans.warehouse_run import WarehouseRun
-from ledgerloom.schemas import RAW_ORDERS
+from ledgerloom.schemas import CORE, RAW_ORDERS
+from ledgerloom.sources import catalog
 from tests.edge_frames import stage
 from tests.test_upkeep import line
 
@@ -147,3 +148,11 @@ def test_lines_meet_products_before_orders(spark):
     joins = [r for r in rows._jdf.queryExecution().analyzed().toString().splitlines() if "Join" in r]
     assert "order_number" in joins[0] and "product_number" in joins[1]
     assert {(r["order_id"], r["product_id"]) for r in rows.collect()} == {(1, 5), (2, 6)}
+
+
+def test_typed_tables_are_written_packed(spark, tmp_path):
+    rows = spark.createDataFrame([(i, f"P{i}", "Name", None, "S") for i in range(9)], CORE["products"])
+    table = catalog.TypedTable(spark, str(tmp_path / "products"), CORE["products"]).create().insert(rows)
+    filled = {p.name for p in (tmp_path / "products").glob("*.parquet")}
+    assert filled and all(".zstd." in n for n in filled if ".snappy." not in n) and any(".zstd." in n for n in filled)
+    assert sorted(map(str, table.read().collect())) == sorted(map(str, rows.collect()))
