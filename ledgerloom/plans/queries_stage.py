@@ -355,9 +355,8 @@ def schema_align(spark, sf):
 @register("union_delta_parts", f"select {DELTA_SQL} from delta_orders")
 def union_delta_parts(spark, sf):
     """The four scenario parts concatenated by name (bag union)."""
-    raw = W(spark, sf).raw_orders()
-    new_lines = spark.read.parquet(f"{W(spark, sf).stage_lines()}/stage_part=delta")
-    return cleaning.union_aligned(fixtures.delta_parts(spark, sf, raw, new_lines), DELTA_COLUMNS, {})
+    w = W(spark, sf)
+    return cleaning.union_aligned(fixtures.delta_parts(spark, sf, w.raw_orders(), w.new_lines()), DELTA_COLUMNS, {})
 
 
 @register("fill_postal_code", """

@@ -8,8 +8,9 @@ from ledgerloom import session
 from ledgerloom.operators import upkeep
 from ledgerloom.operators import warehouse as wh
 from ledgerloom.plans import fixtures
+from ledgerloom.plans.queries_stage import union_delta_parts
 from ledgerloom.plans.warehouse_run import WarehouseRun
-from ledgerloom.schemas import CORE, RAW_ORDERS
+from ledgerloom.schemas import CORE, DELTA_COLUMNS, RAW_ORDERS
 from ledgerloom.sources import catalog
 from tests.edge_frames import stage
 from tests.test_upkeep import line
@@ -140,6 +141,19 @@ def test_staged_lines_keep_no_column_that_others_give(spark, monkeypatch):
         "1-1-5-9", "CUST-7", "USA", "CITY_7", 10007, "PROD-5"]
 
 
+def test_union_of_delta_parts_reads_whole_lines(spark, tmp_path):
+    rows = small_tables()
+    rows["region"].append((1, "R1"))
+    rows["orders"].append((50, 7, dt.datetime(1999, 1, 2), "1-URGENT"))
+    rows["lineitem"].append((50, 5, 9, 1, 1.0, 10.0, 0.0, dt.datetime(1999, 1, 3)))
+    for t, own in rows.items():
+        spark.createDataFrame(own, TABLES[t]).write.parquet(f"{tmp_path}/{t}.parquet")
+    found = union_delta_parts(spark, str(tmp_path))
+    assert found.columns == list(DELTA_COLUMNS)
+    assert sorted((r["row_key"], r["product_id"], r["region"]) for r in found.collect()) == [
+        ("1-1-5-9", "PROD-5", "R"), ("1-2-5-9", "PROD-5", "R"), ("50-1-5-9", "PROD-5", "R"), ("S2-50-1-5-9", "PROD-5", "R1")]
+
+
 def test_lines_meet_products_before_orders(spark):
     raw = stage(spark, [line(1), line(2)])
     orders = spark.createDataFrame([(1, "ORD-1"), (2, "ORD-2")], "order_id long, order_number string")
