@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from ledgerloom import session
-from ledgerloom.operators import upkeep
+from ledgerloom.operators import keys, upkeep
 from ledgerloom.operators import warehouse as wh
 from ledgerloom.plans import fixtures
 from ledgerloom.plans.queries_stage import union_delta_parts
@@ -164,6 +164,31 @@ def test_lines_meet_products_before_orders(spark):
     assert {(r["order_id"], r["product_id"]) for r in rows.collect()} == {(1, 5), (2, 6)}
 
 
+def test_packed_files_are_no_small_broadcast(spark, tmp_path):
+    """300,000 rows in a few kilobytes of files are counted for what the driver would hold of them."""
+    path = str(tmp_path / "packed")
+    spark.range(300_000).selectExpr("id", "'one text' as text").coalesce(1).write.options(**keys.KEPT).parquet(path)
+    assert sum(p.stat().st_size for p in (tmp_path / "packed").glob("*.parquet")) < 100_000
+    before = {c: spark.conf.get(c) for c in (session.UNPACKED_CONF, "spark.sql.autoBroadcastJoinThreshold")}
+
+    def join() -> str:
+        left = spark.createDataFrame([(1,), (2,)], "id long")
+        plan = left.join(spark.read.parquet(path), "id", "left")._jdf.queryExecution().sparkPlan().toString()
+        return next(w for w in plan.split() if w.endswith("Join"))
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100k")
+        spark.conf.set(session.UNPACKED_CONF, "1.0")
+        assert join() == "BroadcastHashJoin"
+        session.size_broadcasts(spark)
+        assert join() == "SortMergeJoin"
+        spark.conf.set(session.UNPACKED_CONF, "7.0")
+        session.size_broadcasts(spark)
+        assert spark.conf.get(session.UNPACKED_CONF) == "7.0"       # the session's own
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+
+
 def test_typed_tables_are_written_packed(spark, tmp_path):
     rows = spark.createDataFrame([(i, f"P{i}", "Name", None, "S") for i in range(9)], CORE["products"])
     table = catalog.TypedTable(spark, str(tmp_path / "products"), CORE["products"]).create().insert(rows)
