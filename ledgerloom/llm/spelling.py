@@ -33,6 +33,9 @@ from pyspark.sql import types as T
 from ledgerloom.llm.shared import raw_bytes, small_batches, staged
 
 HELD_WORDS = 1 << 18        # words that a task counts before it passes them on
+# How tables that grow with the vocabulary are joined. Spark takes a word for the few bytes it has in a file, less
+# after a Python function, and would build tables of all words on the driver.
+SORTED = "merge"
 
 
 # -------------------------------------------------------------------- words
@@ -119,17 +122,17 @@ def trie(vocabulary: DataFrame, least: int, name: str) -> tuple[DataFrame, DataF
              .select("node", F.array_contains("ways", "").alias("ends"), F.array_join("ways", "").alias("ways"),
                      F.size("ways").alias("n")).where("n > 1 or ends"))
     nodes = staged(nodes.drop("n"), f"{name}-nodes")
-    on_path = prefixes.select("word_id", "depth", "node").join(nodes.select("node"), "node", "left_semi")
+    on_path = prefixes.select("word_id", "depth", "node").join(nodes.select("node").hint(SORTED), "node", "left_semi")
     paths = on_path.groupBy("word_id").agg(F.sort_array(F.collect_list(F.struct("depth", "node"))).alias("path"))
     # A word's id is the node it ends at.
     named = vocabulary.select("word", _end("word").alias("word_id"))
-    paths = staged(paths.join(named, "word_id").select("word", "path"), f"{name}-paths")
+    paths = staged(paths.join(named.hint(SORTED), "word_id").select("word", "path"), f"{name}-paths")
     steps = paths.select("word", F.explode(F.transform(
         F.slice("path", 1, F.size("path") - 1), lambda x, i: F.struct(x.alias("a"), F.element_at("path", i + 2).alias("b")))).alias("s"))
     length = (F.col("s.b.depth") - F.col("s.a.depth")).alias("length")
     edges = steps.select(F.col("s.a.node").alias("node"), _part("word", F.col("s.a.depth"), 1).alias("letter"), length,
                          F.xxhash64(_part("word", F.col("s.a.depth") + 1, length - 1)).alias("rest"), F.col("s.b.node").alias("child"))
-    edges = edges.distinct().join(nodes.select(F.col("node").alias("child"), "ways", "ends"), "child")
+    edges = edges.distinct().join(nodes.select(F.col("node").alias("child"), "ways", "ends").hint(SORTED), "child")
     return paths, staged(edges.select("node", "letter", "length", "rest", "child", "ways", "ends"), f"{name}-edges")
 
 
@@ -175,7 +178,7 @@ def neighbours(vocabulary: DataFrame, least: int, backwards: bool, name: str) ->
     frontier = start.join(edges, "node").select("word", F.explode(F.filter(edited, lambda s: s.isNotNull())).alias("s"))
     # The last letter left out: the node itself must end a word.
     ended = vocabulary.select(_end("word").alias("node"))
-    whole = start.where(F.col("at") == F.length("word") - 1).join(ended, "node", "left_semi").select("word", "node")
+    whole = start.where(F.col("at") == F.length("word") - 1).join(ended.hint(SORTED), "node", "left_semi").select("word", "node")
     frontier = staged(frontier.select("word", "s.at", "s.node", "s.done"), f"{name}-frontier")
     found = [whole, frontier.where("done").select("word", "node")]
     while True:
@@ -191,7 +194,7 @@ def neighbours(vocabulary: DataFrame, least: int, backwards: bool, name: str) ->
     ends = found[0]
     for f in found[1:]:
         ends = ends.union(f)
-    near = ends.distinct().join(vocabulary.select(F.col("word").alias("near"), _end("word").alias("node")), "node")
+    near = ends.distinct().join(vocabulary.select(F.col("word").alias("near"), _end("word").alias("node")).hint(SORTED), "node")
     if backwards:
         near = near.select(F.reverse("word").alias("word"), F.reverse("near").alias("near"))
     return near.where(F.levenshtein("word", "near", 1) == 1).select("word", "near")
@@ -210,7 +213,7 @@ def variants(vocabulary: DataFrame, min_chars: int = 6, ratio: int = 5, name: st
     vocabulary = staged(vocabulary.select("word", "n"), f"{name}-vocabulary")
     least = min_chars // 2
     pairs = staged(neighbours(vocabulary, least, False, name).union(neighbours(vocabulary, least, True, name)).distinct(), f"{name}-near")
-    best = (pairs.join(vocabulary.select(F.col("word").alias("near"), F.col("n").alias("near_n")), "near")
+    best = (pairs.join(vocabulary.select(F.col("word").alias("near"), F.col("n").alias("near_n")).hint(SORTED), "near")
             .groupBy("word").agg(F.count("*").alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("minus"), "near")).alias("best")))
     is_form = -F.col("best.minus") >= ratio * F.col("n")
     rows = staged(vocabulary.join(best, "word", "left").select(
@@ -220,10 +223,10 @@ def variants(vocabulary: DataFrame, min_chars: int = 6, ratio: int = 5, name: st
     ways = rows.where("form is not null").select("word", F.col("form").alias("root"))
     while True:
         onward = ways.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        ways = staged(ways.join(onward, "root", "left").select("word", F.coalesce("next", "root").alias("root"),
+        ways = staged(ways.join(onward.hint(SORTED), "root", "left").select("word", F.coalesce("next", "root").alias("root"),
                                                                 F.col("next").isNotNull().alias("moved")), f"{name}-roots")
         if ways.where("moved").isEmpty():
             break
         ways = ways.select("word", "root")
-    return rows.join(ways.select("word", "root"), "word", "left").select(
+    return rows.join(ways.select("word", "root").hint(SORTED), "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")

@@ -109,3 +109,14 @@ def test_extra_columns_do_not_matter(spark, doc_frame):
     texts = [(k, "separate seperate " * 3 + "separate " * 30) for k in range(5)]
     docs = doc_frame(texts).withColumn("word", F.lit("other")).withColumn("n", F.lit(1))
     assert got(spelling.variants(spelling.words(docs))) == brute(vocabulary(texts))
+
+
+def test_no_table_of_all_words_is_broadcast(spark):
+    words = spark.createDataFrame([(w,) for w in ("banana", "bananas", "banane", "orange", "oranges")], "word string")
+    found = spelling.neighbours(words, 3, False, "small")
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert ("banana", "bananas") in {tuple(r) for r in found.collect()}
+    rows = spelling.variants(words.selectExpr("word", "if(word = 'banana', 9L, 1L) as n"), name="small")
+    joins = [r for r in rows._jdf.queryExecution().sparkPlan().toString().splitlines() if "Join" in r]
+    assert joins and not any("Broadcast" in j for j in joins)
